@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from chronoloom.llm.canonical import resolve
 from chronoloom.llm.components import group_elements
+from chronoloom.llm.survivors import field_winners, survivors
 from chronoloom.sources.tables import table
 
 QUERIES: dict = {}
@@ -38,3 +41,41 @@ walk(t, a, root) USING KEY (t, a) AS (
 g AS (SELECT e.id, w.t, w.root FROM e JOIN walk w ON w.t = e.type AND w.a = e.alias_key)
 SELECT id AS element_id, min(id) OVER (PARTITION BY t, root) AS group_id FROM g
 """
+
+
+@query
+def p4_found(spark: SparkSession, folder: str) -> DataFrame:
+    loose = table(spark, folder, "unresolved").select(F.lit("unresolved").alias("origin"), F.col("rec_id").cast("string").alias("record_key"), F.col("element_type").alias("type"), "raw_str")
+    known = table(spark, folder, "dedup_elements").select(F.lit("dedup_elements").alias("origin"), F.col("id").alias("record_key"), "type", "raw_str")
+    return resolve(loose.unionByName(known), table(spark, folder, "canonical"))
+
+
+@query
+def p4_unmatched(spark: SparkSession, folder: str) -> DataFrame:
+    """The report of misses: how many records of each origin and type mean no entry."""
+    return p4_found(spark, folder).groupBy("origin").agg(F.count_if(F.col("cid") == "none").alias("unmatched"), F.count("*").alias("records"))
+
+
+@query
+def p6_found(spark: SparkSession, folder: str) -> DataFrame:
+    return field_winners(table(spark, folder, "element_versions")).select("id", "field", "record_id")
+
+
+@query
+def p6_survivors(spark: SparkSession, folder: str) -> DataFrame:
+    return survivors(table(spark, folder, "element_versions"))
+
+
+_TELLING = """
+WITH v AS (SELECT DISTINCT record_id, id, raw_str, description, "count" AS n, trust, updated_at FROM element_versions WHERE id IS NOT NULL),
+blank AS (SELECT unnest(['nan', 'n/a', 'na', 'null', 'none', 'nil', 'tbd', 'unknown', '（空）', '空', '无', '暂无', '不详', '未知', '待补充', '待定', '同上']) AS x),
+s AS (SELECT *, regexp_replace(raw_str, '^[\\s\\x{3000}]+|[\\s\\x{3000}]+$', '', 'g') AS r, regexp_replace(description, '^[\\s\\x{3000}]+|[\\s\\x{3000}]+$', '', 'g') AS d FROM v),
+c AS (
+  SELECT id, 'raw_str' AS field, record_id, trust AS key, updated_at, raw_str AS value FROM s WHERE regexp_matches(r, '[\\p{L}\\p{N}]') AND lower(r) NOT IN (FROM blank)
+  UNION ALL SELECT id, 'description', record_id, length(d), updated_at, description FROM s WHERE regexp_matches(d, '[\\p{L}\\p{N}]') AND lower(d) NOT IN (FROM blank)
+  UNION ALL SELECT id, 'count', record_id, 0, updated_at, n::VARCHAR FROM s WHERE n > 0),
+w AS (SELECT id, field, record_id, value FROM c QUALIFY row_number() OVER (PARTITION BY id, field ORDER BY key DESC NULLS LAST, updated_at DESC NULLS LAST, record_id) = 1)
+"""
+SQL["p6_found"] = _TELLING + "SELECT id, field, record_id FROM w"
+SQL["p6_survivors"] = _TELLING + """SELECT id, max(value) FILTER (field = 'raw_str') AS raw_str, max(value) FILTER (field = 'description') AS description,
+max(value) FILTER (field = 'count')::INT AS "count" FROM w GROUP BY id"""
