@@ -9,7 +9,7 @@ from chronoloom.functions.text import fold, is_blank
 from chronoloom.sources.tables import Scratch
 
 #: Words that name nothing, in folded form, before and after a name.
-BEFORE = ["所谓", "有关", "原"]
+BEFORE = ["所谓", "有关", "原", "the"]
 AFTER = ["方面", "人员", "一带", "一事", "简称", "等"]
 #: The weights of a slip.
 WEIGHTS = {"exact": 0.0, "swapped": 0.7, "missing": 0.8, "added": 0.8, "wrong": 1.0}
