@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chronoloom.llm.canonical import resolve
+from chronoloom.llm.clusters import cluster_pairs, describe, summary
 from chronoloom.llm.components import group_elements
+from chronoloom.llm.neighbours import neighbour_pairs
 from chronoloom.llm.survivors import field_winners, survivors
 from chronoloom.sources.tables import table
 
@@ -79,3 +81,27 @@ w AS (SELECT id, field, record_id, value FROM c QUALIFY row_number() OVER (PARTI
 SQL["p6_found"] = _TELLING + "SELECT id, field, record_id FROM w"
 SQL["p6_survivors"] = _TELLING + """SELECT id, max(value) FILTER (field = 'raw_str') AS raw_str, max(value) FILTER (field = 'description') AS description,
 max(value) FILTER (field = 'count')::INT AS "count" FROM w GROUP BY id"""
+
+
+def _vectors(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "dedup_elements", "id", "type", "vector")
+
+
+@query
+def p1_found(spark: SparkSession, folder: str) -> DataFrame:
+    return cluster_pairs(_vectors(spark, folder))
+
+
+@query
+def p1_clusters(spark: SparkSession, folder: str) -> DataFrame:
+    return describe(_vectors(spark, folder))
+
+
+@query
+def p1_summary(spark: SparkSession, folder: str) -> DataFrame:
+    return summary(_vectors(spark, folder))
+
+
+@query
+def p5_found(spark: SparkSession, folder: str) -> DataFrame:
+    return neighbour_pairs(_vectors(spark, folder))
