@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chronoloom.llm.vectors import chi_square_quantile, fit_centres, in_blocks, into_cells, usable
+from chronoloom.llm.vectors import chi_square_quantile, fit_centres, in_blocks, into_cells, unit, usable
 
 #: Dimensions of the stable projection that the kd-tree of a cell is built on.
 PROJECTED = 8
@@ -113,8 +113,7 @@ def neighbours(elements: DataFrame, k: int = 5, least: float = 0.76, dimension:
         pdf = pdf.drop_duplicates(["id", "part"]).sort_values("id", kind="stable")
         ids = pdf["id"].to_numpy(dtype=object)
         names = np.arange(len(ids))  # sorted: the order of the rows is the order of the ids
-        x = np.frombuffer(b"".join(pdf["v"]), dtype="<f4").reshape(len(pdf), dimension).astype(np.float64)
-        x /= np.linalg.norm(x, axis=1, keepdims=True)
+        x = unit(np.frombuffer(b"".join(pdf["v"]), dtype="<f4").reshape(len(pdf), dimension))
         i, j = int(pdf["i"].iloc[0]), int(pdf["j"].iloc[0])
         part = pdf["part"].to_numpy()
         everyone = np.ones(len(ids), bool)
