@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from chronoloom.llm.canonical import resolve
 from chronoloom.llm.clusters import cluster_pairs, describe, summary
 from chronoloom.llm.components import group_elements
+from chronoloom.llm.encoding import token_ids
+from chronoloom.llm.leaks import leaked
 from chronoloom.llm.neighbours import neighbour_pairs
 from chronoloom.llm.survivors import field_winners, survivors
 from chronoloom.sources.tables import table
@@ -105,3 +107,13 @@ def p1_summary(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def p5_found(spark: SparkSession, folder: str) -> DataFrame:
     return neighbour_pairs(_vectors(spark, folder))
+
+
+@query
+def p8_ids(spark: SparkSession, folder: str) -> DataFrame:
+    return token_ids(table(spark, folder, "documents", "doc_id", "text"))
+
+
+@query
+def p9_found(spark: SparkSession, folder: str) -> DataFrame:
+    return leaked(table(spark, folder, "documents", "doc_id", "text"), table(spark, folder, "eval_items", "item_id", "text", "lang"))
