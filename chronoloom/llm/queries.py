@@ -11,6 +11,7 @@ from chronoloom.llm.components import group_elements
 from chronoloom.llm.encoding import token_ids
 from chronoloom.llm.leaks import leaked
 from chronoloom.llm.neighbours import neighbour_pairs
+from chronoloom.llm.residue import residue
 from chronoloom.llm.survivors import field_winners, survivors
 from chronoloom.sources.tables import table
 
@@ -117,3 +118,8 @@ def p8_ids(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def p9_found(spark: SparkSession, folder: str) -> DataFrame:
     return leaked(table(spark, folder, "documents", "doc_id", "text"), table(spark, folder, "eval_items", "item_id", "text", "lang"))
+
+
+@query
+def p10_found(spark: SparkSession, folder: str) -> DataFrame:
+    return residue(table(spark, folder, "documents", "doc_id", "text"))
