@@ -54,23 +54,38 @@ SPOKEN_OF = rf"(?:^|(?<=[。！？!?\n]))[^。！？!?\n]*?(?:{SPOKEN_WORDS})[^
 GARBLED_SHARE = 0.2
 
 
-def _any(c: Column, patterns: list[str]) -> Column:
-    found = c.rlike(patterns[0])
-    for p in patterns[1:]:
-        found = found | c.rlike(p)
+#: Signs without which the pattern of the same place can't match: looking for them is much cheaper than the pattern.
+GRAMMAR_SIGNS = [["{{", "{%", "${"], ["<%", "<?=", "@@", "[["], ["__"], ["{", "[", "【"], ["#", "%", "$"], ["<", "&lt;"], ["%s", "%d", "[object"]]
+FILLER_SIGNS = [["XX", "××", "X年", "正文"], ["___", "模板自动生成", "TODO", "FIXME"], ["此处", "在此", "占位文字", "替换为"], ["ipsum", "IPSUM", "eplace this", " here", " HERE"]]
+NOTICE_SIGNS = [
+    ["avascript", "avaScript", "AVASCRIPT"],
+    ["avascript", "avaScript", "脚本", "<noscript>"],
+    ["404 ", "502 ", "503 ", "504 ", "rror 50", "ERROR 50", "nternal server", "nternal Server", "INTERNAL SERVER", "enied", "DENIED", "permission", "PERMISSION", "nvalid or"],
+    ["hecking your", "CHECKING YOUR", "raceback", "nginx/"],
+    ["访问", "验证后", "系统维护", "请求的", "返回首页"],
+]
+
+
+def _any(c: Column, patterns: list[str], signs: list[list[str]]) -> Column:
+    found = F.lit(False)
+    for p, needed in zip(patterns, signs, strict=True):
+        some = F.contains(c, F.lit(needed[0]))
+        for x in needed[1:]:
+            some = some | F.contains(c, F.lit(x))
+        found = found | (some & c.rlike(p))
     return found
 
 
 def is_residue(text: Column) -> Column:
     """Whether a text is or contains residue; false for null, blank and wrongly decoded texts."""
-    # The grammars need one of these signs; most texts have none and skip them.
     uncoded = F.when(F.contains(text, F.lit("`")), F.regexp_replace(text, CODE, " ")).otherwise(text)
     plain = F.when(text.rlike(SPOKEN_WORDS), F.regexp_replace(uncoded, SPOKEN_OF, " ")).otherwise(uncoded)
-    holds = text.rlike(r"[{}\[\]【<#%$@]|__|&lt;") & _any(plain, GRAMMARS)
-    unquoted = F.regexp_replace(uncoded, QUOTED, " ")
-    said = _any(unquoted, FILLER + NOTICES)
+    # The lambdas bind the changed text once; written out, its expression would be repeated for every pattern.
+    holds = _any(text, GRAMMARS, GRAMMAR_SIGNS) & F.exists(F.array(plain), lambda t: _any(t, GRAMMARS, GRAMMAR_SIGNS))
+    patterns, signs = FILLER + NOTICES, FILLER_SIGNS + NOTICE_SIGNS
+    said = _any(text, patterns, signs) & F.exists(F.array(F.regexp_replace(uncoded, QUOTED, " ")), lambda t: _any(t, patterns, signs))
     # Names in angle brackets that a quotation consists of are no quotation.
-    asks = text.rlike(r"[“「]<请填写")
+    asks = F.contains(text, F.lit("<请填写")) & text.rlike(r"[“「]<请填写")
     garbled = F.regexp_count(text, F.lit("[\\x80-\\xff\\ufffd]")) > F.length(text) * F.lit(GARBLED_SHARE)
     return F.coalesce((holds | said | asks) & ~garbled, F.lit(False))
 
