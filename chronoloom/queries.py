@@ -2,5 +2,26 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession
+
+from chronoloom.operators.timestamps import normalize_times
+from chronoloom.sources.tables import table
+
 QUERIES: dict = {}
 SQL: dict = {}
+
+
+def query(fn):
+    QUERIES[fn.__name__] = fn
+    return fn
+
+
+@query
+def p2_found(spark: SparkSession, folder: str) -> DataFrame:
+    return p2_normalized(spark, folder).select("cand_id", "normalized")
+
+
+@query
+def p2_normalized(spark: SparkSession, folder: str) -> DataFrame:
+    """With the precision of each value."""
+    return normalize_times(table(spark, folder, "time_candidates", "cand_id", "matched_text", "zone", "lang", "ref_date"))
