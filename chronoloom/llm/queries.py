@@ -12,6 +12,7 @@ from chronoloom.llm.encoding import token_ids
 from chronoloom.llm.leaks import leaked
 from chronoloom.llm.neighbours import neighbour_pairs
 from chronoloom.llm.residue import residue
+from chronoloom.llm.sentences import sentences
 from chronoloom.llm.survivors import field_winners, survivors
 from chronoloom.sources.tables import table
 
@@ -123,3 +124,8 @@ def p9_found(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def p10_found(spark: SparkSession, folder: str) -> DataFrame:
     return residue(table(spark, folder, "documents", "doc_id", "text"))
+
+
+@query
+def p7_found(spark: SparkSession, folder: str) -> DataFrame:
+    return sentences(table(spark, folder, "raw_news", "news_id", "normalized_text"), "news_id", "normalized_text")
