@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from chronoloom.functions.text import alias_key, is_blank
+from chronoloom.operators.graph import both_ways, star_components
 from chronoloom.sources.tables import Scratch
 
 #: Rounds of stripping and compressing at most; whatever is left then is solved as the core.
@@ -48,7 +50,7 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
         left = arcs.join(touched, ["u", "v"], "left_anti")
         arcs = scratch.cut(left.unionByName(fresh).distinct() if n_low.get(2) else left, "arcs")
         n_arcs = arcs.count()
-    labels = _stars(arcs, scratch) if n_arcs else None
+    labels = star_components(arcs, scratch) if n_arcs else None
     for gone in reversed(removed):
         if labels is None:
             mine = gone.select("node", F.col("keeper").alias("label"))
@@ -67,12 +69,7 @@ def _strip(low: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     other = low.select(F.col("u").alias("lo"), F.col("deg").alias("other"))
     leaf = low.where("deg = 1").join(other, "lo", "left").where("other is null or (other = 1 and u > lo)")
     gone = leaf.select(F.col("u").alias("node"), F.col("lo").alias("keeper"))
-    return gone, None, _both_ways(gone, "node", "keeper")
-
-
-def _both_ways(df: DataFrame, a: str, b: str) -> DataFrame:
-    pair = F.explode(F.array(F.struct(F.col(a).alias("u"), F.col(b).alias("v")), F.struct(F.col(b).alias("u"), F.col(a).alias("v"))))
-    return df.select(pair.alias("e")).select("e.u", "e.v")
+    return gone, None, both_ways(gone, "node", "keeper")
 
 
 def _compress(chain: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -106,37 +103,11 @@ def _compress(chain: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame,
     per = state.groupBy("at").agg(F.min(F.when(F.col("done"), F.col("q"))).alias("e1"), F.max(F.when(F.col("done"), F.col("q"))).alias("e2"), F.min("least").alias("least"))
     per = scratch.cut(per, "chains")
     gone = per.select(F.col("at").alias("node"), F.coalesce("e1", "least").alias("keeper")).where("node <> keeper")
-    fresh = _both_ways(per.where("e1 <> e2").select("e1", "e2").distinct(), "e1", "e2")
-    touched = _both_ways(chain, "u", "lo").unionByName(_both_ways(chain, "u", "hi"))
+    fresh = both_ways(per.where("e1 <> e2").select("e1", "e2").distinct(), "e1", "e2")
+    touched = both_ways(chain, "u", "lo").unionByName(both_ways(chain, "u", "hi"))
     return gone, fresh, touched
 
 
-def _stars(arcs: DataFrame, scratch: Scratch) -> DataFrame:
-    """Labels of the core: alternating large and small stars until every vertex points to the least of its component."""
-    pairs = arcs.where("u > v")  # towards the smaller end
-    before = None
-    while True:
-        sym = _both_ways(pairs, "u", "v")
-        least = sym.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = sym.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        large = scratch.cut(large, "large")
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        own = low.select("u", F.col("m").alias("v"))
-        small = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(own).where("u <> v")
-        nxt = scratch.cut(small.distinct(), "small")
-        scratch.drop(large)
-        scratch.drop(pairs)
-        # Both sums change as long as any arc does: an arc only ever moves to a smaller end.
-        mark = tuple(nxt.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
-        pairs = nxt
-        if mark == before:
-            break
-        before = mark
-    label = pairs.select(F.col("u").alias("node"), F.col("v").alias("label"))
-    roots = pairs.select(F.col("v").alias("node")).distinct().select("node", F.col("node").alias("label"))
-    return scratch.cut(label.unionByName(roots), "core")
-
-
 def group_elements(elements: DataFrame, matches: DataFrame) -> DataFrame:
     """Group ids of elements whose alias keys are matched: ``element_id``, ``group_id`` (the smallest id of the group).
 
@@ -146,8 +117,6 @@ def group_elements(elements: DataFrame, matches: DataFrame) -> DataFrame:
     element still links; a key matched with itself touches its elements. Other columns are ignored, whatever their
     names. Empty tables give an empty result. The vertex is the 128-bit MD5 of type and key, so that rows stay small.
     """
-    from chronoloom.functions.text import alias_key, is_blank
-
     scratch = Scratch(elements.sparkSession, "groups")
     node = lambda kind, key: F.unhex(F.md5(F.concat(kind, F.lit("\x1f"), key)))
     usable = matches.select("element_type", "left_key", "right_key").where(F.col("element_type").isNotNull() & ~is_blank(F.col("left_key")) & ~is_blank(F.col("right_key")))

@@ -9,7 +9,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chronoloom.llm.vectors import chi_square_quantile, fit_centres, in_blocks, into_cells, unit, usable
+from chronoloom.llm.vectors import BLOCK_ROWS, chi_square_quantile, fit_centres, into_cells, unit, usable
+from chronoloom.operators.blocks import pair_blocks
 
 #: Dimensions of the stable projection that the kd-tree of a cell is built on.
 PROJECTED = 8
@@ -55,7 +56,7 @@ def cell_neighbours(ids: np.ndarray, x: np.ndarray, k: int, least: float, sure:
         away = np.maximum(0, np.maximum(low - high[b], low[b] - high))
         away = (away**2).sum(1)
         worst = np.full(len(mine), 2 - 2 * least)
-        rows, nears, coss = [], [], []
+        r, near, cos = np.zeros(0, int), np.zeros(0, int), np.zeros(0)
         for o in np.argsort(away, kind="stable"):
             if away[o] > quantile * worst.max():
                 break
@@ -63,30 +64,22 @@ def cell_neighbours(ids: np.ndarray, x: np.ndarray, k: int, least: float, sure:
             if not len(theirs):
                 continue
             s = x32[mine] @ x32[theirs].T
-            r, c = np.nonzero(s >= least - 1e-5)
-            near = theirs[c]
-            other = mine[r] != near
-            r, near = r[other], near[other]
-            if not len(r):
+            a, c = np.nonzero(s >= least - 1e-5)
+            other = mine[a] != theirs[c]
+            a, c = a[other], theirs[c[other]]
+            if not len(a):
                 continue
-            cos = np.round(np.einsum("ij,ij->i", x[mine[r]], x[near]), 7)
-            rows.append(r), nears.append(near), coss.append(cos)
-            if len(leaves) > 1:
-                r_all, c_all = np.concatenate(rows), np.concatenate(coss)
-                order = np.lexsort((-c_all, r_all))
-                r_s = r_all[order]
-                start = np.searchsorted(r_s, np.arange(len(mine)))
-                full = np.flatnonzero(np.bincount(r_s, minlength=len(mine)) >= k)
-                worst[full] = 2 - 2 * c_all[order][start[full] + k - 1]
-        if rows:
-            r, near, cos = np.concatenate(rows), np.concatenate(nears), np.concatenate(coss)
-            keep = cos >= least
-            r, near, cos = r[keep], near[keep], cos[keep]
+            exact = np.round(np.einsum("ij,ij->i", x[mine[a]], x[c]), 7)
+            fine = exact >= least
+            r, near, cos = np.r_[r, a[fine]], np.r_[near, c[fine]], np.r_[cos, exact[fine]]
+            # Only the best k of each row are kept on the way.
             order = np.lexsort((ids[near], -cos, r))
             r, near, cos = r[order], near[order], cos[order]
-            rank = np.arange(len(r)) - np.searchsorted(r, r)
-            first = rank < k
-            out_row.append(mine[r[first]]), out_near.append(near[first]), out_cos.append(cos[first])
+            best = np.arange(len(r)) - np.searchsorted(r, r) < k
+            r, near, cos = r[best], near[best], cos[best]
+            full = np.flatnonzero(np.bincount(r, minlength=len(mine)) >= k)
+            worst[full] = 2 - 2 * cos[np.searchsorted(r, full) + k - 1]
+        out_row.append(mine[r]), out_near.append(near), out_cos.append(cos)
     if not out_row:
         return np.zeros(0, int), np.zeros(0, int), np.zeros(0)
     return np.concatenate(out_row), np.concatenate(out_near), np.concatenate(out_cos)
@@ -107,7 +100,7 @@ def neighbours(elements: DataFrame, k: int = 5, least: float = 0.76, dimension:
     vectors = usable(elements, dimension)
     centres = fit_centres(vectors, dimension)
     reach = math.sqrt(2 - 2 * least)
-    tasks = in_blocks(into_cells(vectors, centres, dimension, reach, sure))
+    tasks = pair_blocks(into_cells(vectors, centres, dimension, reach, sure), ["type", "cell"], "id", BLOCK_ROWS)
 
     def work(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.drop_duplicates(["id", "part"]).sort_values("id", kind="stable")

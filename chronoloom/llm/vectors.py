@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 SAMPLE_ROWS = 16_000
 #: Cells that a vector is put into, at most.
 MOST_CELLS = 4
-#: A cell holds about so many distinct vectors before it is worked on in blocks.
+#: Rows of a block; a cell of more is worked on in pairs of blocks.
 BLOCK_ROWS = 4_000
 
 
@@ -122,18 +122,3 @@ def into_cells(vectors: DataFrame, centres: dict[str, np.ndarray], dimension: in
                     )
 
     return vectors.select("type", "id", "vector").mapInArrow(assign, schema)
-
-
-def in_blocks(cells: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """Adds ``i``, ``j`` and ``part``: a cell of many rows becomes blocks, and each pair of blocks a task of its own.
-
-    Most cells are one block, i = j = 0. A hot cell of n blocks is worked on in n (n + 1) / 2 tasks, each holding
-    two blocks at most; nothing is left out. ``part`` is the row's own block. Cell sizes are counted in a partial
-    aggregation; only the sizes of cells above the limit, at most rows / block_rows of them, are joined back.
-    """
-    sizes = cells.groupBy("type", "cell").agg(F.count("*").alias("rows")).where(F.col("rows") > block_rows)
-    hot = F.broadcast(sizes.select("type", "cell", F.ceil(F.col("rows") / block_rows).cast("int").alias("n")))
-    with_n = cells.join(hot, ["type", "cell"], "left").withColumn("n", F.coalesce("n", F.lit(1)))
-    own = with_n.withColumn("part", F.pmod(F.xxhash64("id"), F.col("n")).cast("int"))
-    pair = F.explode(F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda o: F.struct(F.least("part", o).alias("i"), F.greatest("part", o).alias("j"))))
-    return own.withColumn("_p", pair).select("type", "cell", F.col("_p.i").alias("i"), F.col("_p.j").alias("j"), "part", "id", "v")
