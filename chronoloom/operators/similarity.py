@@ -171,6 +171,7 @@ def medoids(rows: DataFrame, group: str, dimension: int) -> DataFrame:
 
     ``rows``: ``id``, the group, ``u`` (unit). The mean follows from the group's sum of vectors, without any pairs.
     """
+    rows = rows.select("id", group, "u")
     both = rows.join(centroids(rows, group, dimension), group)
     mean = F.when(F.col("size") > 1, (dot(F.col("u"), F.col("total")) - dot(F.col("u"), F.col("u"))) / (F.col("size") - 1)).otherwise(F.lit(1.0))
     scored = both.select(group, "id", F.round(mean, 6).alias("mean_similarity"))
