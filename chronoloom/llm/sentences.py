@@ -35,7 +35,8 @@ _ATTRIBUTION = re.compile(rf"[^。！？!?；\n“”「」『』：:\"]{{0,60}}
 _LATIN_ATTRIBUTION = re.compile(r"(?:(?:[A-Z][\w'’-]*\.?|the|of|a)\s+){1,8}?(?:said|says|asked|told|added|replied|warned|wrote|noted|explained|sagte|fragte|erklärte)\b")
 _BLANK_LINE = re.compile(r"\n[^\S\n]*\n\s*|\r\n[^\S\n]*\r\n\s*")
 _EVENT = re.compile("[" + re.escape(HARD + "!?.．" + "".join({*QUOTES, *BRACKETS}) + CLOSERS.replace("’", "").replace("'", "")) + r"]|(?<=[฀-๿0-9%)”])[  　\t]+")
-_WORD_BEFORE = re.compile(r"[^\s\"“”「」『』（）()《》【】\[\]，。！？；：、,!?;:]+$")
+# Letters of one kind: a Latin word stands apart from the Chinese signs before it.
+_WORD_BEFORE = re.compile(r"(?:[A-Za-z0-9À-ɏ.'’-]+|[^\s\"“”「」『』（）()《》【】\[\]，。！？；：、,!?;:A-Za-z0-9À-ɏ一-鿿]+)$")
 #: Thai words that need what follows (so the gap after them is none), and polite words that end a sentence.
 THAI_OPEN = ["วันที่", "เมื่อ", "ที่", "ร้อยละ", "จำนวน", "ประมาณ", "ราว", "กว่า", "และ", "หรือ", "กับ", "โดย", "ของ", "จาก", "ถึง", "ใน", "ว่า", "คือ", "เช่น", "นาย", "นาง", "นางสาว"]
 THAI_FINAL = ["ครับ", "ค่ะ", "คะ", "นะ", "แล้ว", "เลย", "ด้วย", "จ้ะ"]
