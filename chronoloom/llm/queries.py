@@ -69,7 +69,8 @@ def p6_found(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def p6_survivors(spark: SparkSession, folder: str) -> DataFrame:
-    return survivors(table(spark, folder, "element_versions"))
+    # A double: what reads nullable whole numbers differently compares them all the same.
+    return survivors(table(spark, folder, "element_versions")).withColumn("count", F.col("count").cast("double"))
 
 
 _TELLING = """
@@ -84,7 +85,7 @@ w AS (SELECT id, field, record_id, value FROM c QUALIFY row_number() OVER (PARTI
 """
 SQL["p6_found"] = _TELLING + "SELECT id, field, record_id FROM w"
 SQL["p6_survivors"] = _TELLING + """SELECT id, max(value) FILTER (field = 'raw_str') AS raw_str, max(value) FILTER (field = 'description') AS description,
-max(value) FILTER (field = 'count')::INT AS "count" FROM w GROUP BY id"""
+max(value) FILTER (field = 'count')::DOUBLE AS "count" FROM w GROUP BY id"""
 
 
 def _vectors(spark: SparkSession, folder: str) -> DataFrame:

@@ -34,6 +34,7 @@ FILLER = [
     r"(?:X{2,}|×{2,})(?:年|月|日)|X{3,}在X{3,}|正文[:：]\s*X{3,}",
     r"(?:姓名|单位|日期|电话|地址)[:：]\s*_{3,}|模板自动生成|(?<![A-Za-z])(?:TODO|FIXME)[:：]",
     r"点击此处添加|[（(]此处插入|请?在此(?:处)?(?:输入|填写)|占位文字|替换为实际内容",
+    r"(?<![A-Za-z])undefined\W{1,3}[\u4e00-\u9fff]|(?<![A-Za-z])(?:NaN|null)\W{1,3}[\u4e00-\u9fff]{0,2}(?:人|艘|架|万|元|日|报道)",
     r"(?i)lorem ipsum dolor|(?i)replace this (?:text|paragraph)|(?i)your (?:text|content) (?:goes )?here",
 ]
 #: Notices of servers and browsers.
@@ -42,7 +43,7 @@ NOTICES = [
     r"请(?:先|在浏览器中)?(?:启用|开启|打开)\s*(?:JavaScript|脚本)|未启用(?:脚本|\s*JavaScript)|需要脚本支持|<noscript>|JavaScript\s*を有効にして|JavaScript(?:를|을)\s*(?:활성화|사용)|(?i:javascript) (?:aktivieren|einschalten)",
     r"(?i)404 not found|502 bad gateway|503 service|504 gateway|error 50\d:|(?<![A-Za-z])internal server error|(?i)access denied\.|you don.t have permission to access|invalid or incomplete response",
     r"(?i)checking your browser before|traceback \(most recent call last\)|nginx/\d",
-    r"访问的页面(?:不存在|已被删除)|检测到异常访问|完成安全验证后|系统维护中[，,]|请求的(?:页面|资源)不存在|秒后自动返回首页",
+    r"访问的页面(?:不存在|已被删除)|检测到异常访问|完成安全验证后|系统维护中[，,]|请求的(?:页面|资源)不存在|秒后自动返回首页|(?:网页|页面|内容|数据)加载失败|加载失败[，,]\s*请",
 ]
 #: News about such things: quoted words, and sentences that speak of examples.
 QUOTED = r"“[^”\n]{0,80}”|「[^」\n]{0,80}」|『[^』\n]{0,80}』|\"[^\"\n]{0,60}\""
@@ -56,13 +57,13 @@ GARBLED_SHARE = 0.2
 
 #: Signs without which the pattern of the same place can't match: looking for them is much cheaper than the pattern.
 GRAMMAR_SIGNS = [["{{", "{%", "${"], ["<%", "<?=", "@@", "[["], ["__"], ["{", "[", "【"], ["#", "%", "$"], ["<", "&lt;"], ["%s", "%d", "[object"]]
-FILLER_SIGNS = [["XX", "××", "X年", "正文"], ["___", "模板自动生成", "TODO", "FIXME"], ["此处", "在此", "占位文字", "替换为"], ["ipsum", "IPSUM", "eplace this", " here", " HERE"]]
+FILLER_SIGNS = [["XX", "××", "X年", "正文"], ["___", "模板自动生成", "TODO", "FIXME"], ["此处", "在此", "占位文字", "替换为"], ["undefined", "NaN", "null"], ["ipsum", "IPSUM", "eplace this", " here", " HERE"]]
 NOTICE_SIGNS = [
     ["avascript", "avaScript", "AVASCRIPT"],
     ["avascript", "avaScript", "脚本", "<noscript>"],
     ["404 ", "502 ", "503 ", "504 ", "rror 50", "ERROR 50", "nternal server", "nternal Server", "INTERNAL SERVER", "enied", "DENIED", "permission", "PERMISSION", "nvalid or"],
     ["hecking your", "CHECKING YOUR", "raceback", "nginx/"],
-    ["访问", "验证后", "系统维护", "请求的", "返回首页"],
+    ["访问", "验证后", "系统维护", "请求的", "返回首页", "加载失败"],
 ]
 
 

@@ -162,7 +162,7 @@ def test_winnowing_guarantee():
 RESIDUE = [
     "标题：{{ title }}\n正文：{{ body }}", "据${agency_name}消息", "Dear [First Name], the briefing for [[REGION]] follows", "%s年%s月%s日，%s方面表示", "图为{引语}（【数字】摄）", "甲说：“<请填写引语>”", "editing by &lt;author.name&gt;", "#AUTHOR# 编辑 #EDITOR# 审核",
     "@@PLACE@@ 当局", "__插入日期__方面", "[object Object] 通报", "XX月XX日，XXX在XXX会见XXX", "姓名：________ 单位：________", "TODO: 补写背景段落", "（此处插入图片说明）", "Lorem ipsum dolor sit amet", "Please enable JavaScript to view this page.",
-    "请启用JavaScript以查看评论", "404 Not Found\n\nnginx/1.2", "Error 503: Backend fetch failed", "Access Denied. You don't have permission", "抱歉，您访问的页面不存在", "<noscript>本站需要脚本支持</noscript>", "<%= article.lead %>。", "据%city%消息", "【待补充：现场数据】",
+    "请启用JavaScript以查看评论", "404 Not Found\n\nnginx/1.2", "Error 503: Backend fetch failed", "Access Denied. You don't have permission", "抱歉，您访问的页面不存在", "<noscript>本站需要脚本支持</noscript>", "<%= article.lead %>。", "据%city%消息", "【待补充：现场数据】", "undefined 报道，NaN 人参加", "网页加载失败，请稍后重试",
 ]
 FINE = [
     "甲的公文模板要求写明[密级]和{编号}两栏，均已填写。", "甲发布的代码片段 `{{ host }}` 只是文档示例，专家作了说明。", "访问者一度只看到“404”字样。", "话题#甲乙巡航#由丙发起。", "【甲乙快讯】丙已复航。", "<笋芷>号渡轮由甲租用[8]。", "The Council [sic] used the form {A} and {B} for its two berths.",
