@@ -117,7 +117,10 @@ def merged_in_sentences(tuples: DataFrame, scratch: Scratch) -> DataFrame:
     node = lambda kind, c: F.concat(F.lit(kind), F.md5(F.concat_ws("\x1f", group, c)))
     own = F.concat(F.lit("0"), F.col("tuple_id"))
     link = lambda kind, c: rows.where(~is_blank(F.col(c))).select(own.alias("u"), node(kind, F.col(c)).alias("v"))
-    labels = star_components(link("1", "subject").unionByName(link("2", "object")), scratch)
+    links = link("1", "subject").unionByName(link("2", "object"))
+    # A value that only one tuple has links nothing.
+    shared = links.groupBy("v").agg(F.count("*").alias("times")).where("times > 1").select("v")
+    labels = star_components(links.join(shared, "v", "left_semi"), scratch)
     named = rows.withColumn("node", own).join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     told = lambda c: F.when(~is_blank(F.col(c)), F.col(c))
     place = F.col("place")

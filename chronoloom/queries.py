@@ -14,6 +14,7 @@ from chronoloom.operators import concepts as CO
 from chronoloom.operators import docgraph as DG
 from chronoloom.operators import graph as GR
 from chronoloom.operators import lexical as LX
+from chronoloom.operators import payloads as PA
 from chronoloom.operators import similarity as SI
 from chronoloom.operators import timeline as TL
 from chronoloom.operators import tuples as TU
@@ -275,6 +276,34 @@ def extracted_tuples(spark, folder):
     return found.where("valid").select(F.col("custom_id").alias("sent_id"), F.col("t.subject")[0]["concept"].alias("subject"), F.col("t.relation.concept").alias("relation"), F.col("t.object")[0]["concept"].alias("object"))
 
 
+@query
+def context_windows(spark, folder):
+    """Every plain sentence with neighbours up to an estimated 120 tokens."""
+    return PA.context_windows(sentence_index(spark, folder).select("doc_id", "sentence_index", "text"), 120, 2)
+
+
+def _tuple_documents(spark, folder):
+    """Nested JSON of every sentence's tuples."""
+    t = _tuples(spark, folder).select("tuple_id", "source_sent_id", "subject", "time").distinct().where("source_sent_id is not null")
+    return t.groupBy("source_sent_id").agg(F.to_json(F.struct(F.col("source_sent_id").alias("sentence"), F.array_sort(F.collect_list(F.struct("tuple_id", "subject", "time"))).alias("tuples"))).alias("body"))
+
+
+@query
+def pruned_payloads(spark, folder):
+    """Nested tuples without those that clean-up deletes."""
+    gone = TU.delete_reasons(_tuples(spark, folder)).where(F.size("reasons") > 0)
+    left = F.from_json("body", "tuples array<struct<tuple_id:string>>")["tuples"]
+    return PA.pruned_payloads(_tuple_documents(spark, folder), "source_sent_id", "body", gone).select("source_sent_id", F.array_join(F.transform(left, lambda t: t["tuple_id"]), ",").alias("tuple_ids"))
+
+
+@query
+def retimed_payloads(spark, folder):
+    """Nested tuples with normal times."""
+    times = TU.with_normal_times(_tuples(spark, folder).select("tuple_id", "time").distinct()).where("time_known")
+    told = F.from_json("body", "tuples array<struct<tuple_id:string,time:string>>")["tuples"]
+    return PA.retimed_payloads(_tuple_documents(spark, folder), "source_sent_id", "body", times).select(F.explode(told).alias("t")).select("t.tuple_id", "t.time")
+
+
 # --- concepts and canonical ids --------------------------------------------------------------------------------------
 
 

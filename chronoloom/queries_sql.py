@@ -169,6 +169,10 @@ WITH {SENTENCES}, p AS (SELECT source_sent_id AS sent_id, count(DISTINCT tuple_i
 SELECT doc_id, count(*) AS requested, count(n) AS completed, coalesce(sum(n), 0)::BIGINT AS tuples FROM sx LEFT JOIN p USING (sent_id) GROUP BY doc_id"""
 SQL["sentences_without_tuples"] = f"WITH {SENTENCES} SELECT doc_id, sent_id FROM sx WHERE sent_id NOT IN (SELECT source_sent_id FROM raw_tuples WHERE source_sent_id IS NOT NULL)"
 
+SQL["pruned_payloads"] = REASONS + """, g AS (SELECT tuple_id FROM r WHERE dup OR same OR lost), a AS (SELECT DISTINCT source_sent_id, tuple_id, subject, time FROM raw_tuples WHERE source_sent_id IS NOT NULL)
+SELECT source_sent_id, coalesce(string_agg(tuple_id, ',' ORDER BY tuple_id) FILTER (tuple_id NOT IN (SELECT tuple_id FROM g)), '') AS tuple_ids FROM a GROUP BY source_sent_id"""
+SQL["retimed_payloads"] = f"SELECT DISTINCT tuple_id, CASE WHEN time = '' THEN '' ELSE coalesce({NORMAL}, time) END AS time FROM raw_tuples WHERE source_sent_id IS NOT NULL"
+
 # --- concepts
 OCC = f"""o AS (SELECT DISTINCT tuple_id, doc_id, source_sent_id AS source, ingested_at, unnest(['subject', 'object', 'relation', 'location']) AS slot, unnest(['entity', 'entity', 'relation', 'location']) AS type, unnest([0, 1, 2, 3]) AS n, unnest([subject, object, relation, location]) AS concept FROM raw_tuples),
 oc AS (SELECT * FROM o WHERE NOT {blank('concept')})"""
