@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from decimal import Decimal
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -126,13 +127,9 @@ def context_windows(sentences: DataFrame, budget: int, reach: int) -> DataFrame:
 
 
 def file_token(value) -> str:
-    """A number or word as part of a file name: minus as n, point as p."""
-    if isinstance(value, float):
-        text = f"{value:.6f}".rstrip("0").rstrip(".")
-        text = "0" if text in ("", "-0") else text
-    else:
-        text = str(value).strip() or "0"
-    return text.replace("-", "n").replace(".", "p")
+    """A number or word as part of a file name: six decimals at most, minus as n, point as p."""
+    text = format(Decimal(value).quantize(Decimal("0.000001")).normalize() + 0, "f") if isinstance(value, float) else str(value).strip()
+    return (text or "0").translate(str.maketrans("-.", "np"))
 
 
 def field_text(concept: Column, kind: Column, field: Column, content: Column) -> Column:

@@ -108,6 +108,27 @@ def checked_fields(results: DataFrame) -> DataFrame:
     return rows.select("custom_id", kind.alias("type"), F.when(kind.isNotNull(), fields).alias("fields"))
 
 
+def judge_requests(targets: DataFrame, candidates: DataFrame, k: int = 16) -> DataFrame:
+    """One per element with its nearest others in the block: ``targets``: ``id``, ``raw_str``; ``candidates``: ``id``, ``near``, ``near_str``, ``score``."""
+    rank = F.row_number().over(Window.partitionBy("id").orderBy(F.desc("score"), "near"))
+    few = candidates.withColumn("rank", rank).where(F.col("rank") <= k).groupBy("id").agg(F.transform(F.array_sort(F.collect_list(F.struct("rank", "near_str"))), lambda e: e["near_str"]).alias("candidates"))
+    rows = targets.join(few, "id", "left").withColumn("candidates", F.coalesce("candidates", F.array().cast("array<string>")))
+    return _request(rows, F.col("id"), F.col("raw_str").alias("target"), F.col("candidates"))
+
+
+def checked_names(results: DataFrame, field: str = "duplicates") -> DataFrame:
+    """``custom_id``, ``names``, ``valid`` of answers that are lists of names; blank names are dropped, a missing list isn't valid."""
+    told = results.select("custom_id", F.from_json("response", f"struct<{field}:array<string>>")[field].alias("n"))
+    names = F.array_distinct(F.filter(F.transform("n", F.trim), lambda x: F.length(x) > 0))
+    return told.select("custom_id", F.coalesce(names, F.array().cast("array<string>")).alias("names"), F.col("n").isNotNull().alias("valid"))
+
+
+def checked_text(results: DataFrame, field: str) -> DataFrame:
+    """``custom_id``, ``text``, ``valid`` of answers that are one text (a canonical name, a description), which must not be blank."""
+    told = F.trim(F.from_json("response", f"struct<{field}:string>")[field])
+    return results.select("custom_id", told.alias("text"), F.coalesce(F.length(told) > 0, F.lit(False)).alias("valid"))
+
+
 def cluster_requests(members: DataFrame) -> DataFrame:
     """One per cluster of bounded size: its concepts by name. ``members``: ``cluster_id``, ``concept``."""
     return _request(members.groupBy("cluster_id").agg(F.array_sort(F.collect_set("concept")).alias("concepts")), F.col("cluster_id"), F.col("concepts"))

@@ -102,6 +102,18 @@ def answered(requests: DataFrame, stored: DataFrame | None, make: Callable[[], P
     return keyed.select("custom_id", "key").join(known, "key")
 
 
+def write_requests(requests: DataFrame, path: str) -> None:
+    """Requests as JSON lines for a service that answers files; ``custom_id`` brings the answers back."""
+    requests.select("custom_id", "payload").write.mode("overwrite").json(path)
+
+
+def read_results(spark, path: str) -> DataFrame:
+    """Answers of such a service: ``custom_id``, ``response``, ``error``; of repeated ones one without error goes first."""
+    rows = spark.read.schema("custom_id string, response string, error string").json(path).where("custom_id is not null")
+    best = rows.groupBy("custom_id").agg(F.min(F.struct(F.col("error").isNotNull().alias("bad"), "response", "error")).alias("r"))
+    return best.select("custom_id", "r.response", "r.error")
+
+
 def assert_complete(requests: DataFrame, results: DataFrame) -> None:
     """Raises if a request has no answer."""
     lost = incomplete(requests, results).limit(5).collect()

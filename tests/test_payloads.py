@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from chronoloom.operators import payloads as PA
 from chronoloom.plans import model_stages as MS
-from chronoloom.plans.providers import RuleDescriber, RuleExtractor, ask
+from chronoloom.plans.providers import RuleDescriber, RuleExtractor, ask, read_results, write_requests
 
 
 def test_nested_payloads(spark):
@@ -67,6 +67,13 @@ def test_concept_stages(spark):
     assert v == {"a": (True, True), "b": (False, True), "c": (False, False)}
     f = {r["custom_id"]: (r["type"], r["fields"]) for r in MS.checked_fields(answers(spark, [("a", {"fields": {" 主体类别": "x", "核心角色": "y", "更多": "z"}}), ("b", {"fields": {"主体类别": "x", "核心角色": " "}}), ("c", {"fields": {"主体类别": "x", "核心角色": "y", "空间类型": "a", "区位范围": "b", "议题作用": "c"}})])).collect()}
     assert f == {"a": ("entity", {"主体类别": "x", "核心角色": "y"}), "b": (None, None), "c": (None, None)}
+    targets = spark.createDataFrame([("e1", "甲"), ("e2", "乙")], "id string, raw_str string")
+    close = spark.createDataFrame([("e1", "e2", "乙", 0.9), ("e1", "e3", "丙", 0.95)], "id string, near string, near_str string, score double")
+    assert {r["custom_id"]: json.loads(r["payload"])["candidates"] for r in MS.judge_requests(targets, close, k=1).collect()} == {"e1": ["丙"], "e2": []}
+    names = {r["custom_id"]: (r["names"], r["valid"]) for r in MS.checked_names(answers(spark, [("a", {"duplicates": [" x", "x", ""]}), ("b", {})])).collect()}
+    assert names == {"a": (["x"], True), "b": ([], False)}
+    texts = {r["custom_id"]: r["valid"] for r in MS.checked_text(answers(spark, [("a", {"canonical_str": "x"}), ("b", {"canonical_str": " "}), ("c", None)]), "canonical_str").collect()}
+    assert texts == {"a": True, "b": False, "c": False}
     m = spark.createDataFrame([("c1", "b"), ("c1", "a")], "cluster_id string, concept string")
     assert json.loads(MS.cluster_requests(m).first()["payload"])["concepts"] == ["a", "b"]
     t = spark.createDataFrame([("d", "t2", "s", "r", "o", None), ("d", "t1", "s", "r", "o", None)], "doc_id string, tuple_id string, subject string, relation string, object string, time string")
@@ -75,3 +82,12 @@ def test_concept_stages(spark):
     stored = spark.createDataFrame([("entity", "甲", "old", [1.0]), ("entity", "乙", "same", [2.0]), ("entity", "丙", "x", [3.0])], "type string, concept string, description string, vector array<double>")
     need, keep = MS.vector_sync(p, stored)
     assert [r["concept"] for r in need.collect()] == ["甲"] and [r["concept"] for r in keep.collect()] == ["乙"]
+
+
+def test_answered_files(spark, tmp_path):
+    asked = spark.createDataFrame([("1", "{}"), ("2", "{}")], "custom_id string, payload string")
+    write_requests(asked, str(tmp_path / "out"))
+    assert spark.read.json(str(tmp_path / "out")).count() == 2
+    (tmp_path / "in.jsonl").write_text('{"custom_id": "1", "error": "busy"}\n{"custom_id": "1", "response": "{}"}\n{"custom_id": "2", "response": "{}"}\n')
+    got = read_results(spark, str(tmp_path / "in.jsonl"))
+    assert got.count() == 2 and got.where("error is not null").count() == 0
