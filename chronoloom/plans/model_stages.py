@@ -119,7 +119,7 @@ def judge_requests(targets: DataFrame, candidates: DataFrame, k: int = 16) -> Da
 def checked_names(results: DataFrame, field: str = "duplicates") -> DataFrame:
     """``custom_id``, ``names``, ``valid`` of answers that are lists of names; blank names are dropped, a missing list isn't valid."""
     told = results.select("custom_id", F.from_json("response", f"struct<{field}:array<string>>")[field].alias("n"))
-    names = F.array_distinct(F.filter(F.transform("n", F.trim), lambda x: F.length(x) > 0))
+    names = F.array_distinct(F.filter(F.transform("n", lambda x: F.trim(x)), lambda x: F.length(x) > 0))
     return told.select("custom_id", F.coalesce(names, F.array().cast("array<string>")).alias("names"), F.col("n").isNotNull().alias("valid"))
 
 
