@@ -9,10 +9,11 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from chronoloom.llm.batches import slices
+
 #: Where the public tokenizer files are.
 FOLDER = os.environ.get("TOKENIZERS", "/opt/tokenizers")
 #: Fixed value: the pattern of pre-tokens of this tokenizer.
@@ -244,19 +245,9 @@ def token_ids(documents: DataFrame, name: str = "byte_bpe_50k", folder: str = FO
 
     def encode(batches):
         own = encoder(path)
-        for batch in batches:
-            for part in _slices(batch):
-                ids, n = own.encode(part.column("text").to_pylist())
-                offsets = np.r_[0, np.cumsum(n)].astype(np.int32)
-                yield pa.record_batch([part.column("doc_id"), pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids))], names=["doc_id", "ids"])
+        for part in slices(batches, "text"):
+            ids, n = own.encode(part.column("text").to_pylist())
+            offsets = np.r_[0, np.cumsum(n)].astype(np.int32)
+            yield pa.record_batch([part.column("doc_id"), pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids))], names=["doc_id", "ids"])
 
     return documents.select("doc_id", "text").mapInArrow(encode, schema)
-
-
-def _slices(batch: pa.RecordBatch, most: int = 12_000_000):
-    """The batch in slices of about so many bytes of text, a row at least."""
-    size = pa.compute.fill_null(pa.compute.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)
-    part = np.cumsum(size) // most
-    edges = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(size)] if len(size) else [0]
-    for a, b in zip(edges, edges[1:], strict=False):
-        yield batch.slice(a, b - a)

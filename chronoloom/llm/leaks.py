@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from chronoloom.functions.text import fold_table
+from chronoloom.llm.batches import slices
 
 #: Letters of a k-gram and k-grams of a window; a shared span of K + WINDOW - 1 letters always has a common fingerprint.
 K = 5
@@ -209,7 +210,7 @@ def leaked(documents: DataFrame, items: DataFrame, scores: bool = False) -> Data
 
     def search(batches):
         index = shipped.value
-        for batch in batches:
+        for batch in slices(batches, "text"):
             found = index.leaks(batch.column("text").to_pylist())
             if not scores:
                 found = [f for f in found if f[2] >= index.need[f[1]]]

@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from chronoloom.llm.batches import slices
+
 #: Quotation marks, and other brackets, with their closing signs.
 QUOTES = {"“": "”", "「": "」", "『": "』", "«": "»", "„": "“", "‹": "›", '"': '"', "＂": "＂"}
 BRACKETS = {"（": "）", "(": ")", "《": "》", "〈": "〉", "【": "】", "[": "]", "〔": "〕", "［": "］"}
@@ -228,7 +230,7 @@ def sentences(documents: DataFrame, key: str, text: str) -> DataFrame:
     schema = T.StructType([documents.schema[key], T.StructField("start_char", T.LongType()), T.StructField("end_char", T.LongType())])
 
     def cut(batches):
-        for batch in batches:
+        for batch in slices(batches, text):
             found = [spans(t) for t in batch.column(1).to_pylist()]
             n = np.array([len(f) for f in found], dtype=np.int64)
             flat = np.array([x for f in found for x in f], dtype=np.int64).reshape(-1, 2)
