@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import hashlib
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from chronoloom.functions.text import collect_sentences
 
@@ -16,15 +15,26 @@ DIMENSION = 64
 
 
 def hashed_vector(text: str, dimension: int = DIMENSION) -> list[float]:
-    """The offline stand-in for an embedding: counts of pairs of neighbouring signs, hashed with MD5, scaled to length 1."""
-    v = np.zeros(dimension)
-    for a in range(max(1, len(text) - 1)):
-        h = hashlib.md5(text[a : a + 2].encode()).digest()
-        v[h[0] % dimension] += 1 if h[1] & 1 else -1
+    """The offline stand-in for an embedding: signed counts of hashed pairs of neighbouring signs, scaled to length 1."""
+    code = np.frombuffer((text or " ").encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.uint64)
+    right = code[1:] if len(code) > 1 else code
+    with np.errstate(over="ignore"):
+        h = (code[: len(right)] * np.uint64(0x9E3779B97F4A7C15)) ^ (right * np.uint64(0xC2B2AE3D27D4EB4F))
+        h ^= h >> np.uint64(31)
+        h *= np.uint64(0x94D049BB133111EB)
+        h ^= h >> np.uint64(29)
+    v = np.bincount((h % np.uint64(dimension)).astype(np.int64), np.where(h >> np.uint64(63), 1.0, -1.0), dimension)
     n = np.linalg.norm(v)
     return (v / n if n else v).tolist()
 
 
+@F.pandas_udf(T.ArrayType(T.DoubleType()))
+def hashed(texts: pd.Series) -> pd.Series:
+    """``hashed_vector`` for a column, distinct texts of a batch once each."""
+    known = {t: hashed_vector(t) for t in texts.dropna().unique()}
+    return texts.map(known).where(texts.notna(), None)
+
+
 def sentence_vectors(news: DataFrame, embed=hashed_vector) -> DataFrame:
     """Unit vectors of a document's plain sentences: ``doc_id``, ``n`` (from 0), ``vector``; distinct sentences of a batch are embedded once."""
     rows = news.select("doc_id", F.posexplode(collect_sentences(F.col("normalized_text"))).alias("n", "sentence"))

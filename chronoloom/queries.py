@@ -153,8 +153,7 @@ def hybrid_search(spark, folder):
     news = _news(spark, folder)
     asked = news.where("news_id % 100 = 0").select(F.col("news_id").alias("query_id"), X.stem(F.col("file_name")).alias("text"))
     docs = news.select(F.col("news_id").alias("doc_id"), F.coalesce("normalized_text", F.lit("")).alias("text"))
-    embed = F.udf(DG.hashed_vector, "array<double>")
-    near = SI.search(asked.select(F.col("query_id").alias("id"), embed("text").alias("vector")), docs.select(F.col("doc_id").alias("id"), embed("text").alias("vector")), k=50)
+    near = SI.search(asked.select(F.col("query_id").alias("id"), DG.hashed("text").alias("vector")), docs.select(F.col("doc_id").alias("id"), DG.hashed("text").alias("vector")), k=50)
     return LX.hybrid(near.select(F.col("query").alias("query_id"), F.col("id").alias("doc_id"), "score"), LX.bm25(asked, docs, k=50), 0.5, 10)
 
 
