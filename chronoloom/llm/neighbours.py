@@ -85,7 +85,7 @@ def cell_neighbours(ids: np.ndarray, x: np.ndarray, k: int, least: float, sure:
     return np.concatenate(out_row), np.concatenate(out_near), np.concatenate(out_cos)
 
 
-def neighbours(elements: DataFrame, k: int = 5, least: float = 0.76, dimension: int = 96, sure: float = 0.995) -> DataFrame:
+def neighbours(elements: DataFrame, k: int = 5, least: float = 0.76, dimension: int = 96, sure: float = 0.999) -> DataFrame:
     """The k most similar vectors of the same type of every vector: ``id``, ``near``, ``cos``, ``rank`` (from 1).
 
     ``elements``: ``id``, ``type``, ``vector``; other columns are ignored. Only cosines of at least ``least`` count

@@ -130,3 +130,13 @@ def p10_found(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def p7_found(spark: SparkSession, folder: str) -> DataFrame:
     return sentences(table(spark, folder, "raw_news", "news_id", "normalized_text"), "news_id", "normalized_text")
+
+_UNITS = """
+WITH d AS (SELECT DISTINCT id, type, vector::DOUBLE[] AS v FROM dedup_elements WHERE len(vector) = 96),
+f AS (SELECT id, type, v FROM d WHERE len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(v, lambda x: x <> 0)) > 0),
+u AS (SELECT id, type, list_transform(v, lambda x: x / sqrt(list_inner_product(v, v))) AS u FROM f)
+"""
+#: Clusters are sets of which all pairs, and no others, reach the cosine; so the pairs that reach it are the pairs of clusters.
+SQL["p1_found"] = _UNITS + "SELECT a.id AS id_a, b.id AS id_b FROM u a JOIN u b ON a.type = b.type AND a.id < b.id WHERE list_inner_product(a.u, b.u) >= 0.77"
+SQL["p5_found"] = _UNITS + """, s AS (SELECT a.id, b.id AS near, round(list_inner_product(a.u, b.u), 7) AS c FROM u a JOIN u b ON a.type = b.type AND a.id <> b.id),
+k AS (SELECT id, near FROM s WHERE c >= 0.76 QUALIFY row_number() OVER (PARTITION BY id ORDER BY c DESC, near) <= 5) SELECT DISTINCT least(id, near) AS id_a, greatest(id, near) AS id_b FROM k"""

@@ -12,6 +12,8 @@ from pyspark.sql import types as T
 
 #: Vectors that the centres of a type are fitted on, at most; every vector is indexed all the same.
 SAMPLE_ROWS = 16_000
+#: Rows of a type for each of its cells, as long as that gives no more than twice the square root of its rows.
+ROWS_PER_CELL = 250
 #: Cells that a vector is put into, at most.
 MOST_CELLS = 4
 #: Rows of a block; a cell of more is worked on in pairs of blocks.
@@ -55,7 +57,7 @@ def unit(block: np.ndarray) -> np.ndarray:
 
 
 def fit_centres(vectors: DataFrame, dimension: int, seed: int = 7) -> dict[str, np.ndarray]:
-    """Cell centres of each type, fitted on a bounded sample: twice the square root of the type's rows of them.
+    """Cell centres of each type, fitted on a bounded sample.
 
     The sample is the rows with the smallest hash of their id, so it doesn't depend on the partitioning.
     """
@@ -70,7 +72,7 @@ def fit_centres(vectors: DataFrame, dimension: int, seed: int = 7) -> dict[str,
         rows = low.where(F.col("type") == kind).select("vector").limit(SAMPLE_ROWS).toArrow().column(0).combine_chunks()
         x = rows.values.to_numpy(zero_copy_only=False).reshape(-1, dimension) if len(rows) else np.ones((1, dimension))
         x = unit(x).astype(np.float32)
-        out[kind] = _spherical_kmeans(x, max(1, min(len(x), int(2 * math.sqrt(n)))), 4, seed)
+        out[kind] = _spherical_kmeans(x, max(1, min(len(x), n // ROWS_PER_CELL, int(2 * math.sqrt(n)))), 4, seed)
     return out
 
 
