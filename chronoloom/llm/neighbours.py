@@ -6,11 +6,12 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from chronoloom.llm.vectors import BLOCK_ROWS, chi_square_quantile, fit_centres, into_cells, unit, usable
 from chronoloom.operators.blocks import pair_blocks
+from chronoloom.sources.tables import Scratch
 
 #: Dimensions of the stable projection that the kd-tree of a cell is built on.
 PROJECTED = 8
@@ -85,6 +86,23 @@ def cell_neighbours(ids: np.ndarray, x: np.ndarray, k: int, least: float, sure:
     return np.concatenate(out_row), np.concatenate(out_near), np.concatenate(out_cos)
 
 
+def followers(vectors: DataFrame, k: int) -> DataFrame:
+    """Copies that needn't be searched for: ``type``, ``id``, ``leader``.
+
+    Of more than k + 1 rows of a type with the very same vector those with the k + 1 smallest ids stay in the index.
+    The last of these, the leader, has the other k before itself, and so has every further copy: their neighbours
+    are the same. Copies are told by 96 bits of hashes; the limit on the rank works before the shuffle too, so a
+    group of a third of all rows costs a few rows per task.
+    """
+    same = ["type", "h1", "h2"]
+    rows = vectors.select("type", "id", F.xxhash64("vector").alias("h1"), F.hash("vector").alias("h2")).distinct()
+    many = rows.groupBy(*same).agg(F.count("*").alias("copies")).where(F.col("copies") > k + 1).select(*same)
+    hot = rows.join(many, same, "left_semi")
+    first = hot.withColumn("rank", F.row_number().over(Window.partitionBy(*same).orderBy("id"))).where(F.col("rank") <= k + 1)
+    leaders = first.groupBy(*same).agg(F.max("id").alias("leader"))
+    return hot.join(leaders, same).where("id > leader").select("type", "id", "leader")
+
+
 def neighbours(elements: DataFrame, k: int = 5, least: float = 0.76, dimension: int = 96, sure: float = 0.999) -> DataFrame:
     """The k most similar vectors of the same type of every vector: ``id``, ``near``, ``cos``, ``rank`` (from 1).
 
@@ -95,9 +113,14 @@ def neighbours(elements: DataFrame, k: int = 5, least: float = 0.76, dimension:
 
     The cells (see ``into_cells``) bring the cost of a query down from all rows to a few cells; inside a cell the
     neighbours are found by a kd-tree over stable projections. Shuffled are the vectors, once per cell they are in,
-    and the best k of each cell.
+    and the best k of each cell. Large groups of copies are searched for once (see ``followers``).
     """
     vectors = usable(elements, dimension)
+    scratch = Scratch(elements.sparkSession, "neighbours")
+    copies = scratch.cut(followers(vectors, k), "copies")
+    some = copies.limit(1).count() > 0
+    if some:
+        vectors = vectors.join(copies.select("type", "id"), ["type", "id"], "left_anti")
     centres = fit_centres(vectors, dimension)
     reach = math.sqrt(2 - 2 * least)
     tasks = pair_blocks(into_cells(vectors, centres, dimension, reach, sure), ["type", "cell"], "id", BLOCK_ROWS)
@@ -117,7 +140,11 @@ def neighbours(elements: DataFrame, k: int = 5, least: float = 0.76, dimension:
 
     found = tasks.groupBy("type", "cell", "i", "j").applyInPandas(work, "id string, near string, cos double")
     best = found.groupBy("id").agg(F.slice(F.array_sort(F.collect_set(F.struct((-F.col("cos")).alias("far"), "near"))), 1, k).alias("b"))
-    return best.select("id", F.posexplode("b").alias("p", "e")).select("id", F.col("e.near").alias("near"), (-F.col("e.far")).alias("cos"), (F.col("p") + 1).alias("rank"))
+    out = best.select("id", F.posexplode("b").alias("p", "e")).select("id", F.col("e.near").alias("near"), (-F.col("e.far")).alias("cos"), (F.col("p") + 1).alias("rank"))
+    if not some:
+        return out
+    out = scratch.cut(out, "found")
+    return out.unionByName(copies.join(out.withColumnRenamed("id", "leader"), "leader").select("id", "near", "cos", "rank"))
 
 
 def neighbour_pairs(elements: DataFrame, **parameters) -> DataFrame:

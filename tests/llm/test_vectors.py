@@ -60,6 +60,17 @@ def test_neighbours_in_blocks_are_the_same(spark, monkeypatch):
     assert set(NB.neighbours(df, k=5, least=0.7, dimension=24).select("id", "near", "rank").collect()) == whole
 
 
+def test_hot_copies(spark):
+    x = cloud(300)
+    x = np.vstack([x, np.repeat(x[5:6], 2000, axis=0)])
+    x = x[np.random.default_rng(2).permutation(len(x))]
+    df = frame(spark, x)
+    assert NB.followers(df, 5).count() == 2001 - 6
+    got = {(r["id_a"], r["id_b"]) for r in NB.neighbour_pairs(df, k=5, least=0.7, dimension=24).collect()}
+    want = expected_pairs(cosines(x), 5, 0.7)
+    assert len(got & want) / len(want) >= 0.99 and len(got - want) <= 0.01 * len(want)
+
+
 def test_one_cell_is_exact():
     x = cloud(400)
     s = cosines(x)
