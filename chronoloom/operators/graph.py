@@ -21,7 +21,9 @@ def star_components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     Large and small stars alternate until nothing changes, which takes a number of rounds in the logarithm of the
     longest path; each round is two joins on vertices and partial aggregations, cut off by a written table.
     """
-    pairs = edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
+    pairs = scratch.cut(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "pairs")
+    if not pairs.limit(1).count():
+        return pairs.select(F.col("u").alias("node"), F.col("v").alias("label"))
     before = None
     while True:
         sym = both_ways(pairs, "u", "v")

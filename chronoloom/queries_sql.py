@@ -124,23 +124,22 @@ WITH u AS (SELECT DISTINCT tuple_id, time FROM raw_tuples WHERE NOT {blank('time
 SELECT time, count(*) AS tuples, list(tuple_id ORDER BY tuple_id) FILTER (n <= 5) AS sample_ids FROM r GROUP BY time"""
 NUM = "coalesce(try_cast(regexp_extract(tuple_id, '^.*_{0}(\\d+)', 1) AS INT), 0)"
 PLACE = f"{NUM.format('s')} AS ps, {NUM.format('t')} AS pt"
-REASONS = f"""
-WITH {T}, c AS (SELECT tuple_id, doc_id, sent_id, subject, relation, object, location, time, source_sent_id, confidence, count(*) AS copies, {SIGNATURE} AS st, {PLACE} FROM raw_tuples GROUP BY ALL),
-r AS (SELECT *, row_number() OVER (PARTITION BY doc_id, subject, relation, object, location, st ORDER BY ps, pt, tuple_id) > 1
+JUDGED_ROWS = f"""c AS (SELECT tuple_id, doc_id, sent_id, subject, relation, object, location, time, source_sent_id, confidence, count(*) AS copies, {SIGNATURE} AS st, {PLACE} FROM raw_tuples GROUP BY ALL),
+jr AS (SELECT *, row_number() OVER (PARTITION BY doc_id, subject, relation, object, location, st ORDER BY ps, pt, tuple_id) > 1
  AND (ps, pt, tuple_id) <> first_value((ps, pt, tuple_id)) OVER (PARTITION BY doc_id, subject, relation, object, location, st ORDER BY ps, pt, tuple_id) AS dup,
  coalesce(subject = object, false) AS same, NOT {blank('time')} AND {NORMAL} IS NULL AS lost FROM c)"""
+REASONS = f"WITH {JUDGED_ROWS} "
 SQL["tuple_delete_reasons"] = REASONS + """
 SELECT tuple_id, copies, array_to_string(list_filter([CASE WHEN dup THEN 'duplicate_in_doc' END, CASE WHEN same THEN 'subject_equals_object' END, CASE WHEN lost THEN 'unreliable_time_anchor' END], lambda x: x IS NOT NULL), ',') AS reasons
-FROM r WHERE dup OR same OR lost OR copies > 1"""
-SQL["cleaned_tuples"] = REASONS + "SELECT tuple_id, doc_id, sent_id, subject, relation, object, location, time, source_sent_id, confidence FROM r WHERE NOT (dup OR same OR lost)"
+FROM jr WHERE dup OR same OR lost OR copies > 1"""
+SQL["cleaned_tuples"] = REASONS + "SELECT tuple_id, doc_id, sent_id, subject, relation, object, location, time, source_sent_id, confidence FROM jr WHERE NOT (dup OR same OR lost)"
 SQL["story_order"] = f"""
 WITH {T}, n AS (SELECT tuple_id, doc_id, CASE WHEN time = '' THEN '' ELSE coalesce({NORMAL}, time) END AS time, {PLACE} FROM t),
 a AS (SELECT *, regexp_extract(string_split({strip('time')}, '/')[1], '^(\\d{{4}})(-\\d{{1,2}})?(-\\d{{1,2}})?$', ['y', 'm', 'd']) AS g FROM n),
 b AS (SELECT tuple_id, doc_id, time, ps, pt, try_cast(g.y AS INT) AS y, try_cast(ltrim(g.m, '-') AS INT) AS m, try_cast(ltrim(g.d, '-') AS INT) AS d FROM a),
 c AS (SELECT *, y IS NOT NULL AND max(coalesce((y IS NOT NULL AND m IS NULL)::INT, 0)) OVER (PARTITION BY doc_id, y) = 1 AS cy, m IS NOT NULL AND max((m IS NOT NULL AND d IS NULL)::INT) OVER (PARTITION BY doc_id, y, m) = 1 AS cm FROM b)
 SELECT tuple_id, doc_id, time, row_number() OVER (PARTITION BY doc_id ORDER BY y IS NULL, coalesce(y, 0), CASE WHEN cy THEN 0 ELSE coalesce(m, 0) END, CASE WHEN cy OR cm THEN 0 ELSE coalesce(d, 0) END, ps, pt, tuple_id) AS position FROM c"""
-MERGE = f"""
-WITH RECURSIVE {T}, r AS (SELECT *, {SENT} AS sentence_id, {PLACE} FROM t),
+MERGING = f"""r AS (SELECT *, {SENT} AS sentence_id, {PLACE} FROM t),
 k AS (SELECT tuple_id AS u, struct_pack(s := sentence_id, r := relation, t := time, e := 1, v := subject)::VARCHAR AS v FROM r WHERE NOT {blank('subject')}
   UNION ALL SELECT tuple_id, struct_pack(s := sentence_id, r := relation, t := time, e := 2, v := object)::VARCHAR FROM r WHERE NOT {blank('object')}),
 near AS (SELECT DISTINCT a.u AS a, b.u AS b FROM k a JOIN k b ON a.v = b.v),
@@ -152,12 +151,16 @@ vals AS (SELECT root, 's' AS kind, subject AS v, min((ps, pt, tuple_id)) AS p FR
 lists AS (SELECT root, coalesce(list(v ORDER BY p) FILTER (kind = 's'), []) AS subjects, coalesce(list(v ORDER BY p) FILTER (kind = 'o'), []) AS objects, coalesce(list(v ORDER BY p) FILTER (kind = 'l'), []) AS locations FROM vals GROUP BY root),
 m AS (SELECT arg_min(tuple_id, (ps, pt, tuple_id)) AS tuple_id, min(doc_id) AS doc_id, min(sentence_id) AS sentence_id, min(relation) AS relation, min(time) AS time, coalesce(any_value(subjects), []) AS subjects, coalesce(any_value(objects), []) AS objects, coalesce(any_value(locations), []) AS locations, count(*) AS members
   FROM g LEFT JOIN lists USING (root) GROUP BY root)"""
+MERGE = f"WITH RECURSIVE {T}, {MERGING} "
 SQL["merged_sentence_tuples"] = MERGE + "SELECT * FROM m"
-ACROSS = MERGE + f""", q AS (SELECT *, {PLACE} FROM m),
+DOCUMENTS = f""", q AS (SELECT *, {PLACE} FROM m),
 lo AS (SELECT doc_id, subjects, relation, objects, time, l, min((ps, pt, tuple_id, i)) AS p FROM (SELECT *, unnest(locations) AS l, generate_subscripts(locations, 1) AS i FROM q) GROUP BY ALL),
 lx AS (SELECT doc_id, subjects, relation, objects, time, list(l ORDER BY p) AS locations FROM lo GROUP BY ALL),
 d AS (SELECT doc_id, subjects, relation, objects, time, arg_min(tuple_id, (ps, pt, tuple_id)) AS tuple_id, arg_min(sentence_id, (ps, pt, tuple_id)) AS sentence_id, sum(members)::BIGINT AS members, count(*) AS copies FROM q GROUP BY ALL),
 x AS (SELECT d.*, coalesce(lx.locations, []) AS locations FROM d LEFT JOIN lx ON lx.doc_id = d.doc_id AND lx.subjects = d.subjects AND lx.relation = d.relation AND lx.objects = d.objects AND lx.time IS NOT DISTINCT FROM d.time)"""
+ACROSS = MERGE + DOCUMENTS
+FINE = f"t AS (SELECT tuple_id, doc_id, sent_id, subject, relation, object, location, CASE WHEN time = '' THEN '' ELSE coalesce({NORMAL}, time) END AS time, source_sent_id, confidence FROM jr WHERE NOT (dup OR same OR lost))"
+SQL["tuple_chain"] = f"WITH RECURSIVE {JUDGED_ROWS}, {FINE}, {MERGING} " + DOCUMENTS + " SELECT * FROM x"
 SQL["merged_document_tuples"] = ACROSS + "SELECT * FROM x"
 SQL["merged_export_stats"] = ACROSS + """
 SELECT (SELECT count(*) FROM t) AS tuples, (SELECT count(*) FROM m) AS sentence_tuples, (SELECT count(*) FROM m WHERE members > 1) AS merged_groups, (SELECT sum(members - 1)::BIGINT FROM m) AS merged_away,
@@ -169,7 +172,7 @@ WITH {SENTENCES}, p AS (SELECT source_sent_id AS sent_id, count(DISTINCT tuple_i
 SELECT doc_id, count(*) AS requested, count(n) AS completed, coalesce(sum(n), 0)::BIGINT AS tuples FROM sx LEFT JOIN p USING (sent_id) GROUP BY doc_id"""
 SQL["sentences_without_tuples"] = f"WITH {SENTENCES} SELECT doc_id, sent_id FROM sx WHERE sent_id NOT IN (SELECT source_sent_id FROM raw_tuples WHERE source_sent_id IS NOT NULL)"
 
-SQL["pruned_payloads"] = REASONS + """, g AS (SELECT tuple_id FROM r WHERE dup OR same OR lost), a AS (SELECT DISTINCT source_sent_id, tuple_id, subject, time FROM raw_tuples WHERE source_sent_id IS NOT NULL)
+SQL["pruned_payloads"] = REASONS + """, g AS (SELECT tuple_id FROM jr WHERE dup OR same OR lost), a AS (SELECT DISTINCT source_sent_id, tuple_id, subject, time FROM raw_tuples WHERE source_sent_id IS NOT NULL)
 SELECT source_sent_id, coalesce(string_agg(tuple_id, ',' ORDER BY tuple_id) FILTER (tuple_id NOT IN (SELECT tuple_id FROM g)), '') AS tuple_ids FROM a GROUP BY source_sent_id"""
 SQL["retimed_payloads"] = f"SELECT DISTINCT tuple_id, CASE WHEN time = '' THEN '' ELSE coalesce({NORMAL}, time) END AS time FROM raw_tuples WHERE source_sent_id IS NOT NULL"
 
