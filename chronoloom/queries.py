@@ -315,8 +315,9 @@ def concept_pool(spark, folder):
 def pool_upsert(spark, folder):
     """Element versions put into a pool in the order of their numbers; the latest description wins."""
     v = table(spark, folder, "element_versions").distinct()
-    rows = v.select("type", F.col("raw_str").alias("concept"), "description", F.array("origin").alias("contexts"), F.col("record_id").alias("seq"))
-    return CO.updated_pool(rows.where("seq % 2 = 0"), rows.where("seq % 2 = 1")).select("type", "concept", "description", F.array_sort("contexts").alias("contexts"), "seq")
+    kept = lambda rows: rows.select("type", F.col("raw_str").alias("concept"), "description", F.array("origin").alias("contexts"), F.col("record_id").alias("seq"))
+    # Undated versions are the pool, dated ones come to it.
+    return CO.updated_pool(kept(v.where("updated_at is null")), kept(v.where("updated_at is not null"))).select("type", "concept", "description", F.array_sort("contexts").alias("contexts"), "seq")
 
 
 @query
@@ -458,7 +459,7 @@ def link_candidates(spark, folder):
     """Labels as entries with many aliases: for the query set the three nearest labels by their best vector."""
     v = _vectors(spark, folder)
     aliases = v.select(F.lit("entity").alias("type"), F.col("id").cast("string").alias("alias_key"), F.col("label").cast("string").alias("cid"))
-    rows = v.where("id % 100 <> 0").select(F.lit("entity").alias("type"), F.col("id").cast("string").alias("alias_key"), "vector")
+    rows = v.select(F.lit("entity").alias("type"), F.col("id").cast("string").alias("alias_key"), "vector")
     return CA.link_candidates(rows, aliases, v.where("id % 100 = 0").select(F.col("id").alias("ask_id"), "vector"))
 
 

@@ -241,7 +241,7 @@ WITH v AS (SELECT vec_id AS id, embedding[1:20]::DOUBLE[] AS a, embedding[21:40]
 s AS (SELECT x.id AS query, y.id AS id, round(0.4 * list_cosine_similarity(x.a, y.a) + 0.4 * list_cosine_similarity(x.b, y.b) + 0.2 * list_cosine_similarity(x.c, y.c), 9) AS score FROM v x JOIN v y ON x.id % 100 = 0 AND x.id <> y.id)
 SELECT query, id, round(score, 6) AS score, row_number() OVER (PARTITION BY query ORDER BY score DESC, id)::INT AS rank FROM s QUALIFY rank <= 5"""
 SQL["link_candidates"] = f"""
-WITH {V}, s AS (SELECT a.id AS ask_id, b.label::VARCHAR AS cid, max(round(list_inner_product(a.u, b.u), 9)) AS score FROM u a JOIN u b ON a.id % 100 = 0 AND b.id % 100 <> 0 GROUP BY ALL)
+WITH {V}, s AS (SELECT a.id AS ask_id, b.label::VARCHAR AS cid, max(round(list_inner_product(a.u, b.u), 9)) AS score FROM u a JOIN u b ON a.id % 100 = 0 GROUP BY ALL)
 SELECT ask_id, cid, round(score, 6) AS score, row_number() OVER (PARTITION BY ask_id ORDER BY score DESC, cid)::INT AS rank FROM s QUALIFY rank <= 3"""
 SQL["document_edges"] = """
 WITH q AS (SELECT vec_id AS id, unnest([1, 2, 3, 4]) AS k, unnest([embedding[1:16]::DOUBLE[], embedding[17:32]::DOUBLE[], embedding[33:48]::DOUBLE[], embedding[49:64]::DOUBLE[]]) AS e FROM embeddings),
