@@ -15,7 +15,7 @@ SAMPLE_ROWS = 16_000
 #: Rows of a type for each of its cells, as long as that gives no more than twice the square root of its rows.
 ROWS_PER_CELL = 250
 #: Cells that a vector is put into, at most.
-MOST_CELLS = 4
+MOST_CELLS = 5
 #: Rows of a block; a cell of more is worked on in pairs of blocks.
 BLOCK_ROWS = 4_000
 
