@@ -82,13 +82,13 @@ def into_cells(vectors: DataFrame, centres: dict[str, np.ndarray], dimension: in
     A neighbour at a distance of at most ``reach`` lies beyond the border to the next cell only if it differs by
     more than the vector's own distance to that border along one fixed direction. That difference, squared and in
     units of ``reach``² / ``dimension``, is taken as chi-square with one degree of freedom; once it exceeds the
-    quantile ``sure``, further cells aren't visited. Result: ``type``, ``cell``, ``id``, ``v`` (the vector as it is,
+    quantile ``sure``, further cells aren't visited. Result: ``type``, ``cell``, ``home`` (the nearest), ``id``, ``v`` (the vector as it is,
     float32 bytes: scaling it first would cost the seventh decimal).
     """
     spark = vectors.sparkSession
     shipped = spark.sparkContext.broadcast(centres)
     limit = math.sqrt(chi_square_quantile(1, sure) * reach * reach / dimension)
-    schema = T.StructType([T.StructField("type", T.StringType()), T.StructField("cell", T.IntegerType()), T.StructField("id", T.StringType()), T.StructField("v", T.BinaryType())])
+    schema = T.StructType([T.StructField("type", T.StringType()), T.StructField("cell", T.IntegerType()), T.StructField("home", T.BooleanType()), T.StructField("id", T.StringType()), T.StructField("v", T.BinaryType())])
 
     def assign(batches):
         for batch in batches:
@@ -117,10 +117,11 @@ def into_cells(vectors: DataFrame, centres: dict[str, np.ndarray], dimension: in
                         [
                             pa.array([kind] * len(row), pa.string()),
                             pa.array(near[row, col].astype(np.int32)),
+                            pa.array(col == 0),
                             ids.take(pa.array(part[row])),
                             pa.array([raw[j * step : (j + 1) * step] for j in range(len(row))], pa.binary()),
                         ],
-                        names=["type", "cell", "id", "v"],
+                        names=["type", "cell", "home", "id", "v"],
                     )
 
     return vectors.select("type", "id", "vector").mapInArrow(assign, schema)
