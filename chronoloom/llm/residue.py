@@ -56,35 +56,42 @@ GARBLED_SHARE = 0.2
 
 
 #: Signs without which the pattern of the same place can't match: looking for them is much cheaper than the pattern.
+#: For patterns in which case doesn't count they are looked for in the text in lower case.
 GRAMMAR_SIGNS = [["{{", "{%", "${"], ["<%", "<?=", "@@", "[["], ["__"], ["{", "[", "【"], ["#", "%", "$"], ["<", "&lt;"], ["%s", "%d", "[object"]]
-FILLER_SIGNS = [["XX", "××", "X年", "正文"], ["___", "模板自动生成", "TODO", "FIXME"], ["此处", "在此", "占位文字", "替换为"], ["undefined", "NaN", "null"], ["ipsum", "IPSUM", "eplace this", " here", " HERE"]]
+FILLER_SIGNS = [["XX", "××", "正文"], ["___", "模板自动生成", "TODO", "FIXME"], ["此处", "在此", "占位文字", "替换为"], ["undefined", "NaN", "null"], ["lorem ipsum", "replace this", "text here", "content here", "goes here"]]
 NOTICE_SIGNS = [
-    ["avascript", "avaScript", "AVASCRIPT"],
-    ["avascript", "avaScript", "脚本", "<noscript>"],
-    ["404 ", "502 ", "503 ", "504 ", "rror 50", "ERROR 50", "nternal server", "nternal Server", "INTERNAL SERVER", "enied", "DENIED", "permission", "PERMISSION", "nvalid or"],
-    ["hecking your", "CHECKING YOUR", "raceback", "nginx/"],
+    ["javascript"],
+    ["javascript", "脚本", "<noscript>"],
+    ["404 not", "502 bad", "503 service", "504 gateway", "error 50", "internal server", "access denied", "permission to access", "invalid or incomplete"],
+    ["checking your browser", "traceback (most", "nginx/"],
     ["访问", "验证后", "系统维护", "请求的", "返回首页", "加载失败"],
 ]
 
 
-def _any(c: Column, patterns: list[str], signs: list[list[str]]) -> Column:
+def _any(c: Column, lower: Column, patterns: list[str], signs: list[list[str]]) -> Column:
     found = F.lit(False)
     for p, needed in zip(patterns, signs, strict=True):
-        some = F.contains(c, F.lit(needed[0]))
+        where = lower if "(?i" in p else c
+        some = F.contains(where, F.lit(needed[0]))
         for x in needed[1:]:
-            some = some | F.contains(c, F.lit(x))
+            some = some | F.contains(where, F.lit(x))
         found = found | (some & c.rlike(p))
     return found
 
 
+def _any_in(c: Column, patterns: list[str], signs: list[list[str]]) -> Column:
+    # The lambda binds the text and its lower case once; written out, they would be repeated for every pattern.
+    return F.exists(F.array(c), lambda t: F.exists(F.array(F.lower(t)), lambda low: _any(t, low, patterns, signs)))
+
+
 def is_residue(text: Column) -> Column:
     """Whether a text is or contains residue; false for null, blank and wrongly decoded texts."""
     uncoded = F.when(F.contains(text, F.lit("`")), F.regexp_replace(text, CODE, " ")).otherwise(text)
     plain = F.when(text.rlike(SPOKEN_WORDS), F.regexp_replace(uncoded, SPOKEN_OF, " ")).otherwise(uncoded)
-    # The lambdas bind the changed text once; written out, its expression would be repeated for every pattern.
-    holds = _any(text, GRAMMARS, GRAMMAR_SIGNS) & F.exists(F.array(plain), lambda t: _any(t, GRAMMARS, GRAMMAR_SIGNS))
+    # The signs of the grammars have no capitals, so they are looked for in the text as it is; the lambda binds the changed text once.
+    holds = _any(text, text, GRAMMARS, GRAMMAR_SIGNS) & F.exists(F.array(plain), lambda t: _any(t, t, GRAMMARS, GRAMMAR_SIGNS))
     patterns, signs = FILLER + NOTICES, FILLER_SIGNS + NOTICE_SIGNS
-    said = _any(text, patterns, signs) & F.exists(F.array(F.regexp_replace(uncoded, QUOTED, " ")), lambda t: _any(t, patterns, signs))
+    said = _any_in(text, patterns, signs) & _any_in(F.regexp_replace(uncoded, QUOTED, " "), patterns, signs)
     # Names in angle brackets that a quotation consists of are no quotation.
     asks = F.contains(text, F.lit("<请填写")) & text.rlike(r"[“「]<请填写")
     garbled = F.regexp_count(text, F.lit("[\\x80-\\xff\\ufffd]")) > F.length(text) * F.lit(GARBLED_SHARE)

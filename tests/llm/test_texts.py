@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from chronoloom.llm import encoding as EN
 from chronoloom.llm import leaks as LK
+from chronoloom.llm import residue as RS
 from chronoloom.llm.residue import residue
 from chronoloom.llm.sentences import last_word, sentences, spans
 
@@ -181,3 +182,21 @@ def test_residue(spark, cluttered):
     assert not wrong and 901 in got and 900 not in got
     assert residue(df.where("false")).count() == 0
     assert residue(df.withColumn("text", F.lit(None).cast("string"))).count() == 0
+
+
+ANY_CASE = [
+    "lorem ipsum dolor", "replace this text", "replace this paragraph", "your text here", "your text goes here", "your content here", "your content goes here", "please enable javascript", "please turn on javascript", "please activate javascript",
+    "without javascript enabled", "requires javascript to", "need javascript to", "enable javascript to", "enable javascript and", "enable javascript in your", "javascript is disabled", "javascript is required", "404 not found", "502 bad gateway", "503 service", "504 gateway",
+    "error 503:", "internal server error", "access denied.", "you don't have permission to access", "invalid or incomplete response", "checking your browser before", "traceback (most recent call last)", "nginx/1",
+]
+
+
+def test_signs_are_implied_by_the_patterns(spark):
+    """In any case of letters a pattern that matches passes its signs."""
+    cased = [f(x) for x in ANY_CASE for f in (str.lower, str.upper, str.title, str.capitalize, lambda x: "".join(c.upper() if i % 2 else c for i, c in enumerate(x)))]
+    german = ["JavaScript aktivieren", "JAVASCRIPT einschalten", "jAVAsCRIPT aktivieren"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(cased + german + RESIDUE)], "doc_id long, text string")
+    t = F.col("text")
+    every = list(zip(RS.GRAMMARS + RS.FILLER + RS.NOTICES, RS.GRAMMAR_SIGNS + RS.FILLER_SIGNS + RS.NOTICE_SIGNS, strict=True))
+    assert df.where(F.array_contains(F.array(*[t.rlike(p) & ~RS._any_in(t, [p], [s]) for p, s in every]), True)).collect() == []
+    assert {r["doc_id"] for r in residue(df).collect()} == {*range(len(cased + german + RESIDUE))}
