@@ -120,8 +120,11 @@ class Index:
         self.h, self.pos = h[pos][order], pos[order]
         self.item = np.searchsorted(self.starts, self.pos, side="right") - 1
 
-    def leaks(self, texts: list[str | None]) -> list[tuple[int, int, int]]:
-        """(number of the text, number of the item, letters found) for the best place of each pair with a hit."""
+    def leaks(self, texts: list[str | None], whole: bool = False) -> list[tuple[int, int, int]]:
+        """(number of the text, number of the item, letters found) for the best place of each pair with a hit.
+
+        Unless ``whole`` is set, letters are counted as far as needed to tell whether they are enough.
+        """
         x, starts = letters(texts, self.table)
         pos = winnow(gram_hashes(x, K), starts, K, WINDOW)
         if not len(pos) or not len(self.h):
@@ -154,28 +157,54 @@ class Index:
         for s, e in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True):
             rows = mine[s:e]
             d, i = int(doc[rows[0]]), int(item[rows[0]])
-            best = self._place(x, int(starts[d]), int(starts[d + 1]), i, hit[rows], at[rows])
+            best = self._place(x, int(starts[d]), int(starts[d + 1]), i, hit[rows], at[rows], likely[rows], whole)
             if best:
                 out[(d, i)] = best
         return [(d, i, n) for (d, i), n in out.items()]
 
-    def _place(self, x: np.ndarray, t0: int, t1: int, item: int, hit: np.ndarray, at: np.ndarray) -> int:
+    def _place(self, x: np.ndarray, t0: int, t1: int, item: int, hit: np.ndarray, at: np.ndarray, likely: np.ndarray, whole: bool = False) -> int:
         """The most letters of the passage that stand in one place of the text, in order.
 
         Hits are extended to maximal runs of equal letters; runs are chained in order where the letters between
-        them are few in both.
+        them are few in both. A lost letter leads to another diagonal, on which a short segment may have no hit: unless
+        the hits' own diagonals hold enough (``whole``: always), chains go on from the likely hits over gaps to all
+        diagonals in reach.
         """
+        known = np.unique(at - hit)
+        pool = self._runs(x, t0, t1, item, known)
+        most = self._chained(pool)
+        if most >= self.need[item] and not whole:
+            return most
+        h, d = hit[likely, None], (at - hit)[likely, None]
+        holds = ((pool[:, 2] == d) & (pool[:, 0] <= h) & (h < pool[:, 1])).any(0)
+        fresh, pool = pool[holds], pool[~holds]
+        reached = [fresh]
+        while len(fresh):
+            diags = np.setdiff1d(fresh[:, 2, None] + np.arange(-GAP, GAP + 1), known)
+            if len(diags):
+                pool, known = np.concatenate([pool, self._runs(x, t0, t1, item, diags)]), np.union1d(known, diags)
+            # In reach: few letters between the ends of one run and the begin of the other, in the text and in the passage.
+            (a, b, d), (a2, b2, d2) = fresh.T[:, :, None], pool.T
+            near = (np.abs(d2 - d) <= GAP) & (a2 - b <= GAP) & (a - b2 <= GAP) & (a2 + d2 - b - d <= GAP) & (a + d - b2 - d2 <= GAP)
+            near = near.any(0)
+            fresh, pool = pool[near], pool[~near]
+            reached.append(fresh)
+        return max(most, self._chained(np.concatenate(reached)))
+
+    def _runs(self, x: np.ndarray, t0: int, t1: int, item: int, diags: np.ndarray) -> np.ndarray:
+        """Begin, end and diagonal of the runs of two or more equal letters on the diagonals."""
         p0, p1 = int(self.starts[item]), int(self.starts[item + 1])
-        y = self.x
-        runs = []
-        for diag in np.unique(at - hit).tolist():
-            lo, hi = max(t0, p0 - diag), min(t1, p1 - diag)
-            same = x[lo:hi] == y[lo + diag : hi + diag]
-            edge = np.flatnonzero(np.diff(np.r_[0, same.view(np.int8), 0]))
-            for a, b in zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True):
-                if b - a >= 2:
-                    runs.append((lo + a, lo + b, diag))
-        runs.sort()
+        at = np.arange(p0, p1) - diags[:, None]
+        same = np.zeros((len(diags), p1 - p0 + 2), np.int8)
+        same[:, 1:-1] = (at >= t0) & (at < t1) & (x[np.clip(at, t0, t1 - 1)] == self.x[p0:p1])
+        turn = np.diff(same, axis=1)
+        (row, begin), end = np.nonzero(turn == 1), np.nonzero(turn == -1)[1]
+        diag = diags[row]
+        return np.stack([p0 + begin - diag, p0 + end - diag, diag], 1)[end - begin >= 2]
+
+    def _chained(self, runs: np.ndarray) -> int:
+        """The most letters of a chain of runs."""
+        runs = sorted(runs.tolist())
         best = []
         for n, (a, b, diag) in enumerate(runs):
             top = b - a
@@ -211,7 +240,7 @@ def leaked(documents: DataFrame, items: DataFrame, scores: bool = False) -> Data
     def search(batches):
         index = shipped.value
         for batch in slices(batches, "text"):
-            found = index.leaks(batch.column("text").to_pylist())
+            found = index.leaks(batch.column("text").to_pylist(), scores)
             if not scores:
                 found = [f for f in found if f[2] >= index.need[f[1]]]
             yield pa.record_batch(

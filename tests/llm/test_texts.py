@@ -200,3 +200,39 @@ def test_signs_are_implied_by_the_patterns(spark):
     every = list(zip(RS.GRAMMARS + RS.FILLER + RS.NOTICES, RS.GRAMMAR_SIGNS + RS.FILLER_SIGNS + RS.NOTICE_SIGNS, strict=True))
     assert df.where(F.array_contains(F.array(*[t.rlike(p) & ~RS._any_in(t, [p], [s]) for p, s in every]), True)).collect() == []
     assert {r["doc_id"] for r in residue(df).collect()} == {*range(len(cased + german + RESIDUE))}
+
+
+def most_letters(x, y):
+    """All runs of two letters on all diagonals, chained over at most LK.GAP letters."""
+    runs = []
+    for d in range(1 - len(x), len(y)):
+        same = [0, *(x[i] == y[i + d] for i in range(max(0, -d), min(len(x), len(y) - d))), 0]
+        turns = [i + max(0, -d) - 1 for i in range(1, len(same)) if same[i] != same[i - 1]]
+        runs += [(a, b, d) for a, b in zip(turns[::2], turns[1::2], strict=True) if b - a >= 2]
+    best = []
+    for a, b, d in sorted(runs):
+        top = b - a
+        for (a2, b2, d2), n in zip(sorted(runs), best, strict=False):
+            skip = max(0, b2 - a, b2 + d2 - a - d)
+            if skip < b - a and a + skip - b2 <= LK.GAP and a + skip + d - b2 - d2 <= LK.GAP:
+                top = max(top, n + b - a - skip)
+        best.append(top)
+    return max(best, default=0)
+
+
+def test_passages_with_lost_letters_against_brute_force(spark):
+    rng = random.Random(5)
+    signs = [chr(c) for c in range(0x4E00, 0x4F50)]
+    noise = lambda n: "".join(rng.choice(signs) for _ in range(n))
+    table = LK.letter_table()
+    enough = 0
+    for _ in range(60):
+        passage = noise(70)
+        part = "".join(rng.choice(signs) if r > 0.97 else c for c in passage[6:64] if (r := rng.random()) > 0.04)
+        text = noise(20) + part + noise(20)
+        x, y = (LK.letters([t], table)[0].tolist() for t in (text, passage))
+        index, wanted = LK.Index([(1, passage, "zh")], table), most_letters(x, y)
+        assert index.leaks([text], whole=True) == [(0, 0, wanted)]
+        assert (index.leaks([text])[0][2] >= LK.NEEDED_ELSE) == (wanted >= LK.NEEDED_ELSE)
+        enough += wanted >= LK.NEEDED_ELSE
+    assert enough > 30
