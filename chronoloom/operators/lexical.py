@@ -41,21 +41,22 @@ def bm25(queries: DataFrame, documents: DataFrame, k: int | None = None) -> Data
     return scored.withColumn("rank", rank).where(F.col("rank") <= k)
 
 
-def min_max(score: str, group: str):
+def min_max(score: str, low: str, high: str):
     """Scores of a group scaled to 0..1; if all are equal 1 where they are positive, else 0."""
-    w = Window.partitionBy(group)
-    low, high = F.min(score).over(w), F.max(score).over(w)
-    return F.when(high > low, (F.col(score) - low) / (high - low)).when(high > 0, 1.0).otherwise(0.0)
+    return F.when(F.col(high) > F.col(low), (F.col(score) - F.col(low)) / (F.col(high) - F.col(low))).when(F.col(high) > 0, 1.0).otherwise(0.0)
 
 
 def hybrid(vector_scores: DataFrame, lexical_scores: DataFrame, lexical_weight: float, k: int) -> DataFrame:
     """Both scores of a query's documents scaled and weighted: ``query_id``, ``doc_id``, ``score``, ``rank``; a missing one is 0.
 
-    Both inputs hold a bounded number of documents per query (the best of either search).
+    Scores are scaled over all documents that a query has on either side, so one side should hold every document.
+    Least and greatest are summed up per partition, and the limit of the rank works before its shuffle: a query's
+    documents are never gathered in one task.
     """
     w = min(1.0, max(0.0, lexical_weight))
     both = vector_scores.select("query_id", "doc_id", F.col("score").alias("v")).join(lexical_scores.select("query_id", "doc_id", F.col("score").alias("b")), ["query_id", "doc_id"], "full")
     both = both.fillna(0.0, ["v", "b"])
-    mixed = both.select("query_id", "doc_id", F.round((1 - w) * min_max("v", "query_id") + w * min_max("b", "query_id"), 6).alias("score"))
+    ends = both.groupBy("query_id").agg(F.min("v").alias("v0"), F.max("v").alias("v1"), F.min("b").alias("b0"), F.max("b").alias("b1"))
+    mixed = both.join(ends, "query_id").select("query_id", "doc_id", F.round((1 - w) * min_max("v", "v0", "v1") + w * min_max("b", "b0", "b1"), 6).alias("score"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "doc_id"))
     return mixed.withColumn("rank", rank).where(F.col("rank") <= k)

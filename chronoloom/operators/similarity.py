@@ -77,8 +77,8 @@ def search(queries: DataFrame, rows: DataFrame, k: int, least: float = -1.0, by_
     return best.withColumn("rank", rank).where(F.col("rank") <= k)
 
 
-def scores(queries: DataFrame, rows: DataFrame) -> DataFrame:
-    """The cosine of every query of a stated set with every other row: ``query``, ``id``, ``score``."""
+def scores(queries: DataFrame, rows: DataFrame, own: bool = False) -> DataFrame:
+    """The cosine of every query of a stated set with every other row: ``query``, ``id``, ``score``; with ``own`` also with the rows of its own id."""
     spark = rows.sparkSession
     kind = queries.schema["id"].dataType.simpleString()
     found = None
@@ -90,11 +90,13 @@ def scores(queries: DataFrame, rows: DataFrame) -> DataFrame:
             for pdf in frames:
                 if len(pdf):
                     s = q @ unit_rows(_matrix(pdf["vector"])).T
-                    a, b = np.nonzero(names[:, None] != pdf["id"].to_numpy(dtype=object)[None, :])
+                    a, b = np.nonzero((names[:, None] != pdf["id"].to_numpy(dtype=object)[None, :]) | own)
                     yield pd.DataFrame({"query": names[a], "id": pdf["id"].to_numpy(dtype=object)[b], "score": s[a, b]})
 
         part = rows.select("id", "vector").mapInPandas(run, f"query {kind}, id {kind}, score double")
         found = part if found is None else found.unionByName(part)
+    if found is None:
+        return rows.select(F.lit(None).cast(kind).alias("query"), "id", F.lit(0.0).alias("score")).where("false")
     return found
 
 

@@ -149,12 +149,13 @@ def bm25_search(spark, folder):
 
 @query
 def hybrid_search(spark, folder):
-    """The same query set by the mix of BM25 and the cosine of hashed vectors."""
+    """The same query set by the mix of BM25 and the cosine of hashed vectors, both scaled over all texts."""
     news = _news(spark, folder)
     asked = news.where("news_id % 100 = 0").select(F.col("news_id").alias("query_id"), X.stem(F.col("file_name")).alias("text"))
     docs = news.select(F.col("news_id").alias("doc_id"), F.coalesce("normalized_text", F.lit("")).alias("text"))
-    near = SI.search(asked.select(F.col("query_id").alias("id"), DG.hashed("text").alias("vector")), docs.select(F.col("doc_id").alias("id"), DG.hashed("text").alias("vector")), k=50)
-    return LX.hybrid(near.select(F.col("query").alias("query_id"), F.col("id").alias("doc_id"), "score"), LX.bm25(asked, docs, k=50), 0.5, 10)
+    near = SI.scores(asked.select(F.col("query_id").alias("id"), DG.hashed("text").alias("vector")), docs.select(F.col("doc_id").alias("id"), DG.hashed("text").alias("vector")), own=True)
+    near = near.groupBy(F.col("query").alias("query_id"), F.col("id").alias("doc_id")).agg(F.round(F.max("score"), 9).alias("score"))
+    return LX.hybrid(near, LX.bm25(asked, docs), 0.5, 10)
 
 
 # --- tuples ----------------------------------------------------------------------------------------------------------

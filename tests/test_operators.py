@@ -1,9 +1,11 @@
+import os
 from datetime import date, datetime
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from chronoloom.functions import text as X
 from chronoloom.functions import timeline as TL
 from chronoloom.functions.vectors import cosine, unit, weighted_sum
 from chronoloom.operators import canonical as CA
@@ -15,6 +17,10 @@ from chronoloom.operators import lexical as LX
 from chronoloom.operators import similarity as SI
 from chronoloom.operators import timeline as TLO
 from chronoloom.operators.ranking import distributed_rank
+from chronoloom.queries import QUERIES
+
+#: The query sets have rows here.
+LARGER = "/root/testdata/sf0.01"
 
 
 def vectors(spark, n=60, d=8, groups=3, seed=3):
@@ -198,3 +204,22 @@ def test_timeline_records(spark):
     assert r["d2"]["review_reasons"] == ["unknown_time", "malformed_title_time"] and r["d3"]["temporal_status"] == "unknown"
     assert TLO.summary(TLO.corrected(df)).first()["documents"] == 3
     assert TLO.corrected(df.where("false")).count() == 0
+
+
+@pytest.mark.skipif(not os.path.isdir(LARGER), reason="no test data here")
+def test_hybrid_search_against_brute_force(spark):
+    """Both sides are scaled over all texts, the query's own among them."""
+    news = spark.read.parquet(f"{LARGER}/raw_news.parquet").select(F.col("news_id").alias("doc_id"), F.coalesce("normalized_text", F.lit("")).alias("text"), X.stem(F.col("file_name")).alias("title"))
+    rows = {r["doc_id"]: r for r in news.collect()}
+    ids = sorted(rows)
+    lexical = {(r["query_id"], r["doc_id"]): r["score"] for r in LX.bm25(news.where("doc_id % 100 = 0").select(F.col("doc_id").alias("query_id"), F.col("title").alias("text")), news).collect()}
+    m = np.array([DG.hashed_vector(rows[i]["text"]) for i in ids])
+    scale = lambda x: (x - x.min()) / (x.max() - x.min()) if x.max() > x.min() else np.full(len(x), float(x.max() > 0))
+    wanted = {}
+    for q in [i for i in ids if i % 100 == 0]:
+        s = np.round(0.5 * scale(np.round(m @ DG.hashed_vector(rows[q]["title"]), 9)) + 0.5 * scale(np.array([lexical.get((q, i), 0.0) for i in ids])), 6)
+        wanted[q] = np.sort(s)[::-1][:10]
+    got = QUERIES["hybrid_search"](spark, LARGER).orderBy("query_id", "rank").toPandas()
+    assert set(got["query_id"]) == set(wanted) != set() and len(ids) > 50
+    for q, best in wanted.items():
+        assert np.allclose(got.loc[got["query_id"] == q, "score"], best, atol=2e-6)
