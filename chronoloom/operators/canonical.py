@@ -113,7 +113,8 @@ def greedy_merge(elements: DataFrame, block: str, k: int = 16, judge=default_jud
 
     In each block the element with the highest (count, name) is taken, its k nearest are judged, and the ones judged
     the same form a group with it; the group's name is that of its target, and a member with the same alias key lends
-    its id. Blocks have a bounded size (see ``similarity.vector_blocks``); elements without vector stay alone.
+    its id. Blocks have a bounded size (see ``similarity.vector_blocks``). Elements without a usable vector
+    have no block; they stay alone, as entries that the caller adds.
     """
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:

@@ -532,12 +532,15 @@ def plot_points(spark, folder):
 
 @query
 def greedy_entries(spark, folder):
-    """Elements merged greedily in blocks of their type."""
+    """Elements merged greedily in blocks of their type; those without a usable vector are entries of their own."""
     scratch = Scratch(spark, "greedy")
-    e = table(spark, folder, "dedup_elements", "id", "type", "raw_str", "alias_key", "count", "vector").dropDuplicates(["id", "type"])
-    fine = e.where((F.size("vector") == 96) & ~F.exists("vector", lambda x: F.isnan(x) | (F.abs(x) == float("inf"))))
+    e = table(spark, folder, "dedup_elements", "id", "type", "raw_str", "alias_key", "count", "vector")
+    usable = F.coalesce((F.size("vector") == 96) & ~F.exists("vector", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))), F.lit(False))
+    fine = e.where(usable).dropDuplicates(["id", "type"])
+    alone = e.where(~usable).dropDuplicates(["id", "type"]).join(fine, ["id", "type"], "left_anti")
     blocked = scratch.cut(SI.vector_blocks(fine, 128), "blocks")
-    return CA.greedy_merge(blocked, "block", scratch=scratch)
+    merged = CA.greedy_merge(blocked, "block", scratch=scratch)
+    return merged.unionByName(alone.select("type", "id", F.col("id").alias("cid"), F.col("raw_str").alias("canonical_str")))
 
 
 # --- timeline --------------------------------------------------------------------------------------------------------

@@ -223,3 +223,14 @@ def test_hybrid_search_against_brute_force(spark):
     assert set(got["query_id"]) == set(wanted) != set() and len(ids) > 50
     for q, best in wanted.items():
         assert np.allclose(got.loc[got["query_id"] == q, "score"], best, atol=2e-6)
+
+
+@pytest.mark.skipif(not os.path.isdir(LARGER), reason="no test data here")
+def test_every_element_is_in_an_entry(spark):
+    e = spark.read.parquet(f"{LARGER}/dedup_elements.parquet")
+    unusable = {(r["type"], r["id"]) for r in e.where("vector is null or size(vector) <> 96").collect()}
+    got = QUERIES["greedy_entries"](spark, LARGER).collect()
+    ids = [(r["type"], r["id"]) for r in got]
+    assert len(ids) == len(set(ids)) and set(ids) == {(r["type"], r["id"]) for r in e.select("type", "id").collect()}
+    fine = {(r["type"], r["id"]) for r in e.where("size(vector) = 96").collect()}
+    assert unusable and all(r["cid"] == r["id"] for r in got if (r["type"], r["id"]) in unusable - fine)
