@@ -475,13 +475,13 @@ def document_edges(spark, folder):
 
 @query
 def news_graph(spark, folder):
-    """The graph of news texts: corrected end times, hashed sentence vectors, the ten heaviest edges of each anchor of the query set."""
+    """The graph of news texts: corrected end times, hashed sentence vectors, all edges of each anchor of the query set."""
     news, scratch = _news(spark, folder), Scratch(spark, "graph")
     days = TL.corrected(news.select("doc_id", "file_name", F.col("normalized_text").alias("text"))).select("doc_id", DG.day_number(F.col("anchor")).alias("ord"))
     v = scratch.cut(DG.sentence_vectors(news), "vectors")
     asked = news.where("news_id % 100 = 0").select("doc_id")
     anchors = v.join(asked, "doc_id", "left_semi").groupBy("doc_id").agg(F.collect_list("vector").alias("vectors")).join(days, "doc_id")
-    return DG.edges(anchors, DG.means(v, DG.DIMENSION).join(days, "doc_id"), least=0.0, most=10)
+    return DG.edges(anchors, DG.means(v, DG.DIMENSION).join(days, "doc_id"), least=float("-inf"))
 
 
 def _match_edges(spark, folder):

@@ -234,3 +234,15 @@ def test_every_element_is_in_an_entry(spark):
     assert len(ids) == len(set(ids)) and set(ids) == {(r["type"], r["id"]) for r in e.select("type", "id").collect()}
     fine = {(r["type"], r["id"]) for r in e.where("size(vector) = 96").collect()}
     assert unusable and all(r["cid"] == r["id"] for r in got if (r["type"], r["id"]) in unusable - fine)
+
+
+@pytest.mark.skipif(not os.path.isdir(LARGER), reason="no test data here")
+def test_news_graph_has_every_eligible_edge(spark):
+    news = spark.read.parquet(f"{LARGER}/raw_news.parquet")
+    days = TLO.corrected(news.select("doc_id", "file_name", F.col("normalized_text").alias("text"))).select("doc_id", DG.day_number(F.col("anchor")).alias("ord")).where("ord is not null")
+    stated = days.join(DG.sentence_vectors(news).select("doc_id").distinct(), "doc_id")
+    ends = {r["doc_id"]: r["ord"] for r in stated.collect()}
+    asked = {r["doc_id"] for r in news.where("news_id % 100 = 0").collect()} & set(ends)
+    wanted = {(a, b) for b in asked for a in ends if a != b and ends[a] <= ends[b]}
+    got = [(r["source"], r["target"]) for r in QUERIES["news_graph"](spark, LARGER).collect()]
+    assert len(got) == len(set(got)) and set(got) == wanted and len(wanted) > 10 * len(asked)
