@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chronoloom.functions.text import token_estimate
+from chronoloom.functions.text import is_blank, token_estimate
 
 #: The fields that name a tuple.
 TRACED = ("tuple_id", "raw_id", "sent_id")
@@ -104,15 +104,17 @@ def window_text(sentences: list[str], costs: list[int], centre: int, budget: int
 def context_windows(sentences: DataFrame, budget: int, reach: int) -> DataFrame:
     """``doc_id``, ``sentence_index`` and ``context`` for sentences (``doc_id``, ``sentence_index`` from 1, ``text``).
 
-    A sentence's cost is its estimated tokens. Only the neighbours within reach are brought together, by a join on
-    shifted numbers, so a document of any length is never gathered; whether the whole document fits is decided
-    from its total cost.
+    A sentence's cost is its estimated tokens. A document whose total cost fits the budget is the context of each of its
+    sentences. Of others only the neighbours within reach are brought together, by a join on shifted numbers, so only
+    documents that the budget bounds are gathered.
     """
     rows = sentences.select("doc_id", "sentence_index", "text", token_estimate(F.col("text")).alias("cost"))
     total = rows.groupBy("doc_id").agg(F.sum("cost").alias("total"))
     near = rows.select("doc_id", F.explode(F.sequence(F.col("sentence_index") - reach, F.col("sentence_index") + reach)).alias("at"), "sentence_index", "text", "cost")
     around = near.groupBy("doc_id", "at").agg(F.array_sort(F.collect_list(F.struct("sentence_index", "text", "cost"))).alias("w"))
-    joined = rows.select("doc_id", F.col("sentence_index").alias("at")).join(around, ["doc_id", "at"]).join(total, "doc_id")
+    short = rows.where(~is_blank(F.col("text"))).join(total.where(F.col("total") <= budget).select("doc_id"), "doc_id")
+    full = short.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("sentence_index", "text"))).alias("all")).select("doc_id", F.array_join("all.text", "\n").alias("full"))
+    joined = rows.select("doc_id", F.col("sentence_index").alias("at")).join(around, ["doc_id", "at"]).join(total, "doc_id").join(full, "doc_id", "left")
 
     @F.pandas_udf(T.StringType())
     def pick(at: pd.Series, windows: pd.Series) -> pd.Series:
@@ -123,7 +125,7 @@ def context_windows(sentences: DataFrame, budget: int, reach: int) -> DataFrame:
         return pd.Series(out, dtype=object)
 
     whole = F.col("total") <= budget
-    return joined.select("doc_id", F.col("at").alias("sentence_index"), pick("at", "w").alias("context"), whole.alias("whole_document_fits"))
+    return joined.select("doc_id", F.col("at").alias("sentence_index"), F.when(whole & F.col("full").isNotNull(), F.col("full")).otherwise(pick("at", "w")).alias("context"), whole.alias("whole_document_fits"))
 
 
 def file_token(value) -> str:

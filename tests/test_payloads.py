@@ -27,6 +27,13 @@ def test_context_windows(spark):
     assert got["d", 3] == "乙丙丁" and got["d", 1] == "甲乙丙" and got["e", 1] == "短" and len(got) == 6
 
 
+def test_short_documents_are_their_own_context(spark):
+    s = [("d", i, c) for i, c in enumerate("甲乙丙丁戊己庚辛", 1)]
+    df = spark.createDataFrame(s, "doc_id string, sentence_index int, text string")
+    got = PA.context_windows(df, 120, 2).collect()
+    assert len(got) == 8 and all(r["whole_document_fits"] and r["context"] == "甲\n乙\n丙\n丁\n戊\n己\n庚\n辛" for r in got)
+
+
 def test_names(spark):
     assert [PA.file_token(x) for x in (-0.5, 0.0, 12, "", 1.581203)] == ["n0p5", "0", "12", "0", "1p581203"]
     r = spark.range(1).select(PA.field_text(F.lit("甲"), F.lit("entity"), F.lit("核心角色"), F.lit("x"))).first()[0]
