@@ -21,8 +21,8 @@ NO_TAG_FIELD = f"(?:(?:{COMPOUND})|(?i:{NO_TAGS})|{ASKED})"
 
 #: One grammar for each kind of delimiter. Doubled and processing delimiters take any content, single ones a field.
 GRAMMARS = [
-    r"\{\{[^{}\n]{1,60}\}\}|\{%[^{}\n]{1,60}%\}|\$\{[^{}\n]{1,60}\}",
-    r"<%[^<>\n]{1,60}%>|<\?=[^<>\n]{1,60}\?>|@@[^@\s][^@\n]{0,40}@@|\[\[[^\[\]\n]{1,40}\]\]",
+    r"\{\{[^{}\n]+\}\}|\{%[^{}\n]+%\}|\$\{[^{}\n]+\}",
+    r"<%[^<>\n]+%>|<\?=[^<>\n]+\?>|@@[^@\s][^@\n]*@@|\[\[[^\[\]\n]+\]\]",
     r"(?<![A-Za-z0-9_])__(?!(?:init|name|main|file|dict|class|all|call|doc)__)[^_\s][^\n]{0,30}?__(?![A-Za-z0-9_])",
     rf"(?<![{{$])\{{{FIELD}\}}|\[{FIELD}\]|【{FIELD}】",
     rf"(?<!话题)#(?:[A-Z]{{3,}}|{FIELD})#|%(?:[A-Z]{{3,}}|{FIELD})%|\$(?:[A-Z]{{3,}}|{FIELD})\$",
@@ -47,7 +47,7 @@ NOTICES = [
 ]
 #: News about such things: quoted words, and sentences that speak of examples.
 QUOTED = r"“[^”\n]{0,80}”|「[^」\n]{0,80}」|『[^』\n]{0,80}』|\"[^\"\n]{0,60}\""
-CODE = r"(?s)```.{0,4000}?```|`[^`\n]{1,200}`"
+CODE = r"(?s)```.*?```|`[^`\n]{1,200}`"
 SPOKEN_WORDS = r"代码片段|代码示例|文档示例|公文模板|教程|used the form|(?i:tutorial)|code snippet"
 # Anchored at the beginning of a sentence, so that each is gone through once.
 SPOKEN_OF = rf"(?:^|(?<=[。！？!?\n]))[^。！？!?\n]*?(?:{SPOKEN_WORDS})[^。！？!?\n]*"

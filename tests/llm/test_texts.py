@@ -236,3 +236,10 @@ def test_passages_with_lost_letters_against_brute_force(spark):
         assert (index.leaks([text])[0][2] >= LK.NEEDED_ELSE) == (wanted >= LK.NEEDED_ELSE)
         enough += wanted >= LK.NEEDED_ELSE
     assert enough > 30
+
+
+def test_residue_of_any_length(spark):
+    code = "```\n" + "f(x) = {{x}}\n" * 20_000 + "```"
+    fields = [a + " ".join(["long name"] * 40) + b for a, b in [("{{", "}}"), ("{%", "%}"), ("${", "}"), ("<%", "%>"), ("<?=", "?>"), ("@@", "@@"), ("[[", "]]")]]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate([code, *fields])], "doc_id long, text string")
+    assert {r["doc_id"] for r in residue(df).collect()} == {*range(1, 1 + len(fields))}
