@@ -10,6 +10,7 @@ import unicodedata
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chronoloom.functions.text import fold_table
@@ -18,17 +19,23 @@ from chronoloom.llm.batches import slices
 #: Letters of a k-gram and k-grams of a window; a shared span of K + WINDOW - 1 letters always has a common fingerprint.
 K = 5
 WINDOW = 4
-#: The test side is broadcast; more letters than this are refused.
+#: The test side is broadcast; more letters than this go in parts, each with a pass over the documents.
 MOST_TEST_LETTERS = 20_000_000
 #: Between two matching runs of one place at most so many letters are skipped in the text or in the passage.
 GAP = 6
 #: Hits near one diagonal are counted in bands so wide; a place gives at least one hit for so many letters asked for.
 BAND = 32
-LETTERS_PER_HIT = 10
+LETTERS_PER_HIT = 17
 #: Letters that must be found, by language of the item.
 NEEDED = {"en": 90}
 NEEDED_ELSE = 50
 
+# What a gap after (before) a run leads to: how far on (back) in the text and on which diagonal.
+_REACH = [(k, s) for s in range(-GAP, GAP + 1) for k in range(max(0, -s), GAP + 1 - max(0, s))]
+AHEAD, SHIFT = (np.array(c) for c in zip(*_REACH, strict=True))
+# The same seen from the other side.
+BEHIND = AHEAD + SHIFT
+
 _MARKUP = re.compile(r"<[^<>]{1,200}>|&(?:[a-zA-Z]{2,8}|#\d{1,6}|#x[0-9a-fA-F]{1,5});")
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
@@ -97,9 +104,9 @@ def winnow(h: np.ndarray, starts: np.ndarray, k: int, window: int) -> np.ndarray
 
 
 def passage(text: str | None) -> str:
-    """An item's passage: its lines without the first (instruction) and the last (question)."""
+    """An item's passage: its lines without the first (instruction) and the last (question), all of it if there are no others."""
     lines = [x for x in (text or "").split("\n") if x.strip()]
-    return "\n".join(lines[1:-1]) if len(lines) > 2 else ""
+    return "\n".join(lines[1:-1] if len(lines) > 2 else lines)
 
 
 class Index:
@@ -126,18 +133,19 @@ class Index:
         Unless ``whole`` is set, letters are counted as far as needed to tell whether they are enough.
         """
         x, starts = letters(texts, self.table)
-        pos = winnow(gram_hashes(x, K), starts, K, WINDOW)
+        h = gram_hashes(x, K)
+        pos = winnow(h, starts, K, WINDOW)
         if not len(pos) or not len(self.h):
             return []
-        own = gram_hashes(x, K)[pos]
-        a, b = np.searchsorted(self.h, own, "left"), np.searchsorted(self.h, own, "right")
+        a, b = np.searchsorted(self.h, h[pos], "left"), np.searchsorted(self.h, h[pos], "right")
         n = b - a
+        if not n.any():
+            return []
         hit = np.repeat(pos, n)
         ref = np.repeat(a, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        doc = np.searchsorted(starts, hit, side="right") - 1
-        item, at = self.item[ref], self.pos[ref]
-        # A place that holds enough has many hits near one diagonal: count them in bands that overlap by half.
-        pair = doc.astype(np.int64) * len(self.ids) + item
+        at, item = self.pos[ref], self.item[ref]
+        pair = (np.searchsorted(starts, hit, side="right") - 1).astype(np.int64) * len(self.ids) + item
+        # A place that holds enough has some hits near one diagonal: count them in bands that overlap by half.
         diag = at - hit
         diag -= diag.min()
         width = int(diag.max()) // BAND + 2
@@ -148,75 +156,100 @@ class Index:
             edge = np.flatnonzero(np.r_[True, band[order][1:] != band[order][:-1], True])
             often = np.diff(edge) >= self.need[item[order][edge[:-1]]] // LETTERS_PER_HIT
             likely[order[np.repeat(often, np.diff(edge))]] = True
-        good = np.unique(pair[likely])
-        place = np.searchsorted(good, pair)
-        mine = np.flatnonzero(good[np.minimum(place, len(good) - 1)] == pair) if len(good) else np.zeros(0, np.int64)
-        mine = mine[np.argsort(pair[mine], kind="stable")]
-        edge = np.flatnonzero(np.r_[True, np.diff(pair[mine]) != 0, True]) if len(mine) else np.zeros(1, np.int64)
-        out = {}
-        for s, e in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True):
-            rows = mine[s:e]
-            d, i = int(doc[rows[0]]), int(item[rows[0]])
-            best = self._place(x, int(starts[d]), int(starts[d + 1]), i, hit[rows], at[rows], likely[rows], whole)
-            if best:
-                out[(d, i)] = best
-        return [(d, i, n) for (d, i), n in out.items()]
-
-    def _place(self, x: np.ndarray, t0: int, t1: int, item: int, hit: np.ndarray, at: np.ndarray, likely: np.ndarray, whole: bool = False) -> int:
-        """The most letters of the passage that stand in one place of the text, in order.
-
-        Hits are extended to maximal runs of equal letters; runs are chained in order where the letters between
-        them are few in both. A lost letter leads to another diagonal, on which a short segment may have no hit: unless
-        the hits' own diagonals hold enough (``whole``: always), chains go on from the likely hits over gaps to all
-        diagonals in reach.
+        mine = np.isin(pair, np.unique(pair[likely]))
+        return self._best(self._reached(x, starts, pair[mine], hit[mine], at[mine]), whole)
+
+    def _reached(self, x: np.ndarray, starts: np.ndarray, pair: np.ndarray, t: np.ndarray, q: np.ndarray) -> np.ndarray:
+        """The runs of equal letters around the hits and all runs that gaps lead to: see ``_runs``.
+
+        A lost letter leads to another diagonal, on which a short segment may have no hit. So from both ends of every
+        run all diagonals within ``GAP`` are looked at as far as a gap reaches; what matches there is extended and
+        looked on from in turn, for all pairs of texts and passages of the batch at once.
+        """
+        known, out = np.zeros(0, np.int64), [np.zeros((0, 4), np.int64)]
+        while len(t):
+            runs = self._runs(x, starts, pair, t, q)
+            key = runs[:, 1] * (len(self.x) + 1) + runs[:, 3]
+            fresh = ~np.isin(key, known)
+            runs, known = runs[fresh], np.concatenate([known, key[fresh]])
+            out.append(runs)
+            pair, begin, end, q = (c[:, None] for c in runs.T)
+            t = np.concatenate([end + AHEAD, begin - 1 - BEHIND], 1)
+            q = np.concatenate([q + end - begin + AHEAD + SHIFT, q - 1 - BEHIND + SHIFT], 1)
+            doc, item = pair // len(self.ids), pair % len(self.ids)
+            inside = (t >= starts[doc]) & (t < starts[doc + 1]) & (q >= self.starts[item]) & (q < self.starts[item + 1])
+            pair, t, q = np.broadcast_to(pair, t.shape)[inside], t[inside], q[inside]
+            same = x[t] == self.x[q]
+            pair, t, q = pair[same], t[same], q[same]
+        return np.concatenate(out)
+
+    def _runs(self, x: np.ndarray, starts: np.ndarray, pair: np.ndarray, t: np.ndarray, q: np.ndarray) -> np.ndarray:
+        """The runs of two or more equal letters that hold the cells (places ``t`` in the text, ``q`` in the passage).
+
+        A row for each run: pair, begin and end in the text, begin in the passage. A cell is extended up to the next
+        one of its diagonal, so that the work is in proportion to the runs and not to the cells.
         """
-        known = np.unique(at - hit)
-        pool = self._runs(x, t0, t1, item, known)
-        most = self._chained(pool)
-        if most >= self.need[item] and not whole:
-            return most
-        h, d = hit[likely, None], (at - hit)[likely, None]
-        holds = ((pool[:, 2] == d) & (pool[:, 0] <= h) & (h < pool[:, 1])).any(0)
-        fresh, pool = pool[holds], pool[~holds]
-        reached = [fresh]
-        while len(fresh):
-            diags = np.setdiff1d(fresh[:, 2, None] + np.arange(-GAP, GAP + 1), known)
-            if len(diags):
-                pool, known = np.concatenate([pool, self._runs(x, t0, t1, item, diags)]), np.union1d(known, diags)
-            # In reach: few letters between the ends of one run and the begin of the other, in the text and in the passage.
-            (a, b, d), (a2, b2, d2) = fresh.T[:, :, None], pool.T
-            near = (np.abs(d2 - d) <= GAP) & (a2 - b <= GAP) & (a - b2 <= GAP) & (a2 + d2 - b - d <= GAP) & (a + d - b2 - d2 <= GAP)
-            near = near.any(0)
-            fresh, pool = pool[near], pool[~near]
-            reached.append(fresh)
-        return max(most, self._chained(np.concatenate(reached)))
-
-    def _runs(self, x: np.ndarray, t0: int, t1: int, item: int, diags: np.ndarray) -> np.ndarray:
-        """Begin, end and diagonal of the runs of two or more equal letters on the diagonals."""
-        p0, p1 = int(self.starts[item]), int(self.starts[item + 1])
-        at = np.arange(p0, p1) - diags[:, None]
-        same = np.zeros((len(diags), p1 - p0 + 2), np.int8)
-        same[:, 1:-1] = (at >= t0) & (at < t1) & (x[np.clip(at, t0, t1 - 1)] == self.x[p0:p1])
-        turn = np.diff(same, axis=1)
-        (row, begin), end = np.nonzero(turn == 1), np.nonzero(turn == -1)[1]
-        diag = diags[row]
-        return np.stack([p0 + begin - diag, p0 + end - diag, diag], 1)[end - begin >= 2]
-
-    def _chained(self, runs: np.ndarray) -> int:
-        """The most letters of a chain of runs."""
-        runs = sorted(runs.tolist())
-        best = []
-        for n, (a, b, diag) in enumerate(runs):
-            top = b - a
-            for m in range(n - 1, -1, -1):
-                a2, b2, d2 = runs[m]
-                if a - a2 > 400:
-                    break
-                skip = max(0, b2 - a, b2 + d2 - a - diag)  # overlap counts once
-                if skip < b - a and a + skip - b2 <= GAP and a + skip + diag - b2 - d2 <= GAP:
-                    top = max(top, best[m] + b - a - skip)
-            best.append(top)
-        return max(best, default=0)
+        order = np.lexsort((t, q - t, pair))
+        pair, t, d = pair[order], t[order], (q - t)[order]
+        doc, item = pair // len(self.ids), pair % len(self.ids)
+        along = np.r_[(pair[1:] == pair[:-1]) & (d[1:] == d[:-1]), False]
+        stop = np.minimum(starts[doc + 1], self.starts[item + 1] - d)
+        stop[along] = np.minimum(stop[along], t[1:][along[:-1]])
+        end = t.copy()
+        go = np.flatnonzero(end < stop)
+        while len(go):
+            go = go[x[end[go]] == self.x[end[go] + d[go]]]
+            end[go] += 1
+            go = go[end[go] < stop[go]]
+        joined = along[:-1] & (end[:-1] == t[1:])
+        first = np.flatnonzero(np.r_[True, ~joined])
+        last = np.r_[first[1:] - 1, len(t) - 1]
+        begin, back, d, end, pair = t[first], np.maximum(starts[doc], self.starts[item] - d)[first], d[first], end[last], pair[first]
+        go = np.flatnonzero((begin > back) & (end > begin))
+        while len(go):
+            go = go[x[begin[go] - 1] == self.x[begin[go] - 1 + d[go]]]
+            begin[go] -= 1
+            go = go[begin[go] > back[go]]
+        return np.stack([pair, begin, end, begin + d], 1)[end - begin >= 2]
+
+    def _best(self, runs: np.ndarray, whole: bool) -> list[tuple[int, int, int]]:
+        """The best chain of runs of each pair. Pairs whose runs cover too few letters of the passage need no chaining."""
+        if not len(runs):
+            return []
+        runs = runs[np.lexsort((runs[:, 3], runs[:, 0]))]
+        pair, begin, end, q = runs.T
+        # Letters of the passage under any run: what goes beyond the furthest end so far. Pairs lie apart on one axis.
+        axis = pair * (len(self.x) + 1)
+        reach = axis + q + end - begin
+        over = np.maximum.accumulate(np.r_[-1, reach[:-1]])
+        edge = np.flatnonzero(np.r_[True, pair[1:] != pair[:-1]])
+        cover = np.add.reduceat(np.maximum(0, reach - np.maximum(axis + q, over)), edge)
+        longest = np.maximum.reduceat(end - begin, edge)
+        need = self.need[pair[edge] % len(self.ids)]
+        out = []
+        for s, e, p, c, most, n in zip(edge.tolist(), [*edge[1:].tolist(), len(runs)], pair[edge].tolist(), cover.tolist(), longest.tolist(), need.tolist(), strict=True):
+            if whole or c >= n > most:
+                most = chained(runs[s:e, 1:])
+            out.append((p // len(self.ids), p % len(self.ids), most))
+        return out
+
+
+def chained(runs: np.ndarray) -> int:
+    """The most letters of a chain of runs (begin and end in the text, begin in the passage), in order and with small gaps."""
+    rows = sorted(runs.tolist())
+    longest = max(b - a for a, b, _ in rows)
+    best = []
+    for n, (a, b, q) in enumerate(rows):
+        top = b - a
+        for m in range(n - 1, -1, -1):
+            a2, b2, q2 = rows[m]
+            if a - a2 > longest + GAP:
+                break
+            skip = max(0, b2 - a, q2 + b2 - a2 - q)  # overlap counts once
+            if skip < b - a and a + skip - b2 <= GAP and q + skip - q2 - b2 + a2 <= GAP:
+                top = max(top, best[m] + b - a - skip)
+        best.append(top)
+    return max(best)
 
 
 def leaked(documents: DataFrame, items: DataFrame, scores: bool = False) -> DataFrame:
@@ -227,26 +260,33 @@ def leaked(documents: DataFrame, items: DataFrame, scores: bool = False) -> Data
     punctuation and markup, in any case, width and script variant, single letters changed or lost. Null and empty
     texts hold nothing; repeated rows count once; empty tables give an empty result.
 
-    Both sides are winnowed k-grams; the items' fingerprints are broadcast, their size is checked first. Hits are
-    extended in the same pass over the documents, whole texts; only the found pairs are shuffled, to count once.
+    Both sides are k-grams, those of the documents winnowed; the items' are broadcast. Their size is summed up before
+    anything is collected; items beyond the limit go in parts. Hits are extended in the same pass over the documents,
+    whole texts; only the found pairs are shuffled, to count once.
     """
     spark = documents.sparkSession
-    rows = items.select("item_id", "text", "lang").where("item_id is not null and text is not null").distinct().collect()
-    if sum(len(r["text"]) for r in rows) > MOST_TEST_LETTERS:
-        raise ValueError(f"the items hold more than {MOST_TEST_LETTERS} letters; pass them in parts")
-    shipped = spark.sparkContext.broadcast(Index([(r["item_id"], passage(r["text"]), r["lang"]) for r in rows], letter_table()))
+    told = items.select("item_id", "text", "lang").where("item_id is not null and text is not null")
+    letters_in_all = told.agg(F.sum(F.length("text"))).first()[0] or 0
+    # Parts by a hash of the id differ in size; a fifth of the limit on average leaves room for that.
+    parts = 1 if letters_in_all <= MOST_TEST_LETTERS else -(-5 * letters_in_all // MOST_TEST_LETTERS)
     schema = T.StructType([documents.schema["doc_id"], T.StructField("item_id", T.LongType()), T.StructField("letters", T.IntegerType())])
 
-    def search(batches):
-        index = shipped.value
-        for batch in slices(batches, "text"):
-            found = index.leaks(batch.column("text").to_pylist(), scores)
-            if not scores:
-                found = [f for f in found if f[2] >= index.need[f[1]]]
-            yield pa.record_batch(
-                [batch.column("doc_id").take(pa.array([f[0] for f in found], pa.int64())), pa.array([index.ids[f[1]] for f in found], pa.int64()), pa.array([f[2] for f in found], pa.int32())],
-                names=["doc_id", "item_id", "letters"],
-            )
-
-    found = documents.select("doc_id", "text").mapInArrow(search, schema)
+    def against(part: int) -> DataFrame:
+        rows = told.where(F.pmod(F.xxhash64("item_id"), F.lit(parts)) == part).distinct().collect()
+        shipped = spark.sparkContext.broadcast(Index([(r["item_id"], passage(r["text"]), r["lang"]) for r in rows], letter_table()))
+
+        def search(batches):
+            index = shipped.value
+            for batch in slices(batches, "text"):
+                found = index.leaks(batch.column("text").to_pylist(), scores)
+                if not scores:
+                    found = [f for f in found if f[2] >= index.need[f[1]]]
+                yield pa.record_batch(
+                    [batch.column("doc_id").take(pa.array([f[0] for f in found], pa.int64())), pa.array([index.ids[f[1]] for f in found], pa.int64()), pa.array([f[2] for f in found], pa.int32())],
+                    names=["doc_id", "item_id", "letters"],
+                )
+
+        return documents.select("doc_id", "text").mapInArrow(search, schema)
+
+    found = functools.reduce(DataFrame.unionByName, [against(p) for p in range(parts)])
     return found if scores else found.select("doc_id", "item_id").distinct()

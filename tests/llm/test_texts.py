@@ -243,3 +243,32 @@ def test_residue_of_any_length(spark):
     fields = [a + " ".join(["long name"] * 40) + b for a, b in [("{{", "}}"), ("{%", "%}"), ("${", "}"), ("<%", "%>"), ("<?=", "?>"), ("@@", "@@"), ("[[", "]]")]]
     df = spark.createDataFrame([(i, t) for i, t in enumerate([code, *fields])], "doc_id long, text string")
     assert {r["doc_id"] for r in residue(df).collect()} == {*range(1, 1 + len(fields))}
+
+
+def test_no_hit_at_all(spark):
+    """Batches of unrelated texts and of another script give no pair and don't fail."""
+    items = spark.createDataFrame([(1, "指令\n" + "铜门云雾峡台湾泽地里程碑" * 10 + "\n问题", "zh"), (2, "铜门云雾峡台湾泽地里程碑" * 10, "zh")], "item_id long, text string, lang string")
+    other = spark.createDataFrame([(i, t) for i, t in enumerate(["plain words of another language " * 9, "ข่าววันนี้ " * 20, "短", ""])], "doc_id long, text string")
+    assert LK.leaked(other, items).count() == 0
+    whole = spark.createDataFrame([(7, "铜门云雾峡台湾泽地里程碑" * 10)], "doc_id long, text string")
+    # An item without instruction and question is a passage as a whole.
+    assert {r["item_id"] for r in LK.leaked(other.union(whole), items).collect()} == {1, 2}
+
+
+def test_every_sixth_letter_changed():
+    rng = random.Random(6)
+    passages = ["".join(chr(rng.randrange(0x4E00, 0x9000)) for _ in range(70)) for _ in range(100)]
+    noise = "".join(chr(rng.randrange(0x4E00, 0x9000)) for _ in range(90))
+    index = LK.Index([(i, p, "zh") for i, p in enumerate(passages)], LK.letter_table())
+    for every, least in ((8, 100), (6, 90)):
+        texts = [noise + "".join("〇" if i % every == 0 else c for i, c in enumerate(p, 1)) + noise for p in passages]
+        assert sum(d == i and n >= 50 for d, i, n in index.leaks(texts)) >= least
+
+
+def test_items_in_parts(spark, monkeypatch):
+    rng = random.Random(7)
+    passages = {i: "".join(chr(rng.randrange(0x4E00, 0x9000)) for _ in range(60)) for i in range(20)}
+    items = spark.createDataFrame([(i, f"指令\n{p}\n问题", "zh") for i, p in passages.items()], "item_id long, text string, lang string")
+    docs = spark.createDataFrame([(100 + i, p) for i, p in passages.items()], "doc_id long, text string")
+    monkeypatch.setattr(LK, "MOST_TEST_LETTERS", 600)
+    assert {(r["doc_id"], r["item_id"]) for r in LK.leaked(docs, items).collect()} == {(100 + i, i) for i in passages}
