@@ -26,6 +26,9 @@ GAP = 6
 #: Hits near one diagonal are counted in bands so wide; a place gives at least one hit for so many letters asked for.
 BAND = 32
 LETTERS_PER_HIT = 17
+#: Runs whose surroundings are looked at at once, and bytes of text that are searched at once: small arrays stay in the cache.
+ROWS_AT_ONCE = 10_000
+BYTES_AT_ONCE = 1_500_000
 #: Letters that must be found, by language of the item.
 NEEDED = {"en": 90}
 NEEDED_ELSE = 50
@@ -144,10 +147,11 @@ class Index:
         hit = np.repeat(pos, n)
         ref = np.repeat(a, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
         at, item = self.pos[ref], self.item[ref]
-        pair = (np.searchsorted(starts, hit, side="right") - 1).astype(np.int64) * len(self.ids) + item
-        # A place that holds enough has some hits near one diagonal: count them in bands that overlap by half.
-        diag = at - hit
-        diag -= diag.min()
+        doc = np.searchsorted(starts, hit, side="right") - 1
+        pair = doc.astype(np.int64) * len(self.ids) + item
+        # A place that holds enough has some hits near one diagonal: count them in bands that overlap by half. Where the
+        # bands lie depends on the text and the passage alone, not on what else is in the batch.
+        diag = at - self.starts[item] + starts[doc + 1] - hit
         width = int(diag.max()) // BAND + 2
         likely = np.zeros(len(hit), bool)
         for shift in (0, BAND // 2):
@@ -173,16 +177,21 @@ class Index:
             fresh = ~np.isin(key, known)
             runs, known = runs[fresh], np.concatenate([known, key[fresh]])
             out.append(runs)
-            pair, begin, end, q = (c[:, None] for c in runs.T)
-            t = np.concatenate([end + AHEAD, begin - 1 - BEHIND], 1)
-            q = np.concatenate([q + end - begin + AHEAD + SHIFT, q - 1 - BEHIND + SHIFT], 1)
-            doc, item = pair // len(self.ids), pair % len(self.ids)
-            inside = (t >= starts[doc]) & (t < starts[doc + 1]) & (q >= self.starts[item]) & (q < self.starts[item + 1])
-            pair, t, q = np.broadcast_to(pair, t.shape)[inside], t[inside], q[inside]
-            same = x[t] == self.x[q]
-            pair, t, q = pair[same], t[same], q[same]
+            near = [self._near(x, starts, runs[i : i + ROWS_AT_ONCE]) for i in range(0, len(runs), ROWS_AT_ONCE)]
+            pair, t, q = (np.concatenate(c) for c in zip(*near, strict=True)) if near else (known[:0],) * 3
         return np.concatenate(out)
 
+    def _near(self, x: np.ndarray, starts: np.ndarray, runs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Equal letters in reach of a gap from the ends of the runs: pair, place in the text, place in the passage."""
+        pair, begin, end, q = (c[:, None] for c in runs.T)
+        t = np.concatenate([end + AHEAD, begin - 1 - BEHIND], 1)
+        q = np.concatenate([q + end - begin + AHEAD + SHIFT, q - 1 - BEHIND + SHIFT], 1)
+        doc, item = pair // len(self.ids), pair % len(self.ids)
+        inside = (t >= starts[doc]) & (t < starts[doc + 1]) & (q >= self.starts[item]) & (q < self.starts[item + 1])
+        pair, t, q = np.broadcast_to(pair, t.shape)[inside], t[inside], q[inside]
+        same = x[t] == self.x[q]
+        return pair[same], t[same], q[same]
+
     def _runs(self, x: np.ndarray, starts: np.ndarray, pair: np.ndarray, t: np.ndarray, q: np.ndarray) -> np.ndarray:
         """The runs of two or more equal letters that hold the cells (places ``t`` in the text, ``q`` in the passage).
 
@@ -277,7 +286,7 @@ def leaked(documents: DataFrame, items: DataFrame, scores: bool = False) -> Data
 
         def search(batches):
             index = shipped.value
-            for batch in slices(batches, "text"):
+            for batch in slices(batches, "text", BYTES_AT_ONCE):
                 found = index.leaks(batch.column("text").to_pylist(), scores)
                 if not scores:
                     found = [f for f in found if f[2] >= index.need[f[1]]]
