@@ -9,8 +9,10 @@ from datetime import UTC, datetime, timedelta
 
 import numpy as np
 
-#: Years that the tables cover; outside them the first or last known offset holds.
+#: Years that the tables cover; before them the first known offset holds. From the last one on the rules of a zone repeat
+#: with the calendar, every 400 years.
 FIRST_YEAR, LAST_YEAR = 1900, 2100
+CYCLE = 146_097 * 86_400
 #: Names of zones in texts.
 SPOKEN = {
     "北京时间": "Asia/Shanghai", "北京時間": "Asia/Shanghai", "美东时间": "America/New_York", "美東時間": "America/New_York", "美西时间": "America/Los_Angeles",
@@ -43,8 +45,8 @@ def version() -> str:
         return "unknown"
 
 
-@functools.lru_cache(maxsize=1024)
-def table(zone: str) -> tuple[np.ndarray, np.ndarray] | None:
+@functools.lru_cache(maxsize=2048)
+def table(zone: str, first_year: int = FIRST_YEAR, last_year: int = LAST_YEAR) -> tuple[np.ndarray, np.ndarray] | None:
     """Local seconds from which each offset holds, and the offsets in seconds; None for an unknown zone.
 
     A local time that occurs twice belongs to the first occurrence and one that is skipped to the offset in force
@@ -58,7 +60,7 @@ def table(zone: str) -> tuple[np.ndarray, np.ndarray] | None:
     except (zoneinfo.ZoneInfoNotFoundError, ValueError, OSError):
         return None
     at = lambda t: int(datetime.fromtimestamp(t, UTC).astimezone(rules).utcoffset().total_seconds())
-    t, end = int(datetime(FIRST_YEAR, 1, 1, tzinfo=UTC).timestamp()), int(datetime(LAST_YEAR, 1, 1, tzinfo=UTC).timestamp())
+    t, end = (int(datetime(year, 1, 1, tzinfo=UTC).timestamp()) for year in (first_year, last_year))
     step = int(timedelta(days=12).total_seconds())
     before = at(t)
     starts, offsets = [-(2**62)], [before]
@@ -92,4 +94,10 @@ def to_utc(local: np.ndarray, zone: str) -> np.ndarray | None:
     if found is None:
         return None
     starts, offsets = found
-    return local - offsets[np.searchsorted(starts, local, side="right") - 1]
+    out = local - offsets[np.searchsorted(starts, local, side="right") - 1]
+    begin = int(datetime(LAST_YEAR, 1, 1, tzinfo=UTC).timestamp())
+    far = np.flatnonzero(local >= begin)
+    if len(far):
+        starts, offsets = table(zone, LAST_YEAR - 1, LAST_YEAR + 401)
+        out[far] = local[far] - offsets[np.searchsorted(starts, begin + (local[far] - begin) % CYCLE, side="right") - 1]
+    return out

@@ -55,7 +55,6 @@ PARSERS = {
     "day_word": rf"(?P<word>{'|'.join(DAYS)})",
     "year_word": rf"(?P<rel>{'|'.join(YEARS)})",
 }
-_SKIP = {"slashes", "year"}
 
 
 @functools.cache
@@ -83,16 +82,15 @@ def mask(t: str) -> str:
 
 
 class Shapes:
-    """Parsers by shape mask. A mask is given to its parsers once, by trying them on the first text that has it."""
+    """Parsers by shape mask. A mask meets all parsers once, on the first text that has it; those that fit come first."""
 
     def __init__(self):
         self.known: dict[str, list[str]] = {}
 
     def parsers(self, shape: str, text: str) -> list[str]:
         if shape not in self.known:
-            fits = [p for p in PARSERS if _parser(p).match(text)]
-            # Without a match on the first text the vocabulary may still fit on another one of this shape.
-            self.known[shape] = fits or list(PARSERS)
+            # The vocabulary of another text of this shape may fit a parser that the first one doesn't.
+            self.known[shape] = sorted(PARSERS, key=lambda p: not _parser(p).match(text))
         return self.known[shape]
 
 
@@ -127,27 +125,27 @@ def _stamp(seconds: np.ndarray) -> np.ndarray:
 def parse_rows(frame: pd.DataFrame, shapes: Shapes) -> pd.DataFrame:
     """Adds ``norm`` and ``prec`` (null where no valid date or time is stated) to rows with ``matched_text``, ``zone``, ``lang``, ``ref_date``."""
     n = len(frame)
-    text = frame["matched_text"].map(lambda t: plain(t) if isinstance(t, str) else "")
+    distinct, which = np.unique(np.array([plain(t) if isinstance(t, str) else "" for t in frame["matched_text"]], object), return_inverse=True)
     norm, prec = np.full(n, None, object), np.full(n, None, object)
     ref = pd.to_datetime(frame["ref_date"].where(frame["ref_date"].notna(), None), format="%Y-%m-%d", errors="coerce")
     ref_year = ref.dt.year.fillna(0).astype("int64").to_numpy()
     ref_day = np.where(ref.notna(), ref.to_numpy().astype("datetime64[D]").astype("int64"), 0)
     has_ref = ref.notna().to_numpy()
-    shape = text.map(mask)
-    for kind, at in shape.groupby(shape, sort=False).indices.items():
-        if not kind:
-            continue
-        left = at
-        for name in shapes.parsers(kind, text.iloc[at[0]]):
-            if not len(left):
+    # Each mask leads to its parsers; each parser takes the texts of all its masks apart at once.
+    taken: dict[str, list[tuple[int, tuple]]] = {}
+    for i, t in enumerate(distinct.tolist()):
+        for name in shapes.parsers(mask(t), t) if t else ():
+            if found := _parser(name).match(t):
+                taken.setdefault(name, []).append((i, found.groups()))
                 break
-            found = text.iloc[left].str.extract(_parser(name), expand=True)
-            hit = text.iloc[left].str.match(_parser(name)).to_numpy()
-            rows = left[hit]
-            if len(rows):
-                a, b = _fields(name, found[hit], frame.iloc[rows], ref_year[rows], ref_day[rows], has_ref[rows])
-                norm[rows], prec[rows] = a, b
-            left = left[~hit]
+    order = np.argsort(which, kind="stable")
+    first = np.searchsorted(which[order], np.arange(len(distinct) + 1))
+    for name, texts in taken.items():
+        at = np.array([i for i, _ in texts])
+        size = first[at + 1] - first[at]
+        rows = order[np.repeat(first[at], size) + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)]
+        fields = pd.DataFrame([g for _, g in texts], columns=list(_parser(name).groupindex), dtype=object).iloc[np.repeat(np.arange(len(at)), size)].reset_index(drop=True)
+        norm[rows], prec[rows] = _fields(name, fields, frame.iloc[rows], ref_year[rows], ref_day[rows], has_ref[rows])
     return frame.assign(norm=norm, prec=prec)
 
 
@@ -268,10 +266,10 @@ def normalize_times(candidates: DataFrame) -> DataFrame:
     dates and null or blank texts give no row. A missing year is that of ``ref_date``, relative words count from it;
     they give no row if it is null or no date. Repeated rows count once; an empty table gives an empty result.
 
-    The texts are masked to shapes, each shape meets the parsers once per task, and all rows of a shape are taken
-    apart and converted as vectors. Distinct rows are the only shuffle.
+    The texts are masked to shapes, each shape meets the parsers once per task, and all rows of a parser are converted
+    as vectors. Repeated rows collapse after that, in the only shuffle, of the short results.
     """
-    rows = candidates.select("cand_id", "matched_text", "zone", "lang", F.col("ref_date").cast("string").alias("ref_date")).distinct()
+    rows = candidates.select("cand_id", "matched_text", "zone", "lang", F.col("ref_date").cast("string").alias("ref_date")).where("matched_text is not null")
 
     def work(frames):
         shapes = Shapes()

@@ -104,3 +104,18 @@ def test_operator(spark, cluttered):
     got = sorted(tuple(r) for r in S.normalize_times(cluttered(df)).collect())
     assert got == [(1, "2024-03", "month"), (3, "2024-03-05T10:00:00Z", "second")]
     assert S.normalize_times(df.where("false")).count() == 0
+
+
+def test_zone_rules_far_ahead():
+    """Beyond the tables the rules repeat with the calendar: the same as asking for each instant."""
+    from datetime import UTC, datetime
+    from zoneinfo import ZoneInfo
+
+    import numpy as np
+
+    from chronoloom.functions import zones
+
+    for zone in ("America/New_York", "Europe/Berlin", "Australia/Sydney", "Asia/Shanghai"):
+        local = [datetime(y, m, 15, 12) for y in (1950, 2024, 2099, 2100, 2101, 2399, 2500, 2899, 3001) for m in (1, 4, 7, 10)]
+        seconds = np.array([int(t.replace(tzinfo=UTC).timestamp()) for t in local])
+        assert zones.to_utc(seconds, zone).tolist() == [int(t.replace(tzinfo=ZoneInfo(zone)).timestamp()) for t in local]
