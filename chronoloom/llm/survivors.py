@@ -12,6 +12,10 @@ STAND_INS = ["nan", "n/a", "na", "null", "none", "nil", "tbd", "unknown", "（
 #: Age at which a vote counts half, in days.
 HALF_LIFE_DAYS = 180.0
 FIELDS = ("raw_str", "description", "count")
+#: What a record's vote for its value is made of, by field: weights in order, each beyond any amount of the next one.
+POLICY = {"raw_str": ("trust", "recency"), "description": ("length", "recency"), "count": ("recency",)}
+#: Instead of weights in order: trust times recency decay, summed up.
+SUMMED = {f: ("trust x decay",) for f in FIELDS}
 
 
 def says_something(c: Column) -> Column:
@@ -19,46 +23,60 @@ def says_something(c: Column) -> Column:
     return c.isNotNull() & plain.rlike(r"[\p{L}\p{N}]") & ~plain.isin(STAND_INS)
 
 
-def field_winners(versions: DataFrame, half_life_days: float = HALF_LIFE_DAYS) -> DataFrame:
+def field_winners(versions: DataFrame, half_life_days: float = HALF_LIFE_DAYS, policy: dict[str, tuple[str, ...]] = POLICY) -> DataFrame:
     """For each ``id`` and ``field`` the record whose value survives.
 
     ``versions``: ``record_id``, ``id``, ``raw_str``, ``description`` (text), ``count`` (int), ``trust`` (int),
     ``updated_at`` (timestamp); other columns are ignored. Rows are unpivoted to one row per field whose value says
-    something (``count``: above 0). The rows of one normalised value are summed up first (votes: trust times a
-    recency decay; the value's best record), then the best value of the field is taken by ``max_by``:
+    something (``count``: above 0). Every record votes for its normalised value, the votes of a value are summed up,
+    and the value with the most of them is elected by ``max_by``. ``policy`` says what a vote is:
 
-    * ``raw_str``: highest trust, then newest; ``description``: longest without outer white space, then newest;
-      ``count``: newest; then the smallest ``record_id``. Null dates are oldest, null trust is lowest.
+    * ``("trust x decay",)``: source trust times recency decay, summed as numbers (``SUMMED``);
+    * weights in order, such as ``("trust", "recency")``: a single vote of more trust outweighs any number of votes of
+      less trust, and so on; the sum of such votes is their greatest one. Weights: ``trust``, ``recency``, ``length``
+      (without outer white space). Null dates are oldest, null trust is lowest.
 
-    Result: ``id``, ``field``, ``record_id``, ``value`` (as text), ``votes`` of the surviving value, and
-    ``favourite`` with ``favourite_votes``, the value with most votes. Ids without any telling value give no rows,
-    nor do null ids; repeated rows count once. Both steps aggregate partially before their shuffle.
+    By default (``POLICY``) the ``raw_str`` of the highest trust survives, then the newest; the longest
+    ``description``, then the newest; the newest ``count``. Equal votes go to the smallest ``record_id``. The record
+    of a value is its best voter.
+
+    Result: ``id``, ``field``, ``record_id``, ``value`` (as text), ``votes`` (trust times decay, summed) of the
+    surviving value, and ``favourite`` with ``favourite_votes``, the value with most of these. Ids without any telling value
+    give no rows, nor do null ids; repeated rows count once. Both steps aggregate partially before their shuffle.
     """
-    newest = versions.agg(F.max("updated_at")).first()[0]
-    age = F.datediff(F.lit(newest), F.col("updated_at")) if newest is not None else F.lit(None)
-    decay = F.coalesce(F.pow(F.lit(0.5), age / F.lit(half_life_days)), F.lit(0.0))
-    vote = F.coalesce("trust", F.lit(0)) * decay
     rows = versions.select("record_id", "id", "raw_str", "description", "count", "trust", "updated_at").where("id is not null").distinct()
+    # Computed only where a vote with decay is asked for.
+    newest = rows.agg(F.max("updated_at")).scalar()
+    decay = F.coalesce(F.pow(F.lit(0.5), F.datediff(newest, F.col("updated_at")) / F.lit(half_life_days)), F.lit(0.0))
+    vote = F.coalesce("trust", F.lit(0)) * decay
+    length = F.length(strip(F.col("description")))
 
-    def one(field: str, value: Column, telling: Column, key: Column) -> Column:
-        return F.when(telling, F.struct(F.lit(field).alias("field"), value.cast("string").alias("value"), key.cast("double").alias("key")))
+    def one(field: str, value: Column, telling: Column) -> Column:
+        weights = {"trust": F.coalesce("trust", F.lit(-1)), "recency": F.unix_micros("updated_at"), "length": length if field == "description" else F.length(strip(value.cast("string")))}
+        in_order = [weights[w].cast("double") for w in policy[field] if w != "trust x decay"]
+        summed = vote if "trust x decay" in policy[field] else F.lit(0.0)
+        own = F.struct(F.lit(field).alias("field"), value.cast("string").alias("value"), summed.alias("summed"), *(w.alias(f"w{n}") for n, w in enumerate([*in_order, *[F.lit(0.0)] * (3 - len(in_order))])))
+        return F.when(telling, own)
 
     cells = F.array_compact(
         F.array(
-            one("raw_str", F.col("raw_str"), says_something(F.col("raw_str")), F.coalesce("trust", F.lit(-1))),
-            one("description", F.col("description"), says_something(F.col("description")), F.length(strip(F.col("description")))),
-            one("count", F.col("count"), F.col("count") > 0, F.lit(0)),
+            one("raw_str", F.col("raw_str"), says_something(F.col("raw_str"))),
+            one("description", F.col("description"), says_something(F.col("description"))),
+            one("count", F.col("count"), F.col("count") > 0),
         )
     )
-    long = rows.select("id", "record_id", "updated_at", vote.alias("vote"), F.explode(cells).alias("c")).select("id", "record_id", "updated_at", "vote", "c.field", "c.value", "c.key")
+    long = rows.select("id", "record_id", vote.alias("vote"), F.explode(cells).alias("c")).select("id", "record_id", "vote", "c.*")
     # Structs compare field by field and nulls come first: null dates are oldest.
-    rank = F.struct("key", "updated_at", (-F.col("record_id")).alias("first"))
+    in_order = F.struct("w0", "w1", "w2")
     values = long.groupBy("id", "field", squeeze(fold(F.col("value"))).alias("norm")).agg(
-        F.sum("vote").alias("votes"), F.max_by(F.struct("record_id", "value"), rank).alias("best"), F.max(rank).alias("rank")
+        F.sum("vote").alias("votes"),
+        F.struct(F.round(F.sum("summed"), 9).alias("summed"), F.max(in_order).alias("greatest")).alias("power"),
+        F.max_by(F.struct("record_id", "value"), F.struct("summed", in_order, -F.col("record_id"))).alias("best"),
     )
+    power = F.struct("power", -F.col("best.record_id"))
     won = values.groupBy("id", "field").agg(
-        F.max_by(F.struct("best.record_id", "best.value", "votes"), F.col("rank")).alias("w"),
-        F.max_by(F.struct("best.value", "votes"), F.struct("votes", "rank")).alias("f"),
+        F.max_by(F.struct("best.record_id", "best.value", "votes"), power).alias("w"),
+        F.max_by(F.struct("best.value", "votes"), F.struct("votes", power)).alias("f"),
     )
     return won.select("id", "field", "w.record_id", "w.value", F.round("w.votes", 6).alias("votes"), F.col("f.value").alias("favourite"), F.round("f.votes", 6).alias("favourite_votes"))
 

@@ -4,7 +4,7 @@ import random
 from datetime import datetime
 
 from chronoloom.llm.canonical import resolve
-from chronoloom.llm.survivors import field_winners, survivors
+from chronoloom.llm.survivors import SUMMED, field_winners, survivors
 
 REF = [("e1", "隆雾泽渔业协会", "entity", ["Longwuze Fisheries", "隆渔会"]), ("e2", "隆雾泽渔业公司", "entity", None), ("l1", "春渡定群岛", "location", []), ("r1", "促成联合演习", "relation", [])]
 ASKED = {
@@ -81,3 +81,18 @@ def test_votes(spark):
     df = spark.createDataFrame(rows, "record_id long, id string, raw_str string, description string, count int, trust int, updated_at timestamp")
     r = field_winners(df).first()
     assert r["record_id"] == 3 and r["favourite"].strip().lower() == "x" and r["favourite_votes"] == 6.0
+
+
+def test_votes_elect(spark):
+    """Winners follow the votes: other weights, or other votes, elect other values."""
+    d = lambda n: datetime(2025, 1, n)
+    rows = [(1, "a", "X", "long words", 1, 3, d(3)), (2, "a", " x ", "long words", 1, 3, d(3)), (3, "a", "Y", "tiny", 2, 5, d(1)), (4, "a", "Z", "w", 3, None, None)]
+    df = spark.createDataFrame(rows, "record_id long, id string, raw_str string, description string, count int, trust int, updated_at timestamp")
+    won = lambda **p: {r["field"]: r["record_id"] for r in field_winners(df, **p).collect()}
+    assert won() == {"raw_str": 3, "description": 1, "count": 1}
+    assert won(policy=SUMMED) == {"raw_str": 1, "description": 1, "count": 1}
+    assert won(policy={**SUMMED, "raw_str": ("recency",), "count": ("trust",)}) == {"raw_str": 1, "description": 1, "count": 3}
+    one_voter_less = df.where("record_id <> 2")
+    assert {r["field"]: r["record_id"] for r in field_winners(one_voter_less, policy=SUMMED).collect()} == {"raw_str": 3, "description": 3, "count": 3}
+    # A decay that hardly counts makes three votes of trust 3 and 3 beat one of 5, a sharp one all the more.
+    assert field_winners(df, policy=SUMMED, half_life_days=1.0).where("field = 'raw_str'").first()["record_id"] == 1
