@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from chronoloom.llm.vectors import BLOCK_ROWS, fit_centres, into_cells, unit, usable
-from chronoloom.operators.blocks import pair_blocks
+from chronoloom.operators.blocks import blocks, pair_blocks
 from chronoloom.operators.graph import star_components
 from chronoloom.sources.tables import Scratch
 
@@ -21,9 +21,9 @@ LEAF_COSINE = 0.9
 class FeatureTree:
     """Leaves of cluster features (count, linear sum) of unit vectors; mergeable.
 
-    Two levels are enough for a partition of bounded size: leaves, and the vectors inserted into them in batches.
     For unit vectors count and linear sum give everything that is needed: the mean cosine between two leaves is
-    the product of their sums over the product of their counts.
+    the product of their sums over the product of their counts. The cells are the upper level of the tree, so a tree
+    holds the leaves of a block of bounded size.
     """
 
     def __init__(self, dimension: int):
@@ -31,10 +31,16 @@ class FeatureTree:
         self.sums = np.zeros((0, dimension))
 
     def insert(self, x: np.ndarray, leaf_cosine: float) -> np.ndarray:
-        """The leaf of each row. A row opens a leaf if no centre is near enough; the rows near it go along."""
+        """Takes in unit vectors; the leaf of each."""
+        return np.concatenate([self.merge(np.ones(len(p)), p, leaf_cosine) for p in (x[s : s + 2048] for s in range(0, len(x), 2048))])
+
+    def merge(self, count: np.ndarray, sums: np.ndarray, leaf_cosine: float) -> np.ndarray:
+        """Takes in features of another tree; the leaf of each. One opens a leaf if no centre is near enough; those near it go along."""
+        unit_sums = lambda s: s / np.linalg.norm(s, axis=1, keepdims=True)
+        x = unit_sums(sums)
         leaf = np.full(len(x), -1)
         if len(self.count):
-            score = x @ (self.sums / np.linalg.norm(self.sums, axis=1, keepdims=True)).T
+            score = x @ unit_sums(self.sums).astype(x.dtype).T
             best = score.argmax(1)
             fits = score[np.arange(len(x)), best] >= leaf_cosine
             leaf[fits] = best[fits]
@@ -52,8 +58,8 @@ class FeatureTree:
                     fresh += 1
         self.count = np.r_[self.count, np.zeros(fresh)]
         self.sums = np.vstack([self.sums, np.zeros((fresh, x.shape[1]))])
-        np.add.at(self.count, leaf, 1)
-        np.add.at(self.sums, leaf, x)
+        np.add.at(self.count, leaf, count)
+        np.add.at(self.sums, leaf, sums)
         return leaf
 
 
@@ -107,42 +113,60 @@ def ward(count: np.ndarray, sums: np.ndarray, least: float) -> np.ndarray:
 def clusters(elements: DataFrame, least: float = 0.77, dimension: int = 96, sure: float = 0.999, scratch: Scratch | None = None) -> DataFrame:
     """Clusters of mutually similar vectors of one type: ``id``, ``type``, ``cluster_id`` (the smallest id of the cluster).
 
-    ``elements``: ``id``, ``type``, ``vector``; other columns are ignored. Vectors of a cluster have a cosine of at
-    least ``least`` with one another. Every usable vector comes out, alone if need be; rows with a null id or type
+    ``elements``: ``id``, ``type``, ``vector``; other columns are ignored. Clusters grow as long as the mean cosine
+    across a merge reaches ``least``; where groups of vectors with a cosine of ``least`` among all of their pairs
+    are apart from each other, these groups are the clusters. Every usable vector comes out, alone if need be; rows with a null id or type
     and vectors that are null, of another length, all zero or not finite belong to no cluster and don't come out.
-    Repeated rows count once; an empty table gives an empty result.
-
-    Every cell (see ``into_cells``) is a partition with a feature tree of its own: vectors go into its leaves, and
-    Ward's method agglomerates the leaves. Cells overlap, so the clusters of different cells that share a vector
-    are one; these links are reduced by alternating stars, never on one machine. A hot cell is cut into
-    blocks; its pairs of blocks are worked on apart and meet in the same reduction.
+    Repeated rows count once (an id with different vectors comes out for each of them); an empty table gives an empty result.
+
+    1. Every vector goes to its nearest cell; a feature tree takes in each block of a cell. A group of copies, or of
+       near copies, of any size becomes a leaf per block.
+    2. Only the leaves' summaries (count and sum) go on, to all cells in their reach (see ``into_cells``), where the
+       trees of the blocks are merged and Ward's method agglomerates the leaves. What the cells found out is reduced
+       further by alternating stars over leaves that occur in several cells, never on one machine.
+    3. One pass assigns all rows to clusters by their leaves; a leaf has no more rows than a block.
     """
     scratch = scratch or Scratch(elements.sparkSession, "clusters")
     vectors = usable(elements, dimension)
     centres = fit_centres(vectors, dimension)
-    tasks = pair_blocks(into_cells(vectors, centres, dimension, math.sqrt(2 - 2 * least), sure), ["type", "cell"], "id", BLOCK_ROWS)
+    reach = math.sqrt(2 - 2 * least)
+
+    def take_in(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.drop_duplicates("id").sort_values("id", kind="stable")
+        ids = pdf["id"].to_numpy(dtype=object)
+        tree = FeatureTree(dimension)
+        leaf = tree.insert(unit(np.frombuffer(b"".join(pdf["v"]), dtype="<f4").reshape(len(pdf), dimension)).astype(np.float32), LEAF_COSINE)
+        first = np.full(len(tree.count), len(ids))
+        np.minimum.at(first, leaf, np.arange(len(ids)))
+        count, sums = np.full(len(ids), None, object), np.full(len(ids), None, object)
+        count[first], sums[first] = tree.count, [list(s) for s in tree.sums.astype(np.float32)]
+        return pd.DataFrame({"type": pdf["type"].iloc[0], "id": ids, "leaf": ids[first[leaf]], "count": count.astype(float), "vector": sums})
+
+    near = blocks(into_cells(vectors, centres, dimension, reach, sure, 1), ["type", "cell"], "id", BLOCK_ROWS)
+    rows = scratch.cut(near.groupBy("type", "cell", "part").applyInPandas(take_in, "type string, id string, leaf string, count double, vector array<float>"), "leaves")
+    leaves = into_cells(rows.where("vector is not null").select("type", "id", "vector", "count"), centres, dimension, reach, sure)
 
-    def work(pdf: pd.DataFrame) -> pd.DataFrame:
+    def agglomerate(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.drop_duplicates("id").sort_values("id", kind="stable")
         ids = pdf["id"].to_numpy(dtype=object)
-        x = unit(np.frombuffer(b"".join(pdf["v"]), dtype="<f4").reshape(len(pdf), dimension)).astype(np.float32)
         tree = FeatureTree(dimension)
-        leaf = np.concatenate([tree.insert(x[s : s + 2048], LEAF_COSINE) for s in range(0, len(x), 2048)])
+        leaf = tree.merge(pdf["count"].to_numpy(), np.frombuffer(b"".join(pdf["v"]), dtype="<f4").reshape(len(pdf), dimension).astype(np.float64), LEAF_COSINE)
         # Rounding of float32 must not part a pair that lies on the border.
         label = ward(tree.count, tree.sums, least - 1e-6)[leaf]
         first = np.full(len(tree.count), len(ids))
         np.minimum.at(first, label, np.arange(len(ids)))
-        return pd.DataFrame({"type": pdf["type"].iloc[0], "id": ids, "head": ids[first[label]]})
+        return pd.DataFrame({"type": pdf["type"].iloc[0], "leaf": ids, "head": ids[first[label]]})
 
-    linked = tasks.groupBy("type", "cell", "i", "j").applyInPandas(work, "type string, id string, head string")
-    # A row has one head in most of its cells; only heads that share a row and differ are linked.
-    member = scratch.cut(linked.groupBy("type", "id").agg(F.array_sort(F.collect_set("head")).alias("heads")), "members")
+    linked = pair_blocks(leaves, ["type", "cell"], "id", BLOCK_ROWS).groupBy("type", "cell", "i", "j").applyInPandas(agglomerate, "type string, leaf string, head string")
+    # A leaf has one head in most of its cells; only heads that share a leaf and differ are linked.
+    member = scratch.cut(linked.groupBy("type", "leaf").agg(F.array_sort(F.collect_set("head")).alias("heads")), "members")
     node = lambda c: F.concat("type", F.lit("\x1f"), c)
     others = member.where(F.size("heads") > 1).select("type", F.col("heads")[0].alias("h0"), F.explode(F.slice("heads", F.lit(2), F.size("heads"))).alias("h"))
     labels = star_components(others.select(node(F.col("h")).alias("u"), node(F.col("h0")).alias("v")), scratch)
-    # The smallest id of a cluster heads itself, so the smallest head is the smallest id; nodes of a type are in the order of ids.
-    own = member.select("type", "id", F.col("heads")[0].alias("h0")).withColumn("node", node(F.col("h0"))).join(labels, "node", "left")
-    return own.select("id", "type", F.coalesce(F.element_at(F.split("label", "\x1f"), 2), "h0").alias("cluster_id"))
+    # The smallest id of a cluster heads its leaf and itself, so the smallest head is the smallest id; nodes of a type are in the order of ids.
+    own = member.select("type", "leaf", F.col("heads")[0].alias("h0")).withColumn("node", node(F.col("h0"))).join(labels, "node", "left")
+    cluster = own.select("type", "leaf", F.coalesce(F.element_at(F.split("label", "\x1f"), 2), "h0").alias("cluster_id"))
+    return rows.select("type", "id", "leaf").join(cluster, ["type", "leaf"]).select("id", "type", "cluster_id")
 
 
 def cluster_pairs(elements: DataFrame, **parameters) -> DataFrame:

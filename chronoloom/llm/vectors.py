@@ -57,38 +57,39 @@ def unit(block: np.ndarray) -> np.ndarray:
 
 
 def fit_centres(vectors: DataFrame, dimension: int, seed: int = 7) -> dict[str, np.ndarray]:
-    """Cell centres of each type, fitted on a bounded sample.
+    """Cell centres of each type, fitted on a bounded sample of the type.
 
-    The sample is the rows with the smallest hash of their id, so it doesn't depend on the partitioning.
+    The sample is the ``SAMPLE_ROWS`` rows with the smallest hash of their id, so neither the partitioning nor the
+    sizes of other types matter.
     """
     counts = {r["type"]: r["n"] for r in vectors.groupBy("type").agg(F.count("*").alias("n")).collect()}
-    if not counts:
-        return {}
-    total = sum(counts.values())
-    share = min(1.0, 1.5 * SAMPLE_ROWS * max(1, len(counts)) / total)
-    low = vectors.where(F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(1_000_000)) < int(share * 1_000_000)) if share < 1 else vectors
+    h = F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(1 << 40))
     out = {}
     for kind, n in counts.items():
-        rows = low.where(F.col("type") == kind).select("vector").limit(SAMPLE_ROWS).toArrow().column(0).combine_chunks()
-        x = rows.values.to_numpy(zero_copy_only=False).reshape(-1, dimension) if len(rows) else np.ones((1, dimension))
+        # Half as many again as are needed, so that the smallest ones are among them.
+        low = vectors.where((F.col("type") == kind) & (h < int(min(1.0, 1.5 * SAMPLE_ROWS / n) * (1 << 40))))
+        rows = low.select(h.alias("h"), "id", "vector").toArrow().sort_by([("h", "ascending"), ("id", "ascending")]).slice(0, SAMPLE_ROWS)
+        x = rows.column("vector").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, dimension) if rows.num_rows else np.ones((1, dimension))
         x = unit(x).astype(np.float32)
         out[kind] = _spherical_kmeans(x, max(1, min(len(x), n // ROWS_PER_CELL, int(2 * math.sqrt(n)))), 4, seed)
     return out
 
 
-def into_cells(vectors: DataFrame, centres: dict[str, np.ndarray], dimension: int, reach: float, sure: float) -> DataFrame:
-    """Each vector in its nearest cell and in further ones, until a chi-square test holds.
+def into_cells(vectors: DataFrame, centres: dict[str, np.ndarray], dimension: int, reach: float, sure: float, most_cells: int | None = MOST_CELLS) -> DataFrame:
+    """Each vector in its nearest cell and in further ones, until a chi-square test holds or ``most_cells`` are reached (None: only by the test).
 
     A neighbour at a distance of at most ``reach`` lies beyond the border to the next cell only if it differs by
     more than the vector's own distance to that border along one fixed direction. That difference, squared and in
     units of ``reach``² / ``dimension``, is taken as chi-square with one degree of freedom; once it exceeds the
     quantile ``sure``, further cells aren't visited. Result: ``type``, ``cell``, ``id``, ``v`` (the vector as it is,
-    float32 bytes: scaling it first would cost the seventh decimal).
+    float32 bytes: scaling it first would cost the seventh decimal), and ``count`` if ``vectors`` has it.
     """
     spark = vectors.sparkSession
     shipped = spark.sparkContext.broadcast(centres)
     limit = math.sqrt(chi_square_quantile(1, sure) * reach * reach / dimension)
     schema = T.StructType([T.StructField("type", T.StringType()), T.StructField("cell", T.IntegerType()), T.StructField("id", T.StringType()), T.StructField("v", T.BinaryType())])
+    if counted := "count" in vectors.columns:
+        schema = schema.add("count", T.DoubleType())
 
     def assign(batches):
         for batch in batches:
@@ -102,7 +103,7 @@ def into_cells(vectors: DataFrame, centres: dict[str, np.ndarray], dimension: in
                     x = unit(vec[part]).astype(np.float32)
                     c = shipped.value[kind]
                     scores = x @ c.T
-                    k = min(MOST_CELLS, c.shape[0])
+                    k = min(most_cells or c.shape[0], c.shape[0])
                     near = np.argpartition(-scores, k - 1, axis=1)[:, :k]
                     near = np.take_along_axis(near, np.argsort(-np.take_along_axis(scores, near, 1), axis=1, kind="stable"), 1)
                     best = np.take_along_axis(scores, near, 1)
@@ -113,14 +114,10 @@ def into_cells(vectors: DataFrame, centres: dict[str, np.ndarray], dimension: in
                     row, col = np.nonzero(keep)
                     raw = vec[part[row]].astype("<f4").tobytes()
                     step = 4 * dimension
-                    yield pa.record_batch(
-                        [
-                            pa.array([kind] * len(row), pa.string()),
-                            pa.array(near[row, col].astype(np.int32)),
-                            ids.take(pa.array(part[row])),
-                            pa.array([raw[j * step : (j + 1) * step] for j in range(len(row))], pa.binary()),
-                        ],
-                        names=["type", "cell", "id", "v"],
-                    )
-
-    return vectors.select("type", "id", "vector").mapInArrow(assign, schema)
+                    at_rows = pa.array(part[row])
+                    own = [pa.array([kind] * len(row), pa.string()), pa.array(near[row, col].astype(np.int32)), ids.take(at_rows), pa.array([raw[j * step : (j + 1) * step] for j in range(len(row))], pa.binary())]
+                    if counted:
+                        own.append(batch.column("count").take(at_rows))
+                    yield pa.record_batch(own, names=schema.names)
+
+    return vectors.select("type", "id", "vector", *["count"] * counted).mapInArrow(assign, schema)

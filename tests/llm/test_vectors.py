@@ -133,3 +133,29 @@ def test_features_merge():
     assert t.count.sum() == 200 and np.allclose(t.sums.sum(0), x.sum(0)) and leaf.min() == 0 and leaf.max() == len(t.count) - 1
     label = CL.ward(np.array([1.0, 1, 1]), VE.unit(np.array([[1.0, 0], [1, 0.1], [0, 1]])), 0.77)
     assert label[0] == label[1] != label[2]
+
+
+def test_feature_trees_merge():
+    """Trees of two halves merged hold the same features as one tree, however the rows were split."""
+    rng = np.random.default_rng(3)
+    heads = VE.unit(rng.standard_normal((12, 96)))
+    x = VE.unit(np.repeat(heads, 40, 0) + 0.02 * rng.standard_normal((480, 96)))
+    whole, merged = CL.FeatureTree(96), CL.FeatureTree(96)
+    whole.insert(x, 0.9)
+    for part in (x[::2], x[1::2]):
+        tree = CL.FeatureTree(96)
+        tree.insert(part, 0.9)
+        merged.merge(tree.count, tree.sums, 0.9)
+    assert len(whole.count) == len(merged.count) == 12 and merged.count.sum() == 480
+    assert np.allclose(np.sort(whole.sums.sum(1)), np.sort(merged.sums.sum(1)))
+
+
+def test_hot_cell_of_copies(spark, monkeypatch):
+    """A third of all rows with the same vector, over many blocks, is one cluster; a leaf for each block is all that goes on."""
+    rng = np.random.default_rng(4)
+    monkeypatch.setattr(CL, "BLOCK_ROWS", 50)
+    base = VE.unit(rng.standard_normal((201, 96)))
+    rows = [(f"e{i:04d}", "entity", [float(f) for f in base[0 if i % 3 == 0 else i % 200 + 1]]) for i in range(600)]
+    df = spark.createDataFrame(rows, "id string, type string, vector array<float>")
+    size = CL.clusters(df).groupBy("cluster_id").count()
+    assert size.agg({"count": "sum"}).first()[0] == 600 and size.agg({"count": "max"}).first()[0] == 200
