@@ -9,14 +9,16 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from chronoloom.llm.vectors import BLOCK_ROWS, chi_square_quantile, fit_centres, into_cells, unit, usable
+from chronoloom.llm.vectors import BLOCK_ROWS, MOST_CELLS, chi_square_quantile, fit_centres, into_cells, unit, usable
 from chronoloom.operators.blocks import pair_blocks
 from chronoloom.sources.tables import Scratch
 
-#: Dimensions of the stable projection that the kd-tree of a cell is built on.
-PROJECTED = 8
-#: Rows of a kd-tree leaf.
-LEAF_ROWS = 256
+#: Dimensions of the stable projection that the kd-tree of a cell is built on: with more of them the boxes of the leaves
+#: lie too near each other for the test to stop, with fewer the projected distance says too little.
+PROJECTED = 6
+#: Rows of a kd-tree leaf, and leaves that are verified between two tests.
+LEAF_ROWS = 32
+LEAVES_AT_ONCE = 8
 
 
 def kd_leaves(points: np.ndarray, leaf_rows: int) -> list[np.ndarray]:
@@ -34,13 +36,14 @@ def kd_leaves(points: np.ndarray, leaf_rows: int) -> list[np.ndarray]:
     return leaves
 
 
-def cell_neighbours(ids: np.ndarray, x: np.ndarray, k: int, least: float, sure: float, asks: np.ndarray, answers: np.ndarray):
-    """Pairs (row, neighbour, cosine) of a cell: up to k nearest of every asking row among the answering ones.
+def cell_neighbours(ids: np.ndarray, x: np.ndarray, k: int, least: float, sure: float, asks: np.ndarray, answers: np.ndarray, tally: dict | None = None):
+    """Pairs (row, neighbour, cosine) of a cell, up to k nearest of every asking row among the answering ones.
 
-    The kd-tree's leaves of the projected points are visited by their projected distance; a leaf of queries stops
-    once the next leaf's distance, squared, exceeds the chi-square quantile times the distance that still matters
-    (that of the k-th neighbour so far, or that of cosine ``least``). Equal cosines, to seven decimals, go to the
-    smaller id.
+    The leaves of a kd-tree over the projected points are visited in the order of their projected distance and their
+    rows verified by the full vectors. A query stops once the next leaf's distance, squared, exceeds the chi-square
+    quantile times the distance that still matters (that of its k-th neighbour so far, or that of cosine ``least``):
+    the projection of a nearer vector lies further away only with a probability of 1 - ``sure``. The queries of a leaf go
+    together and leave out what none of them needs; ``tally`` gets how many rows were verified, of how many. Equal cosines, to seven decimals, go to the smaller id.
     """
     n, d = x.shape
     x32 = x.astype(np.float32)
@@ -48,22 +51,28 @@ def cell_neighbours(ids: np.ndarray, x: np.ndarray, k: int, least: float, sure:
     leaves = kd_leaves(proj, LEAF_ROWS)
     low = np.array([proj[a].min(0) for a in leaves])
     high = np.array([proj[a].max(0) for a in leaves])
+    theirs_of = [a[answers[a]] for a in leaves]
     quantile = chi_square_quantile(PROJECTED, sure)
+    verified, in_all = 0, 0
     out_row, out_near, out_cos = [], [], []
-    for b, mine in enumerate(leaves):
+    for mine in leaves:
         mine = mine[asks[mine]]
         if not len(mine):
             continue
-        away = np.maximum(0, np.maximum(low - high[b], low[b] - high))
-        away = (away**2).sum(1)
+        p = proj[mine][:, None]
+        away = (np.maximum(0, np.maximum(low - p, p - high)) ** 2).sum(2)
         worst = np.full(len(mine), 2 - 2 * least)
         r, near, cos = np.zeros(0, int), np.zeros(0, int), np.zeros(0)
-        for o in np.argsort(away, kind="stable"):
-            if away[o] > quantile * worst.max():
-                break
-            theirs = leaves[o][answers[leaves[o]]]
+        order = np.argsort(away.min(0), kind="stable")
+        in_all += len(mine) * int(answers.sum())
+        while len(order):
+            # What no query needs now won't be needed later: the distances that matter only shrink.
+            order = order[(away[:, order] <= quantile * worst[:, None]).any(0)]
+            step, order = order[:LEAVES_AT_ONCE], order[LEAVES_AT_ONCE:]
+            theirs = np.concatenate([theirs_of[o] for o in step]) if len(step) else np.zeros(0, int)
             if not len(theirs):
                 continue
+            verified += len(mine) * len(theirs)
             s = x32[mine] @ x32[theirs].T
             a, c = np.nonzero(s >= least - 1e-5)
             other = mine[a] != theirs[c]
@@ -74,13 +83,15 @@ def cell_neighbours(ids: np.ndarray, x: np.ndarray, k: int, least: float, sure:
             fine = exact >= least
             r, near, cos = np.r_[r, a[fine]], np.r_[near, c[fine]], np.r_[cos, exact[fine]]
             # Only the best k of each row are kept on the way.
-            order = np.lexsort((ids[near], -cos, r))
-            r, near, cos = r[order], near[order], cos[order]
+            rank = np.lexsort((ids[near], -cos, r))
+            r, near, cos = r[rank], near[rank], cos[rank]
             best = np.arange(len(r)) - np.searchsorted(r, r) < k
             r, near, cos = r[best], near[best], cos[best]
             full = np.flatnonzero(np.bincount(r, minlength=len(mine)) >= k)
             worst[full] = 2 - 2 * cos[np.searchsorted(r, full) + k - 1]
         out_row.append(mine[r]), out_near.append(near), out_cos.append(cos)
+    if tally is not None:
+        tally["verified"], tally["rows"] = tally.get("verified", 0) + verified, tally.get("rows", 0) + in_all
     if not out_row:
         return np.zeros(0, int), np.zeros(0, int), np.zeros(0)
     return np.concatenate(out_row), np.concatenate(out_near), np.concatenate(out_cos)
@@ -103,7 +114,7 @@ def followers(vectors: DataFrame, k: int) -> DataFrame:
     return hot.join(leaders, same).where("id > leader").select("type", "id", "leader")
 
 
-def neighbours(elements: DataFrame, k: int = 5, least: float = 0.76, dimension: int = 96, sure: float = 0.999) -> DataFrame:
+def neighbours(elements: DataFrame, k: int = 5, least: float = 0.76, dimension: int = 96, sure: float = 0.999, most_cells: int | None = MOST_CELLS) -> DataFrame:
     """The k most similar vectors of the same type of every vector: ``id``, ``near``, ``cos``, ``rank`` (from 1).
 
     ``elements``: ``id``, ``type``, ``vector``; other columns are ignored. Only cosines of at least ``least`` count
@@ -111,7 +122,7 @@ def neighbours(elements: DataFrame, k: int = 5, least: float = 0.76, dimension:
     null, of another length, all zero or not finite take no part; repeated rows count once; an empty table gives an
     empty result.
 
-    The cells (see ``into_cells``) bring the cost of a query down from all rows to a few cells; inside a cell the
+    The cells (see ``into_cells``; ``most_cells`` = None: as many as its test asks for) bring the cost of a query down from all rows to a few cells; inside a cell the
     neighbours are found by a kd-tree over stable projections. Shuffled are the vectors, once per cell they are in,
     and the best k of each cell. Large groups of copies are searched for once (see ``followers``).
     """
@@ -123,7 +134,7 @@ def neighbours(elements: DataFrame, k: int = 5, least: float = 0.76, dimension:
         vectors = vectors.join(copies.select("type", "id"), ["type", "id"], "left_anti")
     centres = fit_centres(vectors, dimension)
     reach = math.sqrt(2 - 2 * least)
-    tasks = pair_blocks(into_cells(vectors, centres, dimension, reach, sure), ["type", "cell"], "id", BLOCK_ROWS)
+    tasks = pair_blocks(into_cells(vectors, centres, dimension, reach, sure, most_cells), ["type", "cell"], "id", BLOCK_ROWS)
 
     def work(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.drop_duplicates(["id", "part"]).sort_values("id", kind="stable")

@@ -66,8 +66,8 @@ def fit_centres(vectors: DataFrame, dimension: int, seed: int = 7) -> dict[str,
     h = F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(1 << 40))
     out = {}
     for kind, n in counts.items():
-        # Half as many again as are needed, so that the smallest ones are among them.
-        low = vectors.where((F.col("type") == kind) & (h < int(min(1.0, 1.5 * SAMPLE_ROWS / n) * (1 << 40))))
+        # A tenth more than are needed (twelve standard deviations), so that the smallest ones are among them.
+        low = vectors.where((F.col("type") == kind) & (h < int(min(1.0, 1.1 * SAMPLE_ROWS / n) * (1 << 40))))
         rows = low.select(h.alias("h"), "id", "vector").toArrow().sort_by([("h", "ascending"), ("id", "ascending")]).slice(0, SAMPLE_ROWS)
         x = rows.column("vector").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, dimension) if rows.num_rows else np.ones((1, dimension))
         x = unit(x).astype(np.float32)

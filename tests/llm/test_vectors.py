@@ -159,3 +159,24 @@ def test_hot_cell_of_copies(spark, monkeypatch):
     df = spark.createDataFrame(rows, "id string, type string, vector array<float>")
     size = CL.clusters(df).groupBy("cluster_id").count()
     assert size.agg({"count": "sum"}).first()[0] == 600 and size.agg({"count": "max"}).first()[0] == 200
+
+
+def test_kd_tree_stops():
+    """Queries with near neighbours leave out leaves that lie far away; nothing is missed for it."""
+    rng = np.random.default_rng(9)
+    heads = VE.unit(rng.standard_normal((40, 8)))
+    x = VE.unit(np.repeat(heads, 50, 0) + 0.01 * rng.standard_normal((2000, 8)))
+    every, tally = np.ones(len(x), bool), {}
+    row, near, cos = NB.cell_neighbours(np.arange(len(x)), x, 5, 0.7, 0.999, every, every, tally)
+    s = cosines(x)
+    want = {(i, int(j)) for i in range(len(x)) for j in np.lexsort((np.arange(len(x)), -s[i]))[:5] if s[i, j] >= 0.7}
+    got = set(zip(row.tolist(), near.tolist(), strict=True))
+    assert len(want - got) <= 0.002 * len(want) and tally["rows"] == 2000 * 2000 and tally["verified"] < 0.5 * tally["rows"]
+
+
+def test_all_cells_that_the_test_asks_for(spark):
+    x = cloud(seed=5)
+    df = frame(spark, x)
+    some = {tuple(r) for r in NB.neighbours(df, least=0.7, dimension=24).select("id", "near").collect()}
+    every = {tuple(r) for r in NB.neighbours(df, least=0.7, dimension=24, most_cells=None).select("id", "near").collect()}
+    assert len(every) >= len(some) * 0.999
