@@ -18,9 +18,9 @@ POLICY = {"raw_str": ("trust", "recency"), "description": ("length", "recency"),
 SUMMED = {f: ("trust x decay",) for f in FIELDS}
 
 
-def says_something(c: Column) -> Column:
-    plain = strip(fold(c))
-    return c.isNotNull() & plain.rlike(r"[\p{L}\p{N}]") & ~plain.isin(STAND_INS)
+def says_something(plain: Column) -> Column:
+    """Whether a value says anything, by its normalised form."""
+    return F.coalesce(plain.rlike(r"[\p{L}\p{N}]") & ~plain.isin(STAND_INS), F.lit(False))
 
 
 def field_winners(versions: DataFrame, half_life_days: float = HALF_LIFE_DAYS, policy: dict[str, tuple[str, ...]] = POLICY) -> DataFrame:
@@ -45,30 +45,32 @@ def field_winners(versions: DataFrame, half_life_days: float = HALF_LIFE_DAYS, p
     give no rows, nor do null ids; repeated rows count once. Both steps aggregate partially before their shuffle.
     """
     rows = versions.select("record_id", "id", "raw_str", "description", "count", "trust", "updated_at").where("id is not null").distinct()
+    # The normalised values, worked out once for what they are needed for.
+    rows = rows.withColumns({"_raw_str": squeeze(fold(F.col("raw_str"))), "_description": squeeze(fold(F.col("description")))})
     # Computed only where a vote with decay is asked for.
     newest = rows.agg(F.max("updated_at")).scalar()
     decay = F.coalesce(F.pow(F.lit(0.5), F.datediff(newest, F.col("updated_at")) / F.lit(half_life_days)), F.lit(0.0))
     vote = F.coalesce("trust", F.lit(0)) * decay
     length = F.length(strip(F.col("description")))
 
-    def one(field: str, value: Column, telling: Column) -> Column:
+    def one(field: str, value: Column, norm: Column, telling: Column) -> Column:
         weights = {"trust": F.coalesce("trust", F.lit(-1)), "recency": F.unix_micros("updated_at"), "length": length if field == "description" else F.length(strip(value.cast("string")))}
         in_order = [weights[w].cast("double") for w in policy[field] if w != "trust x decay"]
         summed = vote if "trust x decay" in policy[field] else F.lit(0.0)
-        own = F.struct(F.lit(field).alias("field"), value.cast("string").alias("value"), summed.alias("summed"), *(w.alias(f"w{n}") for n, w in enumerate([*in_order, *[F.lit(0.0)] * (3 - len(in_order))])))
+        own = F.struct(F.lit(field).alias("field"), value.cast("string").alias("value"), norm.alias("norm"), summed.alias("summed"), *(w.alias(f"w{n}") for n, w in enumerate([*in_order, *[F.lit(0.0)] * (3 - len(in_order))])))
         return F.when(telling, own)
 
     cells = F.array_compact(
         F.array(
-            one("raw_str", F.col("raw_str"), says_something(F.col("raw_str"))),
-            one("description", F.col("description"), says_something(F.col("description"))),
-            one("count", F.col("count"), F.col("count") > 0),
+            one("raw_str", F.col("raw_str"), F.col("_raw_str"), says_something(F.col("_raw_str"))),
+            one("description", F.col("description"), F.col("_description"), says_something(F.col("_description"))),
+            one("count", F.col("count"), F.col("count").cast("string"), F.col("count") > 0),
         )
     )
     long = rows.select("id", "record_id", vote.alias("vote"), F.explode(cells).alias("c")).select("id", "record_id", "vote", "c.*")
     # Structs compare field by field and nulls come first: null dates are oldest.
     in_order = F.struct("w0", "w1", "w2")
-    values = long.groupBy("id", "field", squeeze(fold(F.col("value"))).alias("norm")).agg(
+    values = long.groupBy("id", "field", "norm").agg(
         F.sum("vote").alias("votes"),
         F.struct(F.round(F.sum("summed"), 9).alias("summed"), F.max(in_order).alias("greatest")).alias("power"),
         F.max_by(F.struct("record_id", "value"), F.struct("summed", in_order, -F.col("record_id"))).alias("best"),
