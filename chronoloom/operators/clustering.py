@@ -9,10 +9,14 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from chronoloom.operators.graph import star_components
 from chronoloom.operators.ranking import distributed_rank
-from chronoloom.operators.similarity import unit_rows
+from chronoloom.operators.similarity import group_neighbours, mutual_edges, same_vectors, unit_rows, vector_blocks
 from chronoloom.sources.tables import Scratch
 
+#: Rows that are clustered in one task, at most.
+MOST_ROWS = 4_096
+
 
 @dataclass(frozen=True)
 class Sizes:
@@ -48,62 +52,77 @@ def mutual_graph(u: np.ndarray, k: int, least: float) -> np.ndarray:
     return np.where(near & near.T & (s >= least) & (s > 0), s, 0.0)
 
 
-def modularity_communities(w: np.ndarray, resolution: float, seed: int = 0) -> np.ndarray:
+class Adjacency:
+    """A symmetric weighted graph as lists of neighbours."""
+
+    def __init__(self, n: int, source: np.ndarray, target: np.ndarray, weight: np.ndarray):
+        order = np.lexsort((target, source))
+        self.n, self.source, self.target, self.weight = n, source[order], target[order], weight[order]
+        self.degree = np.bincount(self.source, self.weight, n)
+        edge = np.searchsorted(self.source, np.arange(n + 1)).tolist()
+        t, w = self.target.tolist(), self.weight.tolist()
+        self.near = [list(zip(t[a:b], w[a:b], strict=True)) for a, b in zip(edge, edge[1:], strict=False)]
+
+    @classmethod
+    def of(cls, w: np.ndarray) -> Adjacency:
+        a, b = np.nonzero(w)
+        return cls(len(w), a, b, w[a, b])
+
+    def folded(self, own: np.ndarray, n: int) -> Adjacency:
+        """The graph of communities: weights between and within them summed up."""
+        key, at = np.unique(own[self.source] * n + own[self.target], return_inverse=True)
+        return Adjacency(n, key // n, key % n, np.bincount(at, self.weight, len(key)))
+
+
+def modularity_communities(w: np.ndarray | Adjacency, resolution: float, seed: int = 0) -> np.ndarray:
     """Communities of a weighted graph: local moves, refinement to connected parts, aggregation (a seeded Leiden-like search)."""
-    n = len(w)
-    label = np.arange(n)
-    if not w.any():
-        return label
+    level = w if isinstance(w, Adjacency) else Adjacency.of(w)
+    member = np.arange(level.n)
     rng = np.random.default_rng(seed)
-    level, member = w.copy(), np.arange(n)
-    while True:
-        m = len(level)
-        total, degree = level.sum(), level.sum(1)
-        own = np.arange(m)
-        mass = degree.copy()
+    while len(level.source):
+        scale = resolution / level.degree.sum()
+        degree, own, mass = level.degree.tolist(), list(range(level.n)), level.degree.tolist()
         moved = True
         while moved:
             moved = False
-            for i in rng.permutation(m):
-                to = np.zeros(m)
-                np.add.at(to, own, level[i])
-                to[own[i]] -= level[i, i]
-                mass[own[i]] -= degree[i]
-                gain = to - resolution * degree[i] * mass / total
-                options = np.unique(own[level[i] > 0])
-                best = own[i]
-                for c in options:
-                    if gain[c] > gain[best] + 1e-12:
-                        best = c
-                moved |= best != own[i]
-                mass[best] += degree[i]
+            for i in rng.permutation(level.n).tolist():
+                to: dict[int, float] = {}
+                for j, x in level.near[i]:
+                    if j != i:
+                        to[own[j]] = to.get(own[j], 0.0) + x
+                home, d = own[i], degree[i]
+                mass[home] -= d
+                best, most = home, to.get(home, 0.0) - scale * d * mass[home]
+                for c in sorted(to):
+                    gain = to[c] - scale * d * mass[c]
+                    if gain > most + 1e-12:
+                        best, most = c, gain
+                moved |= best != home
+                mass[best] += d
                 own[i] = best
-        own = _connected(level, own)
-        names, own = np.unique(own, return_inverse=True)
+        names, own = np.unique(_connected(level, own), return_inverse=True)
         member = own[member]
-        if len(names) == m:
+        if len(names) == level.n:
             break
-        pick = np.zeros((m, len(names)))
-        pick[np.arange(m), own] = 1
-        level = pick.T @ level @ pick
+        level = level.folded(own, len(names))
     return member
 
 
-def _connected(w: np.ndarray, own: np.ndarray) -> np.ndarray:
+def _connected(g: Adjacency, own: list[int]) -> np.ndarray:
     """Communities cut into their connected parts."""
-    out, n = np.full(len(own), -1), 0
-    for i in range(len(own)):
+    out, n = [-1] * g.n, 0
+    for i in range(g.n):
         if out[i] >= 0:
             continue
-        stack = [i]
-        out[i] = n
+        stack, out[i] = [i], n
         while stack:
             j = stack.pop()
-            near = np.flatnonzero((w[j] > 0) & (own == own[i]) & (out < 0))
-            out[near] = n
-            stack += near.tolist()
+            for o, _ in g.near[j]:
+                if out[o] < 0 and own[o] == own[i]:
+                    out[o] = n
+                    stack.append(o)
         n += 1
-    return out
+    return np.array(out)
 
 
 def balance_penalty(label: np.ndarray, s: Sizes) -> float:
@@ -121,21 +140,21 @@ def balance_penalty(label: np.ndarray, s: Sizes) -> float:
     return float(cost)
 
 
-def balanced_partition(u: np.ndarray, s: Sizes) -> np.ndarray:
-    """The best of a geometric sweep of resolutions; ties go to the smaller largest cluster."""
-    w = mutual_graph(u, s.k, s.least_similarity)
+def balanced_partition(u: np.ndarray, s: Sizes, graph: Adjacency | None = None) -> np.ndarray:
+    """The best of a geometric sweep of resolutions; ties go to the smaller largest cluster. ``graph``: where it is known already."""
+    graph = graph or Adjacency.of(mutual_graph(u, s.k, s.least_similarity))
     best, label = None, np.arange(len(u))
     for r in range(s.rounds):
-        one = modularity_communities(w, s.resolution * s.growth**r)
+        one = modularity_communities(graph, s.resolution * s.growth**r)
         mark = (balance_penalty(one, s), np.bincount(one).max())
         if best is None or mark < best:
             best, label = mark, one
     return label
 
 
-def split_recursively(u: np.ndarray, s: Sizes, depth: int = 0) -> np.ndarray:
+def split_recursively(u: np.ndarray, s: Sizes, depth: int = 0, graph: Adjacency | None = None) -> np.ndarray:
     """Clusters above the largest size split again, up to the depth."""
-    label = balanced_partition(u, s.doubled() if depth == 0 else s)
+    label = balanced_partition(u, s.doubled() if depth == 0 else s, graph)
     if depth >= s.depth:
         return label
     out, n = np.zeros(len(u), int), 0
@@ -172,26 +191,36 @@ def absorb_small(u: np.ndarray, label: np.ndarray, s: Sizes) -> np.ndarray:
             return label
 
 
-def average_linkage(u: np.ndarray, clusters: int) -> np.ndarray:
-    """Agglomeration by mean cosine to a fixed number of clusters."""
+def average_linkage(u: np.ndarray, clusters: int, size: np.ndarray | None = None) -> np.ndarray:
+    """Agglomeration by mean cosine to a fixed number of clusters.
+
+    With ``size`` the rows of ``u`` are the means of so many unit vectors each: the mean cosine between two groups is
+    the product of their means, so groups agglomerate as their members would.
+    """
     n = len(u)
     label = np.arange(n)
     if n <= clusters:
         return label
-    sim, size = u @ u.T, np.ones(n)
+    sim, size = u @ u.T, np.ones(n) if size is None else np.asarray(size, float).copy()
     np.fill_diagonal(sim, -np.inf)
-    alive = np.ones(n, bool)
+    best = sim.argmax(1)
+    most = sim[np.arange(n), best]
     for _ in range(n - max(1, clusters)):
-        a, b = divmod(int(np.argmax(sim)), n)
-        a, b = min(a, b), max(a, b)
+        a = int(np.argmax(most))
+        a, b = sorted((a, int(best[a])))
         mean = (sim[a] * size[a] + sim[b] * size[b]) / (size[a] + size[b])
+        mean[[a, b]] = -np.inf
         sim[a], sim[:, a] = mean, mean
-        sim[a, a] = -np.inf
         sim[b], sim[:, b] = -np.inf, -np.inf
         size[a] += size[b]
-        alive[b] = False
-        sim[a, ~alive] = sim[~alive, a] = -np.inf
         label[label == b] = a
+        # Rows whose nearest was one of the two look again; the others only compare the merged one.
+        again = np.flatnonzero((best == a) | (best == b))
+        again = np.union1d(again, [a, b])
+        best[again] = sim[again].argmax(1)
+        most[again] = sim[again, best[again]]
+        nearer = (sim[:, a] > most) | ((sim[:, a] == most) & (a < best))
+        best[nearer], most[nearer] = a, sim[nearer, a]
     return label
 
 
@@ -217,10 +246,110 @@ def cluster_blocks(rows: DataFrame, scratch: Scratch, method: str = "balanced",
     return found.join(named, ["block", "head"]).select("block", "id", F.format_string("c%04d", F.col("n")).alias("cluster_id"), "size")
 
 
+def _named(found: DataFrame, scratch: Scratch) -> DataFrame:
+    """``id``, ``cluster_id``, ``size`` of rows with the ``head`` of their cluster; ids c0001, c0002, ... by size, then by head."""
+    sizes = found.groupBy("head").agg(F.count("*").alias("size"))
+    named = distributed_rank(sizes, [], [F.desc("size"), F.col("head")], "n", scratch)
+    return found.join(named, "head").select("id", F.format_string("c%04d", F.col("n")).alias("cluster_id"), "size")
+
+
+def _heads(pdf: pd.DataFrame, label: np.ndarray) -> pd.DataFrame:
+    first = pd.Series(pdf["id"].to_numpy()).groupby(label).transform("first")
+    return pd.DataFrame({"id": pdf["id"].to_numpy(), "head": first.to_numpy()})
+
+
+def _follow(found: DataFrame, copies: DataFrame) -> DataFrame:
+    """Copies with the head of their leader."""
+    return found.unionByName(copies.join(found.withColumnRenamed("id", "leader"), "leader").select("id", "head"))
+
+
+def balanced_clusters(rows: DataFrame, scratch: Scratch, sizes: Sizes | None = None, most_rows: int = MOST_ROWS) -> DataFrame:
+    """Communities of wanted sizes of all vectors: ``id``, ``cluster_id``, ``size``.
+
+    ``rows``: ``id``, ``vector``. The mutual-neighbour graph is that of all rows, found in pairs of blocks; equal vectors
+    go together. Every connected component is worked on in one task, with size search, splitting and absorbing;
+    a component of more than ``most_rows`` rows is cut into blocks of neighbouring vectors first, and only there links are lost.
+    """
+    s = sizes or Sizes()
+    kind = rows.schema["id"].dataType.simpleString()
+    copies = scratch.cut(same_vectors(rows), "copies")
+    rows = scratch.cut(rows.select("id", "vector").dropDuplicates(["id"]).join(copies.select("id"), "id", "left_anti"), "rows")
+    near = group_neighbours(rows.withColumn("all", F.lit(0)), "all", s.k, max(s.least_similarity, 0.0))
+    edges = scratch.cut(mutual_edges(near), "edges")
+    label = star_components(edges.select(F.col("source").alias("u"), F.col("target").alias("v")), scratch)
+    placed = rows.join(label.withColumnRenamed("node", "id"), "id", "left").select("id", "vector", F.coalesce("label", "id").cast("string").alias("part"))
+    large = scratch.cut(placed.groupBy("part").agg(F.count("*").alias("n")).where(F.col("n") > most_rows), "large")
+    hot = large.limit(1).count() > 0
+    if hot:
+        # Blocks hold at most four times the size they aim at.
+        cut = vector_blocks(placed.join(large, "part", "left_semi").select("id", "vector"), max(1, most_rows // 4), scratch=scratch).select("id", "vector", F.concat(F.lit("b"), "block").alias("part"))
+        placed = scratch.cut(placed.join(large, "part", "left_anti").unionByName(cut), "parts")
+    both = edges.join(placed.select(F.col("id").alias("source"), "part"), "source")
+    if hot:
+        both = both.join(placed.select(F.col("id").alias("target"), F.col("part").alias("other")), "target").where("part = other").drop("other")
+
+    def run(pdf: pd.DataFrame, links: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("id", kind="stable").reset_index(drop=True)
+        if len(pdf) < 2:
+            return _heads(pdf, np.arange(len(pdf)))
+        u = unit_rows(np.stack([np.asarray(v, dtype=np.float64) for v in pdf["vector"]]))
+        at = pd.Series(np.arange(len(pdf)), index=pdf["id"])
+        a, b, w = at[links["source"]].to_numpy(), at[links["target"]].to_numpy(), links["weight"].to_numpy()
+        graph = Adjacency(len(pdf), np.r_[a, b], np.r_[b, a], np.r_[w, w])
+        return _heads(pdf, absorb_small(u, split_recursively(u, s, graph=graph), s))
+
+    links = scratch.cut(both.select("part", "source", "target", "weight"), "links")
+    found = placed.groupBy("part").cogroup(links.groupBy("part")).applyInPandas(run, f"id {kind}, head {kind}")
+    return _named(scratch.cut(_follow(scratch.cut(found, "found"), copies), "clusters"), scratch)
+
+
+def linkage_clusters(rows: DataFrame, scratch: Scratch, clusters: int, most_rows: int = MOST_ROWS) -> DataFrame:
+    """Average linkage of all vectors to a fixed number of clusters: ``id``, ``cluster_id``, ``size``.
+
+    ``rows``: ``id``, ``vector``. Up to ``most_rows`` different vectors are agglomerated at once. More of them are cut into blocks of
+    neighbouring vectors, each agglomerated to a share of ``most_rows`` groups; the groups' means go on in the same
+    way, so only the first steps of the agglomeration are confined to blocks.
+    """
+    kind = rows.schema["id"].dataType.simpleString()
+    copies = scratch.cut(same_vectors(rows), "copies")
+    weight = copies.groupBy(F.col("leader").alias("id")).agg(F.count("*").alias("n"))
+    u = scratch.cut(rows.select("id", "vector").dropDuplicates(["id"]).join(copies.select("id"), "id", "left_anti").join(weight, "id", "left").select("id", "vector", (F.coalesce("n", F.lit(0)) + 1).cast("double").alias("size"), F.lit(True).alias("raw")), "rows")
+    steps = []
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("id", kind="stable").reset_index(drop=True)
+        m = np.stack([np.asarray(v, dtype=np.float64) for v in pdf["vector"]])
+        m, size, wanted = unit_rows(m) if pdf["raw"].iloc[0] else m, pdf["size"].to_numpy(), int(pdf["wanted"].iloc[0])
+        label = average_linkage(m, wanted, size)
+        out = _heads(pdf, label)
+        total = pd.DataFrame(m * size[:, None]).groupby(label).transform("sum").to_numpy() / pd.Series(size).groupby(label).transform("sum").to_numpy()[:, None]
+        return out.assign(vector=list(total), size=size)
+
+    while True:
+        n = u.count()
+        if n <= most_rows:
+            blocked = u.withColumn("block", F.lit("0")).withColumn("wanted", F.lit(clusters))
+        else:
+            blocked = scratch.cut(vector_blocks(u, max(1, most_rows // 4), scratch=scratch), "blocks")
+            # All blocks together leave a quarter of what fits, but each at least one group and at most half of its rows.
+            share = F.greatest(F.lit(1), F.least(F.ceil(F.col("rows") / 2), F.floor(F.col("rows") * (most_rows / 4 / n)))).cast("int")
+            blocked = blocked.join(blocked.groupBy("block").agg(F.count("*").alias("rows")), "block").withColumn("wanted", share).drop("rows")
+        step = scratch.cut(blocked.groupBy("block").applyInPandas(run, f"id {kind}, head {kind}, vector array<double>, size double"), "step")
+        steps.append(step.select("id", "head"))
+        if n <= most_rows:
+            break
+        u = scratch.cut(step.groupBy(F.col("head").alias("id")).agg(F.first("vector").alias("vector"), F.sum("size").alias("size")).withColumn("raw", F.lit(False)), "means")
+    found = steps[0]
+    for nxt in steps[1:]:
+        found = found.withColumnRenamed("head", "h").join(nxt.select(F.col("id").alias("h"), "head"), "h").select("id", "head")
+    return _named(scratch.cut(_follow(scratch.cut(found, "found"), copies), "clusters"), scratch)
+
+
 def projected_points(rows: DataFrame, dimension: int = 2) -> DataFrame:
     """Points for a plot: principal components of the vectors, in place of a neighbour embedding.
 
-    The covariance is summed up per partition; only its matrix reaches the driver.
+    Sums and products are summed up per partition and then by an aggregation of one row per matrix row, so that
+    only the matrix of the covariance reaches the driver. An empty table gives an empty result.
     """
     spark = rows.sparkSession
 
@@ -233,15 +362,18 @@ def projected_points(rows: DataFrame, dimension: int = 2) -> DataFrame:
                 total = m.sum(0) if total is None else total + m.sum(0)
                 square = m.T @ m if square is None else square + m.T @ m
         if n:
-            yield pd.DataFrame({"n": [n], "total": [total.tolist()], "square": [square.ravel().tolist()]})
+            d = len(total)
+            yield pd.DataFrame({"i": np.repeat(np.arange(d), d), "j": np.tile(np.arange(d), d), "n": n, "total": np.repeat(total, d), "square": square.ravel()})
 
-    sums = rows.select("vector").mapInPandas(part, "n long, total array<double>, square array<double>").toPandas()
+    sums = rows.select("vector").mapInPandas(part, "i int, j int, n long, total double, square double").groupBy("i", "j").agg(F.sum("n").alias("n"), F.sum("total").alias("total"), F.sum("square").alias("square"))
+    sums = sums.toPandas().sort_values(["i", "j"])
     if not len(sums):
         return rows.select("id", F.lit(0.0).alias("x"), F.lit(0.0).alias("y"))
-    n, total = sums["n"].sum(), np.sum(np.stack(sums["total"]), axis=0)
-    mean = total / n
-    cov = np.sum(np.stack(sums["square"]), axis=0).reshape(len(mean), -1) / n - np.outer(mean, mean)
+    d, n = int(sums["i"].max()) + 1, int(sums["n"].iloc[0])
+    mean = sums["total"].to_numpy()[::d] / n
+    cov = sums["square"].to_numpy().reshape(d, d) / n - np.outer(mean, mean)
     _, axes = np.linalg.eigh(cov)
+    axes = axes * np.where(axes[np.abs(axes).argmax(0), np.arange(d)] < 0, -1.0, 1.0)
     shipped = spark.sparkContext.broadcast((mean, axes[:, ::-1][:, :dimension]))
     kind = rows.schema["id"].dataType.simpleString()
 

@@ -9,11 +9,17 @@ from pyspark.sql import functions as F
 
 from chronoloom.functions.vectors import dot
 from chronoloom.operators.blocks import pair_blocks
+from chronoloom.sources.tables import Scratch
 
 #: Query vectors that are broadcast at once.
 QUERY_BLOCK = 8_192
 #: Rows of a block in work on pairs.
 BLOCK_ROWS = 4_096
+#: Of blocks of neighbouring vectors: centres fitted at once and levels at most; rows that the centres of a split are fitted on, and of a part that meets them.
+MOST_CENTRES = 1_024
+MOST_LEVELS = 8
+SPLIT_SAMPLE = 4_000
+SPLIT_ROWS = 20_000
 
 
 def _matrix(column) -> np.ndarray:
@@ -59,12 +65,19 @@ def search(queries: DataFrame, rows: DataFrame, k: int, least: float = -1.0, by_
                 m = unit_rows(_matrix(pdf["vector"]))
                 near = pdf["id"].to_numpy(dtype=object)
                 s = np.round(q @ m.T, 9)
-                a, b = np.nonzero(s >= least)
-                out = pd.DataFrame({"query": names[a], "id": near[b], "score": s[a, b]})
-                if by_best:
-                    out = out.groupby(["query", "id"], as_index=False)["score"].max()
+                if by_best:  # the best row of each id
+                    order = np.argsort(near, kind="stable")
+                    edge = np.flatnonzero(np.r_[True, near[order][1:] != near[order][:-1]])
+                    near, s = near[order][edge], np.maximum.reduceat(s[:, order], edge, axis=1)
+                else:
+                    s[names[:, None] == near[None, :]] = -np.inf
+                if s.shape[1] > k:
+                    # Ties with the k-th are kept too: which of them counts is for the order of the ids.
+                    bound = -np.partition(-s, k - 1, axis=1)[:, k - 1 : k]
+                    a, b = np.nonzero((s >= np.maximum(bound, least)))
                 else:
-                    out = out[out["query"] != out["id"]]
+                    a, b = np.nonzero(s >= least)
+                out = pd.DataFrame({"query": names[a], "id": near[b], "score": s[a, b]})
                 out = out.sort_values(["query", "score", "id"], ascending=[True, False, True], kind="stable")
                 yield out.groupby("query").head(k)
 
@@ -181,19 +194,18 @@ def medoids(rows: DataFrame, group: str, dimension: int) -> DataFrame:
     return best.select(group, "b.id", "b.mean_similarity")
 
 
-def vector_blocks(rows: DataFrame, block_size: int = 128, seed: int = 13, most_sample: int = 16_000) -> DataFrame:
-    """Adds ``block``: spherical k-means with rows / block_size centres, fitted on a bounded sample, then all rows assigned.
+def same_vectors(rows: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
+    """Copies of vectors: ``id`` and the ``leader``, the smallest id with the very same vector (and ``keys``); leaders themselves don't come out.
 
-    A block that still holds more than four times ``block_size`` rows is cut by a hash of the id, so that whatever
-    works on a block has a bounded group.
+    Vectors are told by 96 bits of hashes. The leaders are aggregated partially, and a leader's rows joined by AQE's
+    split of hot keys, so any share of the rows may be copies.
     """
-    spark = rows.sparkSession
-    n = rows.count()
-    k = max(1, min(-(-n // block_size), most_sample // 4))
-    if n <= block_size:
-        return rows.withColumn("block", F.lit("0"))
-    sample = rows.orderBy(F.xxhash64("id", F.lit(seed))).limit(most_sample).select("vector").collect()
-    x = unit_rows(_matrix([r["vector"] for r in sample]))
+    named = rows.select("id", *keys, F.xxhash64("vector").alias("h1"), F.hash("vector").alias("h2")).distinct()
+    first = named.groupBy(*keys, "h1", "h2").agg(F.min("id").alias("leader"), F.count("*").alias("copies")).where(F.col("copies") > 1).drop("copies")
+    return named.join(first, [*keys, "h1", "h2"]).where("id > leader").select(*keys, "id", "leader")
+
+
+def _centres(x: np.ndarray, k: int, seed: int) -> np.ndarray:
     c = x[np.random.default_rng(seed).choice(len(x), min(k, len(x)), replace=False)].copy()
     for _ in range(8):
         near = (x @ c.T).argmax(1)
@@ -201,7 +213,24 @@ def vector_blocks(rows: DataFrame, block_size: int = 128, seed: int = 13, most_s
             mine = x[near == j]
             if len(mine):
                 c[j] = mine.mean(0) / max(1e-12, np.linalg.norm(mine.mean(0)))
-    shipped = spark.sparkContext.broadcast(c)
+    return c
+
+
+def vector_blocks(rows: DataFrame, block_size: int = 128, seed: int = 13, most_sample: int = 16_000, scratch: Scratch | None = None) -> DataFrame:
+    """Adds ``block``: spherical k-means with rows / block_size centres, fitted on a bounded sample, then all rows assigned.
+
+    There are at most ``MOST_CENTRES`` centres at once. A block that still holds more than four times ``block_size`` rows is split
+    again in the same way, by centres fitted on a sample of its own rows and on as many levels as it takes; its rows
+    meet their centres in bounded parts. Only what ``MOST_LEVELS`` levels can't part (vectors of the same direction; see
+    ``same_vectors`` to put them together first) is cut by a hash of the id, so that whatever works on a block has a
+    bounded group.
+    """
+    spark = rows.sparkSession
+    n, limit = rows.count(), 4 * block_size
+    if n <= block_size:
+        return rows.withColumn("block", F.lit("0"))
+    sample = rows.orderBy(F.xxhash64("id", F.lit(seed))).limit(most_sample).select("vector").collect()
+    shipped = spark.sparkContext.broadcast(_centres(unit_rows(_matrix([r["vector"] for r in sample])), min(-(-n // block_size), MOST_CENTRES), seed))
 
     def assign(frames):
         for pdf in frames:
@@ -212,6 +241,39 @@ def vector_blocks(rows: DataFrame, block_size: int = 128, seed: int = 13, most_s
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema) + ", block string"
     placed = rows.mapInPandas(assign, schema)
-    sizes = placed.groupBy("block").agg(F.count("*").alias("_n")).where(F.col("_n") > 4 * block_size)
-    parts = F.coalesce(F.ceil(F.col("_n") / (4 * block_size)), F.lit(1))
-    return placed.join(F.broadcast(sizes), "block", "left").withColumn("block", F.concat_ws(".", "block", F.pmod(F.xxhash64("id"), parts))).select(*rows.columns, "block")
+    scratch = scratch or Scratch(spark, "blocks")
+    done = None
+    for level in range(MOST_LEVELS):
+        placed = scratch.cut(placed, "placed")
+        sizes = scratch.cut(placed.groupBy("block").agg(F.count("*").alias("_n")).where(F.col("_n") > limit), "sizes")
+        if not sizes.limit(1).count():
+            return placed if done is None else done.unionByName(placed)
+        fine = placed.join(sizes, "block", "left_anti")
+        done = fine if done is None else done.unionByName(fine)
+        placed = _split(placed.join(sizes, "block"), placed.columns, block_size, seed + level, schema)
+    placed = scratch.cut(placed, "placed")
+    sizes = placed.groupBy("block").agg(F.count("*").alias("_n"))
+    cut = placed.join(sizes, "block").withColumn("block", F.concat_ws(".", "block", F.pmod(F.xxhash64("id"), F.ceil(F.col("_n") / limit))))
+    return done.unionByName(cut.select(placed.columns))
+
+
+def _split(rows: DataFrame, names: list[str], block_size: int, seed: int, schema: str) -> DataFrame:
+    """Blocks (``_n``: their rows) parted by centres of their own."""
+    low = F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(1 << 30)) < F.lit(SPLIT_SAMPLE * (1 << 30)) / F.col("_n")
+
+    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
+        x = unit_rows(_matrix(pdf.sort_values("id", kind="stable")["vector"]))
+        c = _centres(x, int(min(64, max(2, -(-pdf["_n"].iloc[0] // block_size)))), seed)
+        return pd.DataFrame({"block": pdf["block"].iloc[0], "_centre": list(c), "_parts": -(-pdf["_n"].iloc[0] // SPLIT_ROWS)})
+
+    # Each bounded part of a block gets its centres.
+    centres = rows.where(low).select("block", "id", "vector", "_n").groupBy("block").applyInPandas(fit, "block string, _centre array<double>, _parts long")
+    centres = centres.select("block", "_centre", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)).alias("_part"))
+    parted = rows.withColumn("_part", F.pmod(F.xxhash64("id"), F.ceil(F.col("_n") / SPLIT_ROWS)))
+
+    def assign(pdf: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
+        own = pdf.drop(columns=["_n", "_part"])
+        near = (unit_rows(_matrix(own["vector"])) @ np.stack(c["_centre"]).T).argmax(1) if len(own) and len(c) else np.zeros(len(own), int)
+        return own.assign(block=[f"{b}.{i}" for b, i in zip(own["block"], near, strict=True)])
+
+    return parted.select(*names, "_n", "_part").groupBy("block", "_part").cogroup(centres.groupBy("block", "_part")).applyInPandas(assign, schema)

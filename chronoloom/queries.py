@@ -515,14 +515,12 @@ def vector_blocks(spark, folder):
 
 @query
 def balanced_clusters(spark, folder):
-    scratch = Scratch(spark, "balanced")
-    return CL.cluster_blocks(_blocked(spark, folder, scratch), scratch, "balanced", CL.Sizes(target=10, least=5, most=30, k=10, absorb=0.1))
+    return CL.balanced_clusters(_vectors(spark, folder), Scratch(spark, "balanced"), CL.Sizes(target=10, least=5, most=30, k=10, absorb=0.1))
 
 
 @query
 def linkage_clusters(spark, folder):
-    scratch = Scratch(spark, "linkage")
-    return CL.cluster_blocks(_blocked(spark, folder, scratch), scratch, "average")
+    return CL.linkage_clusters(_vectors(spark, folder), Scratch(spark, "linkage"), 64)
 
 
 @query

@@ -246,3 +246,73 @@ def test_news_graph_has_every_eligible_edge(spark):
     wanted = {(a, b) for b in asked for a in ends if a != b and ends[a] <= ends[b]}
     got = [(r["source"], r["target"]) for r in QUERIES["news_graph"](spark, LARGER).collect()]
     assert len(got) == len(set(got)) and set(got) == wanted and len(wanted) > 10 * len(asked)
+
+
+def planted(spark, n=10_000, d=16, seed=3):
+    """Distinct vectors of one narrow direction, each of the first hundred with two copies further back."""
+    rng = np.random.default_rng(seed)
+    x = np.r_[np.ones(d)] + 0.3 * rng.standard_normal((n, d))
+    x[-200:-100], x[-100:] = x[:100], x[:100]
+    return x, spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, vector array<double>")
+
+
+def test_blocks_of_a_narrow_direction(spark, scratch, monkeypatch):
+    x, df = planted(spark)
+    monkeypatch.setattr(SI, "MOST_CENTRES", 4)  # so that blocks must be split again
+    got = SI.vector_blocks(df, 40, scratch=scratch).toPandas()
+    assert sorted(got["id"]) == list(range(10_000)) and got.groupby("block")["id"].size().max() <= 160
+    block = got.set_index("id")["block"]
+    # Copies meet: no block is cut by a hash.
+    assert all(block[i] == block[9_800 + i] == block[9_900 + i] for i in range(100))
+
+
+def test_all_copies_of_one_vector(spark, scratch):
+    df = spark.createDataFrame([(i, [1.0, 2.0]) for i in range(900)], "id long, vector array<double>")
+    assert SI.vector_blocks(df, 40, scratch=scratch).groupBy("block").count().agg(F.max("count")).first()[0] <= 240  # by a hash
+    copies = SI.same_vectors(df)
+    assert copies.count() == 899 and copies.where("leader <> 0").count() == 0
+    for got in (CL.balanced_clusters(df, scratch), CL.linkage_clusters(df, scratch, 3)):
+        assert got.select("cluster_id").distinct().count() == 1 and got.count() == 900
+
+
+def slow_linkage(u, clusters):
+    groups = [[i] for i in range(len(u))]
+    while len(groups) > clusters:
+        s = u @ u.T
+        mean = lambda p: s[np.ix_(groups[p[0]], groups[p[1]])].mean()
+        a, b = max(((a, b) for a in range(len(groups)) for b in range(a + 1, len(groups))), key=lambda p: (round(mean(p), 9), -p[0], -p[1]))
+        groups[a] += groups.pop(b)
+    return {frozenset(g) for g in groups}
+
+
+def test_linkage_against_brute_force(spark, scratch):
+    rng = np.random.default_rng(2)
+    x = rng.standard_normal((40, 5))
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    parts = lambda label: {frozenset(np.flatnonzero(label == c).tolist()) for c in set(label.tolist())}
+    for k in (1, 4, 9):
+        assert parts(CL.average_linkage(u, k)) == slow_linkage(u, k)
+    # Groups' means with their sizes go on as their members would.
+    first = CL.average_linkage(u, 20)
+    heads = np.unique(first)
+    means, sizes = np.stack([u[first == h].mean(0) for h in heads]), np.array([(first == h).sum() for h in heads])
+    assert parts(heads[CL.average_linkage(means, 4, sizes)][np.searchsorted(heads, first)]) == slow_linkage(u, 4)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, vector array<double>")
+    whole = CL.linkage_clusters(df, scratch, 4).toPandas()
+    assert {frozenset(g) for g in whole.groupby("cluster_id")["id"].apply(list)} == slow_linkage(u, 4)
+    in_steps = CL.linkage_clusters(df, scratch, 4, most_rows=16).toPandas()
+    assert sorted(in_steps["id"]) == list(range(40)) and in_steps["cluster_id"].nunique() == 4
+
+
+def test_balanced_clusters_lose_no_link(spark, scratch):
+    """Every cluster of the whole graph's components: links across blocks of neighbour search count too."""
+    rng = np.random.default_rng(4)
+    heads = rng.standard_normal((30, 12))
+    x = np.repeat(heads, 8, 0) + 0.05 * rng.standard_normal((240, 12))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, vector array<double>")
+    for most in (4_096, 60):
+        got = CL.balanced_clusters(df, scratch, CL.Sizes(target=8, least=4, most=12, k=6), most_rows=most).toPandas()
+        assert sorted(got["id"]) == list(range(240))
+        owner = got.set_index("id")["cluster_id"]
+        together = np.mean([owner[i] == owner[i - i % 8] for i in range(240)])
+        assert together > 0.95
