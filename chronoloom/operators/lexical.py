@@ -6,9 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from chronoloom.functions.text import lexical_tokens
-from chronoloom.operators.canonical import bounded_broadcast
-
-K1, B = 1.5, 0.75
+from chronoloom.operators.canonical import B, K1, bounded_broadcast
 
 
 def term_frequencies(documents: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chronoloom.functions.vectors import dot
@@ -194,15 +194,18 @@ def medoids(rows: DataFrame, group: str, dimension: int) -> DataFrame:
     return best.select(group, "b.id", "b.mean_similarity")
 
 
-def same_vectors(rows: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
-    """Copies of vectors: ``id`` and the ``leader``, the smallest id with the very same vector (and ``keys``); leaders themselves don't come out.
+def same_vectors(rows: DataFrame, keys: tuple[str, ...] = (), prefer: Column | None = None) -> DataFrame:
+    """Copies of vectors: ``id`` and the ``leader``, another row with the very same vector (and ``keys``); leaders themselves don't come out.
 
-    Vectors are told by 96 bits of hashes. The leaders are aggregated partially, and a leader's rows joined by AQE's
-    split of hot keys, so any share of the rows may be copies.
+    The leader is the row with the smallest id, or the one that ``prefer`` orders last. Vectors are told by 96 bits of
+    hashes. The leaders are aggregated partially, and a leader's rows joined by AQE's split of hot keys, so any share
+    of the rows may be copies.
     """
-    named = rows.select("id", *keys, F.xxhash64("vector").alias("h1"), F.hash("vector").alias("h2")).distinct()
-    first = named.groupBy(*keys, "h1", "h2").agg(F.min("id").alias("leader"), F.count("*").alias("copies")).where(F.col("copies") > 1).drop("copies")
-    return named.join(first, [*keys, "h1", "h2"]).where("id > leader").select(*keys, "id", "leader")
+    order = prefer if prefer is not None else F.lit(0)
+    named = rows.select("id", *keys, order.alias("_order"), F.xxhash64("vector").alias("h1"), F.hash("vector").alias("h2")).distinct()
+    leader = F.min("id") if prefer is None else F.max_by("id", F.struct("_order", "id"))
+    first = named.groupBy(*keys, "h1", "h2").agg(leader.alias("leader"), F.count("*").alias("copies")).where(F.col("copies") > 1).drop("copies")
+    return named.join(first, [*keys, "h1", "h2"]).where("id <> leader").select(*keys, "id", "leader")
 
 
 def _centres(x: np.ndarray, k: int, seed: int) -> np.ndarray:

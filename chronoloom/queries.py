@@ -530,15 +530,29 @@ def plot_points(spark, folder):
 
 @query
 def greedy_entries(spark, folder):
-    """Elements merged greedily in blocks of their type; those without a usable vector are entries of their own."""
-    scratch = Scratch(spark, "greedy")
-    e = table(spark, folder, "dedup_elements", "id", "type", "raw_str", "alias_key", "count", "vector")
-    usable = F.coalesce((F.size("vector") == 96) & ~F.exists("vector", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))), F.lit(False))
-    fine = e.where(usable).dropDuplicates(["id", "type"])
-    alone = e.where(~usable).dropDuplicates(["id", "type"]).join(fine, ["id", "type"], "left_anti")
-    blocked = scratch.cut(SI.vector_blocks(fine, 128), "blocks")
-    merged = CA.greedy_merge(blocked, "block", scratch=scratch)
-    return merged.unionByName(alone.select("type", "id", F.col("id").alias("cid"), F.col("raw_str").alias("canonical_str")))
+    """Elements put together greedily, each with its entry; those without a usable vector are entries of their own."""
+    e = table(spark, folder, "dedup_elements")
+    return CA.put_together(e, Scratch(spark, "greedy")).select("type", "id", "cid", "canonical_str")
+
+
+@query
+def deduplicated_entries(spark, folder):
+    """The same as a list of entries with their aliases."""
+    return CA.as_entries(CA.put_together(table(spark, folder, "dedup_elements"), Scratch(spark, "entries")))
+
+
+@query
+def same_key_entries(spark, folder):
+    """Entries by a judge that only knows the alias key, in a block for each key."""
+    e = table(spark, folder, "dedup_elements").where("size(vector) = 96").dropDuplicates(["type", "id"])
+    return CA.as_entries(CA.deduplicated(e.withColumn("block", F.col("alias_key")), "block", 1_000, judge=CA.key_judge))
+
+
+@query
+def same_key_aliases(spark, folder):
+    """The alias map of such entries."""
+    e = table(spark, folder, "dedup_elements").where("size(vector) = 96").dropDuplicates(["type", "id"])
+    return CA.key_entries(CA.deduplicated(e.withColumn("block", F.col("alias_key")), "block", 1_000, judge=CA.key_judge))
 
 
 # --- timeline --------------------------------------------------------------------------------------------------------

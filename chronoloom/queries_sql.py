@@ -252,3 +252,7 @@ MATCHES = f"m AS (SELECT DISTINCT {alias_key('left_key')} AS source, {alias_key(
 HOPS = f"WITH {MATCHES}, h0 AS (SELECT min(source) AS node FROM e), h1 AS (SELECT DISTINCT v AS node FROM y JOIN h0 ON u = node WHERE v NOT IN (SELECT node FROM h0)), h2 AS (SELECT DISTINCT v AS node FROM y JOIN h1 ON u = node WHERE v NOT IN (SELECT node FROM h0 UNION SELECT node FROM h1)), h AS (SELECT node, 0 AS hop FROM h0 UNION ALL SELECT node, 1 FROM h1 UNION ALL SELECT node, 2 FROM h2)"
 SQL["match_neighbourhood"] = HOPS + " SELECT * FROM h"
 SQL["neighbourhood_edges"] = HOPS + " SELECT * FROM e WHERE source IN (SELECT node FROM h) AND target IN (SELECT node FROM h)"
+
+_KEYED = "e AS (SELECT DISTINCT type, id, raw_str, alias_key, description FROM dedup_elements WHERE len(vector) = 96), k AS (SELECT * FROM e QUALIFY row_number() OVER (PARTITION BY type, alias_key ORDER BY id) = 1)"
+SQL["same_key_entries"] = f"WITH {_KEYED} SELECT type, id AS cid, raw_str AS canonical_str, description, [alias_key] AS aliases FROM k"
+SQL["same_key_aliases"] = f"WITH {_KEYED} SELECT type, alias_key, id AS cid FROM k"

@@ -316,3 +316,42 @@ def test_balanced_clusters_lose_no_link(spark, scratch):
         owner = got.set_index("id")["cluster_id"]
         together = np.mean([owner[i] == owner[i - i % 8] for i in range(240)])
         assert together > 0.95
+
+
+def test_entries_of_a_block(spark, scratch):
+    """Hybrid candidates, matching by alias key, the choice of a name, ids that are lent or new, contexts of new names."""
+    rows = [
+        ("entity", "b", "e1", "Alpha", "alpha", "sea fleet", 5, ["c1", "c2"], [1.0, 0.0]),
+        ("entity", "b", "e2", " ALPHA two ", "alpha two", "sea fleet", 2, ["c2", "c3"], [0.9, 0.1]),
+        ("entity", "b", "e3", "Beta", "beta", "river port", 4, ["c4"], [0.0, 1.0]),
+        ("entity", "b", "e4", "Gamma", "gamma", None, 1, None, [-1.0, 0.0]),
+        ("relation", "b", "r1", "Alpha", "alpha", "says", 5, ["c1"], [1.0, 0.0]),
+    ]
+    df = spark.createDataFrame(rows, "type string, block string, id string, raw_str string, alias_key string, description string, count int, contexts array<string>, vector array<double>")
+    def judge(target, others):
+        return [" Alpha TWO"] if target["id"] == "e1" else []
+
+    got = {r["id"]: r for r in CA.deduplicated(df, "block", 16, 0.5, judge).collect()}
+    assert {i: r["cid"] for i, r in got.items()} == {"e1": "e1", "e2": "e1", "e3": "e3", "e4": "e4", "r1": "r1"}
+    assert got["e2"]["canonical_str"] == "Alpha" and got["e2"]["description"] == "sea fleet" and got["e4"]["description"] is None
+    # A chosen member lends its id and description; a new name gets an id and a description of its own.
+    lent = {r["id"]: r for r in CA.deduplicated(df, "block", 16, 0.5, judge, choose=lambda m: "alpha two").collect()}
+    assert (lent["e1"]["cid"], lent["e1"]["canonical_str"]) == ("e2", " ALPHA two ")
+    new = {r["id"]: r for r in CA.deduplicated(df, "block", 16, 0.5, judge, choose=lambda m: "  Alpha  Group ").collect()}
+    assert new["e1"]["cid"] == new["e2"]["cid"] and new["e1"]["cid"].startswith("ent_") and new["e1"]["canonical_str"] == "Alpha Group" and new["e1"]["description"] == "Alpha Group，c1"
+    entries = {r["cid"]: r for r in CA.as_entries(CA.deduplicated(df, "block", 16, 0.5, judge)).collect()}
+    assert entries["e1"]["aliases"] == ["alpha", "alpha two"]
+    # With the lexical side alone the candidates follow the words: the one nearest by words is judged first.
+    first = lambda t, o: [o["raw_str"].iloc[0]] if t["id"] == "e1" else []
+    by_words = {r["id"]: r["cid"] for r in CA.deduplicated(df.withColumn("vector", F.array(F.lit(1.0), F.lit(0.0))), "block", 1, 1.0, first).collect()}
+    assert by_words["e2"] == "e1" and by_words["e3"] == "e3"
+    assert CA.deduplicated(df.where("false"), "block").count() == 0
+
+
+def test_put_together_copies_and_unusable(spark, scratch):
+    rows = [("entity", f"e{i:03d}", f"n{i}", f"n{i}", None, i, None, [1.0, 2.0]) for i in range(300)]
+    rows += [("entity", "x1", "x", "x", "d", 1, None, None), ("entity", "x2", "y", "y", "d", 1, None, [float("nan"), 1.0]), ("entity", "x3", "z", "z", "d", 1, None, [1.0]), ("location", "l1", "n1", "n1", "d", 1, None, [1.0, 2.0])]
+    df = spark.createDataFrame([*rows, rows[0]], "type string, id string, raw_str string, alias_key string, description string, count int, contexts array<string>, vector array<double>")
+    got = {r["id"]: r["cid"] for r in CA.put_together(df, scratch, 16).collect()}
+    # All copies go with the one that is named most.
+    assert {got[f"e{i:03d}"] for i in range(300)} == {"e299"} and all(got[i] == i for i in ("x1", "x2", "x3", "l1")) and len(got) == 304
