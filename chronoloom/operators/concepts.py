@@ -37,17 +37,26 @@ def concept_pool(tuples: DataFrame, most: int = MOST_CONTEXTS) -> DataFrame:
     return counted.join(few, ["type", "concept"])
 
 
-def updated_pool(pool: DataFrame, fresh: DataFrame, keep_old: bool = False) -> DataFrame:
+def updated_pool(pool: DataFrame, fresh: DataFrame, keep_old: bool = False, most: int | None = None) -> DataFrame:
     """A pool with newer rows put in: ``type``, ``concept``, ``description``, ``contexts``, ``seq`` in both.
 
     The latest description wins (the earliest with ``keep_old``); a blank one is the concept itself; contexts are
-    distinct in the order of ``seq``; blank concepts are left out.
+    distinct in the order of ``seq``, all of them or the first ``most``; blank concepts are left out. Contexts are made
+    distinct, and ranked where there is a limit, before a concept's are brought together, so rows that repeat them don't count.
     """
     rows = pool.unionByName(fresh).where(~is_blank(F.col("concept")))
     told = F.when(is_blank(F.col("description")), F.col("concept")).otherwise(F.col("description"))
     pick = F.min_by if keep_old else F.max_by
-    contexts = F.array_distinct(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("seq", "contexts"))), lambda e: e["contexts"])))
-    return rows.groupBy("type", "concept").agg(pick(told, F.col("seq")).alias("description"), contexts.alias("contexts"), F.max("seq").alias("seq"))
+    one = rows.groupBy("type", "concept").agg(pick(told, F.col("seq")).alias("description"), F.max("seq").alias("seq"))
+    each = rows.select("type", "concept", "seq", F.posexplode("contexts").alias("n", "context"))
+    first = each.groupBy("type", "concept", "context").agg(F.min(F.struct("seq", "n")).alias("place"))
+    if most is not None:
+        first = first.withColumn("rank", F.row_number().over(Window.partitionBy("type", "concept").orderBy("place", "context"))).where(F.col("rank") <= most)
+    contexts = first.groupBy("type", "concept").agg(F.transform(F.array_sort(F.collect_list(F.struct("place", "context"))), lambda e: e["context"]).alias("contexts"))
+    none = F.array().cast("array<string>")
+    # Types may be null, concepts may not.
+    same = F.col("o.type").eqNullSafe(F.col("c.type")) & (F.col("o.concept") == F.col("c.concept"))
+    return one.alias("o").join(contexts.alias("c"), same, "left").select("o.type", "o.concept", "o.description", F.coalesce("c.contexts", none).alias("contexts"), "o.seq")
 
 
 def rule_verdict(concept: Column) -> Column:

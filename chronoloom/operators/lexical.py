@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from chronoloom.functions.text import lexical_tokens
 from chronoloom.operators.canonical import B, K1, bounded_broadcast
+from chronoloom.sources.tables import Scratch
 
 
 def term_frequencies(documents: DataFrame) -> DataFrame:
@@ -14,25 +15,27 @@ def term_frequencies(documents: DataFrame) -> DataFrame:
     return documents.select("doc_id", F.explode(lexical_tokens(F.col("text"))).alias("term")).groupBy("doc_id", "term").agg(F.count("*").alias("tf"))
 
 
-def bm25(queries: DataFrame, documents: DataFrame, k: int | None = None) -> DataFrame:
+def bm25(queries: DataFrame, documents: DataFrame, k: int | None = None, scratch: Scratch | None = None) -> DataFrame:
     """BM25 scores of documents for a stated set of queries: ``query_id``, ``doc_id``, ``score`` (six decimals), and ``rank`` with ``k``.
 
     ``queries``: ``query_id``, ``text``; ``documents``: ``doc_id``, ``text``. A query's term counts as often as it
-    occurs; documents that share no term with a query don't come out; equal scores go to the smaller id. Only the
-    terms of the queries leave the documents' side; a frequent term's rows are split by AQE or met by a broadcast.
+    occurs; documents that share no term with a query don't come out; equal scores go to the smaller id. The
+    documents are taken apart once; only the terms of the queries, counted per document, leave their side. A
+    frequent term's rows are split by AQE or met by a broadcast.
     """
-    lengths = documents.select("doc_id", F.coalesce(F.size(lexical_tokens(F.col("text"))), F.lit(0)).alias("len"))
-    total = lengths.agg(F.count("*").alias("n"), F.avg("len").alias("avg")).first()
-    n, average = total["n"], max(1.0, total["avg"] or 1.0)
-    asked = queries.select("query_id", F.explode(lexical_tokens(F.col("text"))).alias("term")).groupBy("query_id", "term").agg(F.count("*").alias("times"))
+    scratch = scratch or Scratch(documents.sparkSession, "bm25")
+    asked = scratch.cut(queries.select("query_id", F.explode(lexical_tokens(F.col("text"))).alias("term")).groupBy("query_id", "term").agg(F.count("*").alias("times")), "asked")
     wanted = bounded_broadcast(asked.select("term").distinct())
-    tf = term_frequencies(documents).join(wanted, "term")
+    words = scratch.cut(documents.select("doc_id", F.coalesce(F.size(lexical_tokens(F.col("text"))), F.lit(0)).alias("len"), lexical_tokens(F.col("text")).alias("terms")), "words")
+    total = words.agg(F.count("*").alias("n"), F.avg("len").alias("avg")).first()
+    n, average = total["n"], max(1.0, total["avg"] or 1.0)
+    tf = scratch.cut(words.select("doc_id", "len", F.explode("terms").alias("term")).join(wanted, "term").groupBy("doc_id", "len", "term").agg(F.count("*").alias("tf")), "tf")
     df = tf.groupBy("term").agg(F.count("*").alias("df"))
     weight = F.log((F.lit(n) - F.col("df") + 0.5) / (F.col("df") + 0.5) + 1)
-    terms = bounded_broadcast(asked.join(df, "term").select("query_id", "term", "times", weight.alias("idf")))
+    terms = bounded_broadcast(scratch.cut(asked.join(df, "term").select("query_id", "term", "times", weight.alias("idf")), "weights"))
     length = F.when(F.col("len") > 0, F.col("len")).otherwise(1)
     part = F.col("times") * F.col("idf") * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * length / average))
-    scored = tf.join(terms, "term").join(lengths, "doc_id").groupBy("query_id", "doc_id").agg(F.round(F.sum(part), 6).alias("score"))
+    scored = tf.join(terms, "term").groupBy("query_id", "doc_id").agg(F.round(F.sum(part), 6).alias("score"))
     if k is None:
         return scored
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "doc_id"))

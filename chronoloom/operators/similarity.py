@@ -13,6 +13,9 @@ from chronoloom.sources.tables import Scratch
 
 #: Query vectors that are broadcast at once.
 QUERY_BLOCK = 8_192
+#: Percentiles of a distribution of scores, and bins that scores are counted in.
+PERCENTILES = (0.5, 0.75, 0.9, 0.95, 0.99)
+BINS = 1 << 15
 #: Rows of a block in work on pairs.
 BLOCK_ROWS = 4_096
 #: Of blocks of neighbouring vectors: centres fitted at once and levels at most; rows that the centres of a split are fitted on, and of a part that meets them.
@@ -114,13 +117,91 @@ def scores(queries: DataFrame, rows: DataFrame, own: bool = False) -> DataFrame:
 
 
 def distribution(scored: DataFrame) -> DataFrame:
-    """Number, least, mean, percentiles and greatest of ``score``, to six decimals."""
-    p = F.percentile("score", F.array(*[F.lit(x) for x in (0.5, 0.75, 0.9, 0.95, 0.99)]))
+    """Number, least, mean, percentiles and greatest of ``score``, to six decimals; for scores of one row per query."""
+    p = F.percentile("score", F.array(*[F.lit(x) for x in PERCENTILES]))
     one = scored.agg(F.count("*").alias("pairs"), F.min("score").alias("least"), F.avg("score").alias("mean"), F.max("score").alias("most"), p.alias("p"))
-    named = [F.round(F.col("p")[i], 6).alias(n) for i, n in enumerate(("p50", "p75", "p90", "p95", "p99"))]
+    named = [F.round(F.col("p")[i], 6).alias(f"p{100 * x:.0f}") for i, x in enumerate(PERCENTILES)]
     return one.select("pairs", F.round("least", 6).alias("least"), F.round("mean", 6).alias("mean"), F.round("most", 6).alias("most"), *named)
 
 
+def _score_bins(queries: list[tuple[list, np.ndarray]], rows: DataFrame, low: list[float], width: float) -> dict[tuple[int, int], tuple]:
+    """Cosines of the queries with other rows counted in bins: for each range of ``BINS`` bins from ``low`` on number, sum, least and greatest by bin."""
+    spark, out = rows.sparkSession, {}
+    for ids, matrix in queries:
+        shipped = spark.sparkContext.broadcast((np.array(ids, dtype=object), matrix, np.array(low)))
+
+        def run(frames, shipped=shipped):
+            names, q, begin = shipped.value
+            shape = (len(begin), BINS)
+            n, total, least, most = np.zeros(shape, np.int64), np.zeros(shape), np.full(shape, np.inf), np.full(shape, -np.inf)
+            for pdf in frames:
+                if not len(pdf):
+                    continue
+                s = (q @ unit_rows(_matrix(pdf["vector"])).T)[names[:, None] != pdf["id"].to_numpy(dtype=object)[None, :]]
+                for r, b in enumerate(begin):
+                    at = np.floor((s - b) / width).astype(np.int64)
+                    inside = (at >= 0) & (at < BINS)
+                    at, x = at[inside], s[inside]
+                    n[r] += np.bincount(at, minlength=BINS)
+                    total[r] += np.bincount(at, x, BINS)
+                    np.minimum.at(least[r], at, x)
+                    np.maximum.at(most[r], at, x)
+            r, at = np.nonzero(n)
+            yield pd.DataFrame({"r": r, "bin": at, "n": n[r, at], "total": total[r, at], "least": least[r, at], "most": most[r, at]})
+
+        parts = rows.select("id", "vector").mapInPandas(run, "r int, bin int, n long, total double, least double, most double")
+        for x in parts.groupBy("r", "bin").agg(F.sum("n"), F.sum("total"), F.min("least"), F.max("most")).collect():
+            n, total, least, most = out.get((x[0], x[1]), (0, 0.0, np.inf, -np.inf))
+            out[x[0], x[1]] = (n + x[2], total + x[3], min(least, x[4]), max(most, x[5]))
+    return out
+
+
+def score_distribution(queries: DataFrame, rows: DataFrame) -> DataFrame:
+    """``distribution`` of the cosines of a stated query set with all other rows, without writing a pair.
+
+    Two passes count the cosines in bins, the second one only those of the bins that hold the percentiles; two levels
+    of ``BINS`` bins tell cosines apart that differ by 1e-9. What reaches the driver are bins, at most ``BINS`` for
+    each percentile's two ranks.
+    """
+    spark, blocks = rows.sparkSession, query_blocks(queries)
+    names = ["pairs", "least", "mean", "most", *(f"p{100 * x:.0f}" for x in PERCENTILES)]
+    kind = "pairs long, " + ", ".join(f"{c} double" for c in names[1:])
+    low, width = -1.0 - 1e-6, (2.0 + 2e-6) / BINS
+    first = _score_bins(blocks, rows, [low], width)
+    pairs = sum(x[0] for x in first.values())
+    if not pairs:
+        return spark.createDataFrame([(0, *[None] * (len(names) - 1))], kind)
+    ranks = sorted({r for p in PERCENTILES for r in (int(np.floor(p * (pairs - 1))), int(np.ceil(p * (pairs - 1))))})
+
+    def holding(bins: dict[int, tuple], rank: int) -> tuple[int, int]:
+        """The bin with the value of a rank, and how many values lie before it."""
+        before = 0
+        for b in sorted(bins):
+            if rank < before + bins[b][0]:
+                return b, before
+            before += bins[b][0]
+        raise AssertionError("a rank beyond all values")
+
+    whole = {b: x for (_, b), x in first.items()}
+    places = {r: holding(whole, r) for r in ranks}
+    wanted = sorted({b for b, _ in places.values()})
+    fine = _score_bins(blocks, rows, [low + b * width for b in wanted], width / BINS)
+    inside: dict[int, dict[int, tuple]] = {}
+    for (i, b), x in fine.items():
+        inside.setdefault(wanted[i], {})[b] = x
+    value = {}
+    for r, (b, before) in places.items():
+        # A value on the edge of a bin may be counted on its other side: the last bin then holds it.
+        bins, left = inside[b], r - before
+        left = min(left, sum(x[0] for x in bins.values()) - 1)
+        x = bins[holding(bins, left)[0]]
+        value[r] = x[1] / x[0]
+    at = [p * (pairs - 1) for p in PERCENTILES]
+    shares = [value[int(np.floor(a))] + (a - np.floor(a)) * (value[int(np.ceil(a))] - value[int(np.floor(a))]) for a in at]
+    figures = [min(x[2] for x in whole.values()), sum(x[1] for x in whole.values()) / pairs, max(x[3] for x in whole.values()), *shares]
+    return spark.createDataFrame([(pairs, *(round(float(x), 6) for x in figures))], kind)
+
+
 def group_neighbours(rows: DataFrame, group: str, k: int, least: float, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """The k nearest rows of the same group from a cosine of ``least`` on: ``id``, ``near``, ``score``.
 

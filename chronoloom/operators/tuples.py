@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from chronoloom.functions.text import is_blank
-from chronoloom.functions.times import id_number, normalized_time, sentence_of, signature_time, time_anchor
+from chronoloom.functions.times import id_number, normal_time, sentence_of, signature_time, time_anchor
 from chronoloom.operators.graph import star_components
 from chronoloom.operators.ranking import distributed_rank
 from chronoloom.sources.tables import Scratch
 
 FIELDS = ["tuple_id", "doc_id", "sent_id", "subject", "relation", "object", "location", "time", "source_sent_id", "confidence"]
+#: Tuples of a sentence with equal relation and time that are gathered, at most.
+MOST_GROUP = 1_000
 SIGNATURE = ["doc_id", "subject", "relation", "object", "location", "sig_time"]
 
 
@@ -41,7 +45,7 @@ def delete_reasons(tuples: DataFrame) -> DataFrame:
         one = F.col(f"r.{c}").eqNullSafe(F.col(f"f.{c}"))
         same = one if same is None else same & one
     joined = rows.alias("r").join(first.alias("f"), same).select("r.*", "f.first")
-    lost_time = ~is_blank(F.col("time")) & normalized_time(F.col("time")).isNull()
+    lost_time = ~is_blank(F.col("time")) & normal_time(F.col("time")).isNull()
     reasons = F.array_compact(
         F.array(
             F.when(F.col("place") > F.col("first"), F.lit("duplicate_in_doc")),
@@ -59,13 +63,12 @@ def cleaned(tuples: DataFrame) -> DataFrame:
 
 def with_normal_times(tuples: DataFrame) -> DataFrame:
     """``time`` in normal form where it is understood, else as it is; ``time_known`` says which."""
-    n = normalized_time(F.col("time"))
-    return tuples.withColumn("_n", n).withColumn("time_known", F.col("_n").isNotNull()).withColumn("time", F.coalesce("_n", "time")).drop("_n")
+    return tuples.withColumn("_n", normal_time(F.col("time"))).withColumn("time_known", F.col("_n").isNotNull()).withColumn("time", F.coalesce("_n", "time")).drop("_n")
 
 
 def unresolved_times(tuples: DataFrame, samples: int = 5) -> DataFrame:
     """Times that aren't understood: ``time``, ``tuples`` and the first ``sample_ids``, at most so many."""
-    lost = tuples.select("tuple_id", "time").distinct().where(~is_blank(F.col("time")) & normalized_time(F.col("time")).isNull())
+    lost = tuples.select("tuple_id", "time").distinct().where(~is_blank(F.col("time")) & normal_time(F.col("time")).isNull())
     counted = lost.groupBy("time").agg(F.count("*").alias("tuples"))
     # The limit on the rank is applied before the shuffle too, so a frequent text isn't gathered.
     rank = F.row_number().over(Window.partitionBy("time").orderBy("tuple_id"))
@@ -82,8 +85,9 @@ def in_story_order(tuples: DataFrame, scratch: Scratch) -> DataFrame:
     """
     rows = tuples.select(*FIELDS).distinct().withColumn("a", time_anchor(F.col("time"))).withColumn("place", _place(tuples))
     rows = rows.select(*FIELDS, "place", F.col("a.year").alias("y"), F.col("a.month").alias("m"), F.col("a.day").alias("d"), F.col("a.level").alias("level"))
-    years = rows.where("level > 0").groupBy("doc_id", "y").agg(F.max(F.col("level") == 1).alias("coarse_y"))
-    months = rows.where("level > 1").groupBy("doc_id", "y", "m").agg(F.max(F.col("level") == 2).alias("coarse_m"))
+    spans = rows.where("level > 0").groupBy("doc_id", "y", "m").agg(F.max(F.col("level") == 1).alias("of_year"), F.max(F.col("level") == 2).alias("coarse_m"))
+    years = spans.groupBy("doc_id", "y").agg(F.max("of_year").alias("coarse_y"))
+    months = spans.where("m is not null").select("doc_id", "y", "m", "coarse_m")
     rows = rows.join(years, ["doc_id", "y"], "left").join(months, ["doc_id", "y", "m"], "left")
     coarse_y, coarse_m = F.coalesce("coarse_y", F.lit(False)), F.coalesce("coarse_m", F.lit(False))
     rows = rows.select(
@@ -104,37 +108,82 @@ def _ordered_values(value: Column, place: Column) -> Column:
     return F.array_distinct(F.transform(F.array_sort(F.collect_list(F.struct(place.alias("p"), value.alias("v")))), lambda e: e["v"]))
 
 
-def merged_in_sentences(tuples: DataFrame, scratch: Scratch) -> DataFrame:
+@F.pandas_udf(T.ArrayType(T.IntegerType()))
+def _linked(ids: pd.Series, subjects: pd.Series, objects: pd.Series) -> pd.Series:
+    """For the tuples of each group the place of the first one that they are linked with, directly or through others."""
+    out = []
+    for group in zip(ids, subjects, objects, strict=True):
+        if group[0] is None:
+            out.append(None)
+            continue
+        root = list(range(len(group[0])))
+
+        def find(i: int, root=root) -> int:
+            while root[i] != i:
+                root[i] = i = root[root[i]]
+            return i
+
+        for column in group:
+            first: dict = {}
+            for i, value in enumerate(column):
+                if value is not None:
+                    a, b = find(first.setdefault(value, i)), find(i)
+                    root[max(a, b)] = min(a, b)
+        out.append([find(i) for i in root])
+    return pd.Series(out, dtype=object)
+
+
+def merged_in_sentences(tuples: DataFrame, scratch: Scratch, most: int = MOST_GROUP) -> DataFrame:
     """Tuples of a sentence with equal relation and time that share their subject or object, directly or through others, as one.
 
     Result: ``tuple_id`` of the first, ``doc_id``, ``sentence_id``, ``relation``, ``time``, ``subjects``, ``objects``
-    and ``locations`` (distinct values in order; subjects and objects without blanks), ``members``. The links run
-    from tuples to their values, so a value that many tuples share costs one row each, not all pairs.
+    and ``locations`` (distinct values in order; subjects and objects without blanks), ``members``.
+
+    Links never leave a sentence, relation and time. Groups of up to ``most`` tuples are gathered by one shuffle and
+    solved where they are; in larger ones the links run from tuples to their values, one row each, and are reduced by alternating
+    stars.
     """
     rows = tuples.select(*FIELDS).distinct().withColumn("sentence_id", sentence_of(F.col("source_sent_id"), F.col("sent_id"), F.col("tuple_id"))).withColumn("place", _place(tuples))
-    rows = scratch.cut(rows, "rows")
-    group = F.to_json(F.struct("sentence_id", "relation", "time"), {"ignoreNullFields": "false"})
-    node = lambda kind, c: F.concat(F.lit(kind), F.md5(F.concat_ws("\x1f", group, c)))
-    own = F.concat(F.lit("0"), F.col("tuple_id"))
-    link = lambda kind, c: rows.where(~is_blank(F.col(c))).select(own.alias("u"), node(kind, F.col(c)).alias("v"))
-    links = link("1", "subject").unionByName(link("2", "object"))
-    # A value that only one tuple has links nothing.
-    shared = links.groupBy("v").agg(F.count("*").alias("times")).where("times > 1").select("v")
-    labels = star_components(links.join(shared, "v", "left_semi"), scratch)
-    named = rows.withColumn("node", own).join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    told = lambda c: F.when(~is_blank(F.col(c)), F.col(c))
+    rows = rows.withColumn("group", F.md5(F.to_json(F.struct("sentence_id", "relation", "time"), {"ignoreNullFields": "false"})))
+    rows = scratch.cut(rows.select("group", "tuple_id", "doc_id", "sentence_id", "relation", "time", "subject", "object", "location", "place"), "rows")
+    hot = scratch.cut(rows.groupBy("group").agg(F.count("*").alias("n")).where(F.col("n") > most).select("group"), "hot")
+    some = hot.limit(1).count() > 0
+    told = lambda c: F.when(~is_blank(c), c)
+    fine = rows.join(hot, "group", "left_anti") if some else rows
+    own = F.struct("tuple_id", "doc_id", "sentence_id", "relation", "time", "subject", "object", "location", "place")
+    groups = fine.groupBy("group").agg(F.array_sort(F.collect_list(F.struct("place", own.alias("r")))).alias("rows"))
+    several = lambda f: F.when(F.size("rows") > 1, F.transform("rows", lambda e: f(e["r"])))
+    label = _linked(several(lambda r: r["tuple_id"]), several(lambda r: told(r["subject"])), several(lambda r: told(r["object"])))
+    each = groups.withColumn("labels", label).select("group", F.posexplode("rows").alias("i", "e"), "labels")
+    each = each.select("group", F.coalesce(F.get("labels", F.col("i")), F.lit(0)).cast("string").alias("label"), "e.r.*")
+    if some:
+        each = each.unionByName(_labelled_by_stars(rows.join(hot, "group", "left_semi"), scratch))
     place = F.col("place")
-    return named.groupBy("label").agg(
+    return each.groupBy("group", "label").agg(
         F.min_by("tuple_id", place).alias("tuple_id"),
         F.min("doc_id").alias("doc_id"),
         F.min("sentence_id").alias("sentence_id"),
         F.min("relation").alias("relation"),
         F.min("time").alias("time"),
-        F.array_compact(_ordered_values(told("subject"), place)).alias("subjects"),
-        F.array_compact(_ordered_values(told("object"), place)).alias("objects"),
+        F.array_compact(_ordered_values(told(F.col("subject")), place)).alias("subjects"),
+        F.array_compact(_ordered_values(told(F.col("object")), place)).alias("objects"),
         F.array_compact(_ordered_values(F.col("location"), place)).alias("locations"),
         F.count("*").alias("members"),
-    ).drop("label")
+    ).drop("group", "label")
+
+
+def _labelled_by_stars(rows: DataFrame, scratch: Scratch) -> DataFrame:
+    """Large groups: the tuples with the smallest node of what they are linked with."""
+    rows = scratch.cut(rows, "large")
+    node = lambda kind, c: F.concat(F.lit(kind), F.md5(F.concat_ws("\x1f", "group", c)))
+    own = F.concat(F.lit("0"), F.col("tuple_id"))
+    link = lambda kind, c: rows.where(~is_blank(F.col(c))).select(own.alias("u"), node(kind, F.col(c)).alias("v"))
+    links = link("1", "subject").unionByName(link("2", "object"))
+    # A value that only one tuple has links nothing.
+    shared = links.groupBy("v").agg(F.count("*").alias("times")).where("times > 1").select("v")
+    labels = star_components(links.join(shared, "v", "left_semi"), scratch)
+    named = rows.withColumn("node", own).join(labels, "node", "left")
+    return named.select("group", F.coalesce("label", "node").alias("label"), "tuple_id", "doc_id", "sentence_id", "relation", "time", "subject", "object", "location", "place")
 
 
 def merged_across_document(merged: DataFrame) -> DataFrame:
@@ -206,8 +255,8 @@ def global_counts(tuples: DataFrame) -> DataFrame:
 
 
 def report_markdown(figures: DataFrame, histogram: DataFrame) -> str:
-    """The statistics as a short Markdown report; both inputs are aggregates of a few rows."""
+    """The statistics as a short Markdown report; both inputs are aggregates, the histogram has a row for each different count."""
     f = figures.first()
     lines = ["# Tuples per sentence", "", f"- tuples: {f['tuples']}", f"- sentences: {f['sentences']}", f"- mean {f['mean']}, median {f['median']}, most {f['most']}, least {f['least']}", "", "| tuples | sentences |", "| --- | --- |"]
-    lines += [f"| {r['tuple_count']} | {r['sentence_count']} |" for r in histogram.orderBy(F.desc("tuple_count")).limit(1000).collect()]
+    lines += [f"| {r['tuple_count']} | {r['sentence_count']} |" for r in histogram.orderBy(F.desc("tuple_count")).collect()]
     return "\n".join(lines) + "\n"

@@ -422,7 +422,7 @@ def vector_search(spark, folder):
 @query
 def similarity_distribution(spark, folder):
     v = _vectors(spark, folder)
-    return SI.distribution(SI.scores(v.where("id % 100 = 0"), v))
+    return SI.score_distribution(v.where("id % 100 = 0"), v)
 
 
 @query

@@ -355,3 +355,22 @@ def test_put_together_copies_and_unusable(spark, scratch):
     got = {r["id"]: r["cid"] for r in CA.put_together(df, scratch, 16).collect()}
     # All copies go with the one that is named most.
     assert {got[f"e{i:03d}"] for i in range(300)} == {"e299"} and all(got[i] == i for i in ("x1", "x2", "x3", "l1")) and len(got) == 304
+
+
+def test_score_distribution(spark):
+    for rows, size in ((vectors(spark, 300, 8, 2), 60), (vectors(spark, 40, 3, 3), 1)):
+        df = rows[1].select("id", "vector")
+        asked = df.where(F.col("id") < size)
+        got, want = SI.score_distribution(asked, df).first(), SI.distribution(SI.scores(asked, df)).first()
+        assert got.asDict().keys() == want.asDict().keys() and got["pairs"] == want["pairs"]
+        assert np.allclose(list(got), list(want), atol=1.5e-6)
+    same = spark.createDataFrame([(i, [1.0, 2.0]) for i in range(9)], "id long, vector array<double>")
+    assert list(SI.score_distribution(same, same).first())[1:] == [1.0] * 8
+    assert SI.score_distribution(same.where("false"), same).first()["pairs"] == 0
+
+
+def test_search_keeps_ties_and_least(spark):
+    df = spark.createDataFrame([(i, [1.0, float(i // 4)]) for i in range(12)], "id long, vector array<double>")
+    got = [(r["query"], r["id"], r["rank"]) for r in SI.search(df.where("id = 3"), df, k=2).orderBy("rank").collect()]
+    assert got == [(3, 0, 1), (3, 1, 2)]
+    assert SI.search(df.where("id = 3"), df, k=9, least=0.99).count() == 3

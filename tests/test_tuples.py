@@ -83,3 +83,16 @@ def test_unresolved_samples(spark):
     df = frame(spark, [(f"d_s001_t{i:03d}", "A", "r", "B", None, "近期") for i in range(9)])
     r = TU.unresolved_times(df).first()
     assert r["tuples"] == 9 and r["sample_ids"] == [f"d_s001_t{i:03d}" for i in range(5)]
+
+
+def test_groups_of_any_size_merge_alike(spark, scratch):
+    """Groups that are gathered and groups that are reduced by stars give the same."""
+    import random
+
+    rng = random.Random(3)
+    pick = lambda names: rng.choice([*names, None, " "])
+    rows = [(f"d_s00{rng.randrange(3)}_t{i:03d}", pick("ABCDEFGHIJ"), rng.choice("rq"), pick("UVWXYZKLMN"), pick("PQ"), rng.choice([None, "2024"])) for i in range(120)]
+    df = frame(spark, rows)
+    as_set = lambda d: {tuple(map(str, r)) for r in d.select("tuple_id", "sentence_id", "relation", "time", "subjects", "objects", "locations", "members").collect()}
+    gathered = as_set(TU.merged_in_sentences(df, scratch))
+    assert gathered == as_set(TU.merged_in_sentences(df, scratch, most=0)) == as_set(TU.merged_in_sentences(df, scratch, most=9)) and 3 < len(gathered) < 100
