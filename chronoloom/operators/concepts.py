@@ -90,8 +90,36 @@ def mapping_rows(reference: DataFrame) -> DataFrame:
 
 
 def grouped_mapping(mapping: DataFrame) -> DataFrame:
-    """Per merged concept its sorted distinct sources and their number."""
-    return mapping.groupBy("type", "merged").agg(F.array_sort(F.collect_set("source")).alias("sources"), F.countDistinct("source").alias("n_sources"))
+    """Per merged concept its sorted distinct sources and their number; with ``group_id``, ``cluster_id`` and ``description`` (and ``seq``,
+    its order) also groups, clusters and the first description that isn't blank."""
+    more = []
+    for c, name in (("group_id", "groups"), ("cluster_id", "clusters")):
+        if c in mapping.columns:
+            more.append(F.array_sort(F.collect_set(c)).alias(name))
+    if "description" in mapping.columns:
+        order = F.struct("seq", "source") if "seq" in mapping.columns else F.col("source")
+        more.append(F.min_by("description", F.when(~is_blank(F.col("description")), order)).alias("description"))
+    return mapping.groupBy("type", "merged").agg(F.array_sort(F.collect_set("source")).alias("sources"), F.countDistinct("source").alias("n_sources"), *more)
+
+
+def apply_mapping_to_lists(merged: DataFrame, mapping: DataFrame) -> DataFrame:
+    """Merged tuples with mapped lists: each value mapped, equal ones once in the order of the first; a list of one as its value.
+
+    ``merged``: ``tuple_id``, ``subjects``, ``relation``, ``objects``, ``locations``, ``time``. Result: ``tuple_id``, ``subject``, ``relation``,
+    ``object``, ``location`` as JSON (a string, a list, or null for none), ``time``, ``replaced``. Values are joined once for all
+    lists, a value that many tuples have is split by AQE or met by a broadcast.
+    """
+    one = mapping.groupBy("type", "source").agg(F.max("merged").alias("to"))
+    lists = [("subject", "entity", F.col("subjects")), ("object", "entity", F.col("objects")), ("relation", "relation", F.array("relation")), ("location", "location", F.col("locations"))]
+    cells = F.flatten(F.array(*[F.transform(F.coalesce(v, F.array().cast("array<string>")), lambda x, i, s=s, k=k: F.struct(F.lit(s).alias("slot"), F.lit(k).alias("type"), i.alias("n"), x.alias("source"))) for s, k, v in lists]))
+    each = merged.select("tuple_id", F.explode(cells).alias("c")).select("tuple_id", "c.*").where("source is not null").join(one, ["type", "source"], "left")
+    each = each.withColumn("value", F.coalesce("to", "source"))
+    first = each.groupBy("tuple_id", "slot", "value").agg(F.min("n").alias("n"), F.count_if(F.col("value") != F.col("source")).alias("replaced"))
+    ordered = lambda s: F.transform(F.array_sort(F.collect_list(F.when(F.col("slot") == s, F.struct("n", "value")))), lambda e: e["value"])
+    told = lambda c: F.when(F.size(c) > 1, F.to_json(c)).when(F.size(c) == 1, c[0])
+    wide = first.groupBy("tuple_id").agg(*[ordered(s).alias(s) for s, _, _ in lists], F.sum("replaced").alias("replaced"))
+    out = merged.select("tuple_id", "time").join(wide, "tuple_id", "left")
+    return out.select("tuple_id", *[told(F.col(s)).alias(s) for s in ("subject", "relation", "object", "location")], "time", F.coalesce("replaced", F.lit(0)).alias("replaced"))
 
 
 def apply_mapping(tuples: DataFrame, mapping: DataFrame) -> DataFrame:

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chronoloom.functions.text import collect_sentences
+from chronoloom.operators.ranking import distributed_rank
+from chronoloom.sources.tables import Scratch
 
 #: Dimensions of the stand-in embedding.
 DIMENSION = 64
@@ -106,3 +108,8 @@ def edges(anchors: DataFrame, candidates: DataFrame, least: float, most: int | N
 def day_number(c):
     """Days since 0001-01-01, the first being 1."""
     return F.datediff(c, F.lit("0001-01-01").cast("date")) + 1
+
+
+def in_time_order(nodes: DataFrame, scratch: Scratch) -> DataFrame:
+    """Documents (``doc_id``, ``ord``) with their ``position``: by day, those without one last, then by id; a distributed rank."""
+    return distributed_rank(nodes.select("doc_id", "ord").distinct(), [], [F.col("ord").isNull(), F.coalesce("ord", F.lit(0)), F.col("doc_id")], "position", scratch)

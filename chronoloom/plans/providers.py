@@ -18,7 +18,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chronoloom.plans.stages import incomplete, remaining
+from chronoloom.plans.stages import exists, incomplete, remaining
+from chronoloom.sources.files import read_json_object, write_json_object
 
 #: What replies may call the two actions of a normaliser.
 ACTIONS = {"replace": ["replace", "reuse", "select", "替换", "复用", "选择"], "keep": ["keep", "retain", "new", "create", "保留", "新建", "创建"]}
@@ -69,6 +70,100 @@ class Retrying:
             return reply
 
 
+class Embedder(Protocol):
+    """Vectors of a bounded list of texts, in order; raises for errors of transport."""
+
+    def embed(self, texts: list[str]) -> list[list[float]]: ...
+
+
+class HashedEmbedder:
+    """Stand-in for an embedding service: ``docgraph.hashed_vector``."""
+
+    def embed(self, texts: list[str]) -> list[list[float]]:
+        from chronoloom.operators.docgraph import hashed_vector
+
+        return [hashed_vector(t) for t in texts]
+
+
+def embedded(rows: DataFrame, make: Callable[[], Embedder], most: int = 64, retries: int = 3, pause: float = 0.5, sleep: Callable[[float], None] = time.sleep) -> DataFrame:
+    """``id``, ``vector``, ``error`` of rows with ``id`` and ``text``: batches of at most ``most`` distinct texts, retried with growing pauses.
+
+    One embedder per task. A batch that fails for good, or whose answer has another number of vectors, gives an error
+    for its rows, not a failure. Null texts have no vector and no error; a text that rows of a frame share is asked for once.
+    """
+    kind = rows.schema["id"].dataType.simpleString()
+
+    def answer(service: Embedder, texts: list[str]) -> tuple[list, str | None]:
+        for attempt in range(retries + 1):
+            try:
+                got = service.embed(texts)
+                if len(got) != len(texts):
+                    raise ValueError(f"{len(got)} vectors for {len(texts)} texts")
+                return got, None
+            except Exception as e:  # noqa: BLE001
+                if attempt == retries:
+                    return [None] * len(texts), f"{type(e).__name__}: {e}"
+                sleep(pause * 2**attempt)
+        raise AssertionError
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        service = make()
+        for pdf in frames:
+            texts = pdf["text"].dropna().unique().tolist()
+            vector, error = {}, {}
+            for i in range(0, len(texts), most):
+                part = texts[i : i + most]
+                got, fault = answer(service, part)
+                vector.update(zip(part, got, strict=True))
+                error.update(dict.fromkeys(part, fault))
+            yield pd.DataFrame({"id": pdf["id"], "vector": [vector.get(t) for t in pdf["text"]], "error": [error.get(t) for t in pdf["text"]]}, dtype=object)
+
+    return rows.select("id", "text").mapInPandas(run, f"id {kind}, vector array<double>, error string")
+
+
+class FileService(Protocol):
+    """A service that answers files of requests: takes one in, tells how far it is, gives the answers back."""
+
+    def submit(self, path: str) -> str: ...
+
+    def state(self, job: str) -> str: ...
+
+    def fetch(self, job: str, path: str) -> None: ...
+
+
+def answered_by_files(requests: DataFrame, folder: str, service: FileService, pause: float = 30.0, polls: int = 2_880, sleep: Callable[[float], None] = time.sleep) -> DataFrame:
+    """Answers of a service of files: requests written, handed in, waited for, fetched and read; see ``read_results``.
+
+    What has been done is kept in ``status.json`` of the folder, so a run that was broken off goes on where it was: requests
+    aren't handed in twice. A job that failed, or is not done after ``polls`` looks, is an error.
+    """
+    spark = requests.sparkSession
+    status = f"{folder}/status.json"
+    done = read_json_object(spark, status) if exists(spark, status) else {}
+
+    def note(**more) -> None:
+        done.update(more)
+        write_json_object(spark, status, done)
+
+    if "job" not in done:
+        write_requests(requests, f"{folder}/requests")
+        note(job=service.submit(f"{folder}/requests"), state="submitted")
+    for _ in range(polls):
+        if done["state"] in ("completed", "fetched"):
+            break
+        if done["state"] == "failed":
+            raise RuntimeError(f"the job {done['job']} failed")
+        note(state=service.state(done["job"]))
+        if done["state"] not in ("completed", "failed"):
+            sleep(pause)
+    if done["state"] == "completed":
+        service.fetch(done["job"], f"{folder}/results")
+        note(state="fetched")
+    if done["state"] != "fetched":
+        raise TimeoutError(f"the job {done['job']} isn't done: {done['state']}")
+    return read_results(spark, f"{folder}/results")
+
+
 def ask(requests: DataFrame, make: Callable[[], Provider]) -> DataFrame:
     """Answers of all requests: ``custom_id``, ``response``, ``error``. One provider per task; an error is a row, not a failure."""
 

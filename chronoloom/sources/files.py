@@ -2,15 +2,30 @@
 
 from __future__ import annotations
 
+import io
+import json
+import uuid
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronoloom.functions.text import file_doc_id
+from chronoloom.functions.text import file_doc_id, is_blank, safe_file_name
 from chronoloom.plans.scope import in_scope
 from chronoloom.plans.stages import exists
+from chronoloom.sources import hadoop as files
+from chronoloom.sources.tables import Scratch
 
 #: The last row of a complete JSON lines file, where one is wanted.
 SENTINEL = "__done__"
+#: Bytes at the end of a file that are looked at for it.
+TAIL_BYTES = 4_096
+
+
+def first_files(spark: SparkSession, folder: str, most: int, scope: str = "all") -> DataFrame:
+    """The first text files of a folder by name, no more than so many (a limit that the caller asks for): see ``read_texts``."""
+    return read_texts(spark, folder, scope).orderBy("file_name").limit(most)
 
 
 def read_texts(spark: SparkSession, folder: str, scope: str = "all") -> DataFrame:
@@ -43,10 +58,20 @@ def write_json_lines(df: DataFrame, path: str) -> None:
 
 
 def is_complete(spark: SparkSession, path: str) -> bool:
-    """Whether a written table is complete: its _SUCCESS file is there, or its last line is the sentinel."""
+    """Whether a written table is complete: its _SUCCESS file is there, or the last line of the file that isn't blank is the sentinel.
+
+    Of a file only the last ``TAIL_BYTES`` are read.
+    """
     if exists(spark, f"{path}/_SUCCESS"):
         return True
-    return exists(spark, path) and bool(spark.read.text(path).where(F.get_json_object("value", f"$.{SENTINEL}") == "true").take(1))
+    if not exists(spark, path) or files.is_folder(spark, path):
+        return False
+    lines = [x for x in files.tail(spark, path, TAIL_BYTES).decode("utf-8", "replace").splitlines() if x.strip()]
+    try:
+        last = json.loads(lines[-1]) if lines else None
+    except ValueError:
+        return False
+    return isinstance(last, dict) and last.get(SENTINEL) is True
 
 
 def read_json_objects(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -54,9 +79,67 @@ def read_json_objects(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).option("multiLine", True).option("mode", "DROPMALFORMED").json(path)
 
 
-def write_per_document(df: DataFrame, path: str) -> None:
-    """One folder per document. The rows of a document are clustered first, so that it gets few files."""
-    df.repartition("doc_id").write.mode("overwrite").partitionBy("doc_id").json(path)
+def write_json_object(spark: SparkSession, path: str, value) -> None:
+    """A JSON object or array of driver-side facts (manifests, reports), put in place whole or not at all."""
+    files.replace(spark, path, json.dumps(value, ensure_ascii=False, indent=2).encode())
+
+
+def read_json_object(spark: SparkSession, path: str):
+    """What such a file holds; of an array only the entries that are objects."""
+    value = json.loads(files.read(spark, path).decode())
+    return [x for x in value if isinstance(x, dict)] if isinstance(value, list) else value
+
+
+def _files_written(rows: DataFrame, folder: str, write) -> DataFrame:
+    """Runs ``write(open_for, pdf)`` over all rows, where ``open_for(name)`` opens a file of the folder; a row for each file: ``name``, ``rows``."""
+
+    def run(frames):
+        from pyarrow import fs
+
+        where, root = fs.FileSystem.from_uri(folder)
+        where.create_dir(root, recursive=True)
+        for pdf in frames:
+            if len(pdf):
+                yield pd.DataFrame(write(lambda name: where.open_output_stream(f"{root}/{name}"), pdf), columns=["name", "rows"])
+
+    return Scratch(rows.sparkSession, "written").cut(rows.mapInPandas(run, "name string, rows long"))
+
+
+def write_texts(rows: DataFrame, folder: str) -> DataFrame:
+    """One text file per row (``file_name``, ``text``), named by it; null texts give empty files. Gives what was written: ``name``, ``rows``."""
+
+    def write(open_for, pdf):
+        for name, text in zip(pdf["file_name"], pdf["text"], strict=True):
+            with open_for(name) as f:
+                f.write((text or "").encode())
+            yield name, 1
+
+    return _files_written(rows.select("file_name", "text").where("file_name is not null"), folder, lambda o, pdf: list(write(o, pdf)))
+
+
+def write_per_document(df: DataFrame, path: str, names: DataFrame | None = None) -> DataFrame:
+    """JSON lines, one file per document, each named by ``names`` (``doc_id``, ``name``), else by the id: what was written as ``name``, ``rows``.
+
+    A document's rows become lines before they meet. Names lose signs that file systems refuse; documents that would
+    share a name keep their ids as theirs.
+    """
+    lines = df.select("doc_id", F.to_json(F.struct(*[c for c in df.columns if c != "doc_id"])).alias("line"))
+    given = names if names is not None else lines.select("doc_id", F.lit(None).cast("string").alias("name")).distinct()
+    told = given.groupBy("doc_id").agg(F.min(F.when(~is_blank(F.col("name")), F.col("name"))).alias("name")).withColumn("name", safe_file_name(F.col("name")))
+    once = told.where("name is not null").groupBy("name").agg(F.count("*").alias("n")).where("n = 1").select("name")
+    own = F.coalesce("name", safe_file_name(F.col("doc_id").cast("string")))
+    file_name = told.join(once, "name", "left_semi").select("doc_id", "name")
+    both = lines.join(file_name, "doc_id", "left").select(F.concat(own, F.lit(".jsonl")).alias("name"), "line")
+
+    def write(open_for, pdf):
+        for name, own_lines in pdf.groupby("name", sort=False)["line"]:
+            with open_for(name) as f:
+                f.write(("\n".join(sorted(own_lines)) + "\n").encode())
+            yield name, len(own_lines)
+
+    # One document's rows in one row, so that no file is written twice.
+    gathered = both.groupBy("name").agg(F.array_sort(F.collect_list("line")).alias("lines"))
+    return _files_written(gathered, path, lambda o, pdf: list(write(o, pdf.explode("lines").rename(columns={"lines": "line"}))))
 
 
 def read_documents(spark: SparkSession, root: str) -> DataFrame:
@@ -77,6 +160,35 @@ def read_vectors(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema("id string, vector array<float>").parquet(path)
 
 
+def write_archives(df: DataFrame, folder: str) -> DataFrame:
+    """``id`` and ``vector`` as NumPy archives with ``ids`` and a matrix ``vectors``, one for each batch of rows: ``name``, ``rows``."""
+
+    def write(open_for, pdf):
+        name = f"vectors-{uuid.uuid4().hex}.npz"
+        out = io.BytesIO()
+        np.savez(out, ids=pdf["id"].to_numpy(dtype=str), vectors=np.stack(pdf["vector"]).astype(np.float32))
+        with open_for(name) as f:
+            f.write(out.getvalue())
+        return [(name, len(pdf))]
+
+    return _files_written(df.select(F.col("id").cast("string").alias("id"), "vector").where("id is not null and vector is not null"), folder, write)
+
+
+def read_archives(spark: SparkSession, folder: str) -> DataFrame:
+    """``id``, ``vector`` of all archives of a folder; ids and matrix must have as many rows."""
+
+    def run(frames):
+        for pdf in frames:
+            for content in pdf["content"]:
+                with np.load(io.BytesIO(content), allow_pickle=False) as z:
+                    ids, m = z["ids"], z["vectors"]
+                if len(ids) != len(m):
+                    raise ValueError("an archive's ids and vectors differ in number")
+                yield pd.DataFrame({"id": ids.astype(str), "vector": list(m.astype(np.float32))})
+
+    return spark.read.format("binaryFile").load(f"{folder}/*.npz").select("content").mapInPandas(run, "id string, vector array<float>")
+
+
 def cached(spark: SparkSession, path: str) -> DataFrame | None:
     """Stored answers by key, the latest of each; None where nothing is stored yet."""
     if not exists(spark, path):

@@ -122,3 +122,70 @@ def test_streams(spark, tmp_path):
     q.processAllAvailable()
     q.stop()
     assert spark.sql("SELECT sum(tuples) FROM counts").first()[0] == 3
+
+
+def test_files_of_every_kind(spark, tmp_path):
+    root = f"file://{tmp_path}"
+    # Only the last line counts as the sentinel.
+    (tmp_path / "early.jsonl").write_text('{"__done__": true}\n{"a": 1}\n')
+    (tmp_path / "late.jsonl").write_text("x" * 9_000 + '\n{"__done__": true}\n\n')
+    (tmp_path / "empty.jsonl").write_text("")
+    assert [FI.is_complete(spark, f"{root}/{n}") for n in ("early.jsonl", "late.jsonl", "empty.jsonl", "none")] == [False, True, False, False]
+    FI.write_json_object(spark, f"{root}/m.json", [{"a": "ä"}, 3, {"b": 1}])
+    FI.write_json_object(spark, f"{root}/m.json", [{"a": "ä"}, 3])
+    assert FI.read_json_object(spark, f"{root}/m.json") == [{"a": "ä"}] and not (tmp_path / "m.json.part").exists()
+    texts = spark.createDataFrame([("D001 a+b.txt", "eins\nzwei"), ("D002.txt", None), (None, "x")], "file_name string, text string")
+    assert {tuple(r) for r in FI.write_texts(texts, f"{root}/texts").collect()} == {("D001 a+b.txt", 1), ("D002.txt", 1)}
+    assert [(r["file_name"], r["text"]) for r in FI.first_files(spark, f"{root}/texts", 1).collect()] == [("D001 a+b.txt", "eins\nzwei")]
+    rows = spark.createDataFrame([("d1", 1), ("d1", 2), ("d2", 3), ("d3", 4), ("d4", 5)], "doc_id string, n int")
+    names = spark.createDataFrame([("d1", "Title: one"), ("d2", " "), ("d3", "same"), ("d4", "same")], "doc_id string, name string")
+    assert {tuple(r) for r in FI.write_per_document(rows, f"{root}/split", names).collect()} == {("Title_ one.jsonl", 2), ("d2.jsonl", 1), ("d3.jsonl", 1), ("d4.jsonl", 1)}
+    assert (tmp_path / "split" / "Title_ one.jsonl").read_text() == '{"n":1}\n{"n":2}\n'
+    vectors = spark.createDataFrame([("a", [1.0, 2.0]), ("b", [3.0, 4.0]), (None, [1.0, 1.0])], "id string, vector array<double>")
+    FI.write_archives(vectors, f"{root}/npz")
+    assert {(r["id"], *r["vector"]) for r in FI.read_archives(spark, f"{root}/npz").collect()} == {("a", 1.0, 2.0), ("b", 3.0, 4.0)}
+    assert FI.write_archives(vectors.where("false"), f"{root}/none").count() == 0
+
+
+def test_embedding_service(spark):
+    class Moody:
+        """Fails on texts with an x, answers one vector too few for those with a y."""
+
+        def embed(self, texts):
+            if any("x" in t for t in texts):
+                raise OSError("busy")
+            return [[float(len(t))] for t in texts if "y" not in t]
+
+    rows = spark.createDataFrame([(1, "aa"), (2, "aa"), (3, "x"), (4, None), (5, "y"), (6, "bbb")], "id int, text string").coalesce(1)
+    got = {r["id"]: (r["vector"], (r["error"] or "").split(":")[0]) for r in PR.embedded(rows, Moody, most=1, retries=1, sleep=lambda s: None).collect()}
+    assert got == {1: ([2.0], ""), 2: ([2.0], ""), 3: (None, "OSError"), 4: (None, ""), 5: (None, "ValueError"), 6: ([3.0], "")}
+    assert all(len(r["vector"]) == 64 for r in PR.embedded(rows.where("text is not null"), PR.HashedEmbedder).collect())
+
+
+class Desk:
+    """A service of files that is done at the third look; the second one fails."""
+
+    submitted, looks = 0, 0
+
+    def submit(self, path):
+        Desk.submitted += 1
+        return "job-1"
+
+    def state(self, job):
+        Desk.looks += 1
+        if Desk.looks == 2:
+            raise ConnectionError
+        return "running" if Desk.looks == 1 else "completed"
+
+    def fetch(self, job, path):
+        with open(path.removeprefix("file://"), "w") as f:
+            f.write('{"custom_id": "1", "response": "{}"}\n')
+
+
+def test_answers_by_files(spark, tmp_path):
+    asked = spark.createDataFrame([("1", "{}")], "custom_id string, payload string")
+    once = lambda: PR.answered_by_files(asked, f"file://{tmp_path}", Desk(), sleep=lambda s: None)
+    with pytest.raises(ConnectionError):
+        once()
+    # Broken off; the next run goes on with the same job.
+    assert [r["custom_id"] for r in once().collect()] == ["1"] and [r["custom_id"] for r in once().collect()] == ["1"] and Desk.submitted == 1
