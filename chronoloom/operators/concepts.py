@@ -111,7 +111,11 @@ def apply_mapping_to_lists(merged: DataFrame, mapping: DataFrame) -> DataFrame:
     """
     one = mapping.groupBy("type", "source").agg(F.max("merged").alias("to"))
     lists = [("subject", "entity", F.col("subjects")), ("object", "entity", F.col("objects")), ("relation", "relation", F.array("relation")), ("location", "location", F.col("locations"))]
-    cells = F.flatten(F.array(*[F.transform(F.coalesce(v, F.array().cast("array<string>")), lambda x, i, s=s, k=k: F.struct(F.lit(s).alias("slot"), F.lit(k).alias("type"), i.alias("n"), x.alias("source"))) for s, k, v in lists]))
+
+    def numbered(slot: str, kind: str, values: Column) -> Column:
+        return F.transform(F.coalesce(values, F.array().cast("array<string>")), lambda x, i: F.struct(F.lit(slot).alias("slot"), F.lit(kind).alias("type"), i.alias("n"), x.alias("source")))
+
+    cells = F.flatten(F.array(*[numbered(*x) for x in lists]))
     each = merged.select("tuple_id", F.explode(cells).alias("c")).select("tuple_id", "c.*").where("source is not null").join(one, ["type", "source"], "left")
     each = each.withColumn("value", F.coalesce("to", "source"))
     first = each.groupBy("tuple_id", "slot", "value").agg(F.min("n").alias("n"), F.count_if(F.col("value") != F.col("source")).alias("replaced"))

@@ -580,3 +580,9 @@ def timeline_review(spark, folder):
 @query
 def timeline_summary(spark, folder):
     return TL.summary(_records(spark, folder))
+
+
+from chronoloom import queries_stages as _stages  # noqa: E402
+
+QUERIES.update(_stages.QUERIES)
+SQL.update(_stages.SQL)

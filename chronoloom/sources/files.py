@@ -8,6 +8,7 @@ import uuid
 
 import numpy as np
 import pandas as pd
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,12 +30,21 @@ def first_files(spark: SparkSession, folder: str, most: int, scope: str = "all")
 
 
 def read_texts(spark: SparkSession, folder: str, scope: str = "all") -> DataFrame:
-    """One row per text file: ``doc_id``, ``file_name``, ``text``. The scope prunes by name."""
+    """One row per text file, empty ones too: ``doc_id``, ``file_name``, ``text``. The scope prunes by name."""
     rows = spark.read.text(f"{folder}/*.txt", wholetext=True).select(F.col("_metadata.file_name").alias("file_name"), F.col("value").alias("text"))
-    rows = rows.withColumn("file_name", F.url_decode(F.replace("file_name", F.lit("+"), F.lit("%2B")))).where(in_scope(F.col("file_name"), scope))
+    rows = rows.withColumn("file_name", F.url_decode(F.replace("file_name", F.lit("+"), F.lit("%2B"))))
+    if empty := _empty_files(folder):  # a scan passes over them
+        rows = rows.unionByName(spark.createDataFrame([(n, "") for n in empty], "file_name string, text string"))
+    rows = rows.where(in_scope(F.col("file_name"), scope))
     return rows.select(file_doc_id(F.col("file_name")).alias("doc_id"), "file_name", "text")
 
 
+def _empty_files(folder: str) -> list[str]:
+    """Names of empty text files, from the listing that a scan needs on the driver too."""
+    where, root = fs.FileSystem.from_uri(folder)
+    return [i.base_name for i in where.get_file_info(fs.FileSelector(root)) if i.is_file and i.size == 0 and i.base_name.endswith(".txt")]
+
+
 def text_folder(spark: SparkSession, root: str, scope: str = "all") -> tuple[str, str]:
     """The first of ``cleaned``, ``sources`` and the root that holds texts of the scope, and its name."""
     for name in ("cleaned", "sources", ""):
@@ -94,8 +104,6 @@ def _files_written(rows: DataFrame, folder: str, write) -> DataFrame:
     """Runs ``write(open_for, pdf)`` over all rows, where ``open_for(name)`` opens a file of the folder; a row for each file: ``name``, ``rows``."""
 
     def run(frames):
-        from pyarrow import fs
-
         where, root = fs.FileSystem.from_uri(folder)
         where.create_dir(root, recursive=True)
         for pdf in frames:
