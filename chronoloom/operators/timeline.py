@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chronoloom.functions import timeline as T
@@ -79,3 +79,21 @@ def summary(records: DataFrame) -> DataFrame:
         F.count_if(F.col("temporal_status") == "inferred").alias("inferred"),
         F.count_if(F.col("temporal_status") == "exact").alias("exact"),
     )
+
+
+class _Extract:
+    """One row per time candidate of a text; a null text has none."""
+
+    def eval(self, text: str, title_time: str):
+        body, _ = T.read_body(text, T.read_title(title_time))
+        for c in body:
+            r = c.row()
+            yield tuple(r[k] for k in ("year", "month", "day", "precision", "normalized", "source", "matched_text", "line_number", "confidence", "tags"))
+
+
+extract_time_candidates = F.udtf(_Extract, returnType=CANDIDATE.removeprefix("struct<").removesuffix(">").replace(":", " "))
+
+
+def register(spark: SparkSession) -> None:
+    """Makes the table function ``extract_time_candidates(text, title_time)`` known to SQL."""
+    spark.udtf.register("extract_time_candidates", extract_time_candidates)

@@ -164,21 +164,37 @@ def answered_by_files(requests: DataFrame, folder: str, service: FileService, pa
     return read_results(spark, f"{folder}/results")
 
 
-def ask(requests: DataFrame, make: Callable[[], Provider]) -> DataFrame:
-    """Answers of all requests: ``custom_id``, ``response``, ``error``. One provider per task; an error is a row, not a failure."""
+def ask(requests: DataFrame, make: Callable[[], Provider], timed: bool = False) -> DataFrame:
+    """Answers of all requests: ``custom_id``, ``response``, ``error``, and with ``timed`` the ``seconds`` that each took. One provider per task; an error is a row, not a failure."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         provider = make()
         for pdf in frames:
             out = []
             for cid, payload in zip(pdf["custom_id"], pdf["payload"], strict=True):
+                began = time.perf_counter()
                 try:
-                    out.append((cid, json.dumps(provider.answer(json.loads(payload)), ensure_ascii=False, sort_keys=True), None))
+                    response, error = json.dumps(provider.answer(json.loads(payload)), ensure_ascii=False, sort_keys=True), None
                 except Exception as e:  # noqa: BLE001
-                    out.append((cid, None, f"{type(e).__name__}: {e}"))
-            yield pd.DataFrame(out, columns=["custom_id", "response", "error"])
+                    response, error = None, f"{type(e).__name__}: {e}"
+                out.append((cid, response, error, time.perf_counter() - began)[: 3 + timed])
+            yield pd.DataFrame(out, columns=["custom_id", "response", "error", "seconds"][: 3 + timed])
 
-    return requests.select("custom_id", "payload").mapInPandas(run, "custom_id string, response string, error string")
+    return requests.select("custom_id", "payload").mapInPandas(run, "custom_id string, response string, error string" + ", seconds double" * timed)
+
+
+def probe_figures(requests: DataFrame, stored: DataFrame | None, answers: DataFrame, namespace: str) -> DataFrame:
+    """What a run took: one row of ``requests``, ``payloads`` (different ones), ``from_store``, ``asked``, ``errors`` and, of timed answers, ``mean_seconds`` and ``most_seconds``.
+
+    ``answers``: what ``ask`` gave for the payloads that weren't stored.
+    """
+    keyed = requests.select(content_key(namespace, F.col("payload")).alias("key"))
+    known = keyed.where("false").select("key") if stored is None else stored.select("key").distinct()
+    one = keyed.groupBy("key").agg(F.count("*").alias("n")).join(known.withColumn("there", F.lit(True)), "key", "left")
+    left = one.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("requests"), F.count("*").alias("payloads"), F.count("there").alias("from_store"))
+    seconds = F.col("seconds") if "seconds" in answers.columns else F.lit(None).cast("double")
+    right = answers.agg(F.count("*").alias("asked"), F.count("error").alias("errors"), F.avg(seconds).alias("mean_seconds"), F.max(seconds).alias("most_seconds"))
+    return left.withColumn("one", F.lit(1)).join(right.withColumn("one", F.lit(1)), "one").drop("one")
 
 
 def content_key(namespace: str, payload: Column) -> Column:

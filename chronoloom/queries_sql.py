@@ -256,3 +256,17 @@ SQL["neighbourhood_edges"] = HOPS + " SELECT * FROM e WHERE source IN (SELECT no
 _KEYED = "e AS (SELECT DISTINCT type, id, raw_str, alias_key, description FROM dedup_elements WHERE len(vector) = 96), k AS (SELECT * FROM e QUALIFY row_number() OVER (PARTITION BY type, alias_key ORDER BY id) = 1)"
 SQL["same_key_entries"] = f"WITH {_KEYED} SELECT type, id AS cid, raw_str AS canonical_str, description, [alias_key] AS aliases FROM k"
 SQL["same_key_aliases"] = f"WITH {_KEYED} SELECT type, alias_key, id AS cid FROM k"
+
+_VERBS = "宣布|启动|暂停|取消|恢复|批准|反对|审议|延长|加强|促成|谴责|要求解释|拒绝评论|公开回应|扩大规模|重新评估|正式确认|提前启动|低调结束|一度中断"
+SQL["extracted_tuples"] = f"""WITH {SENTENCES}, v AS (SELECT sent_id, text, regexp_extract(text, '{_VERBS}') AS verb FROM sx), p AS (SELECT *, strpos(text, verb) AS pos FROM v WHERE verb <> ''),
+x AS (SELECT sent_id, {strip("regexp_extract(substr(text, 1, pos - 1), '[^，,。：:、；;]*$')")} AS subject, verb AS relation, {strip("regexp_extract(substr(text, pos + length(verb)), '^[^，,。！？；;]*')")} AS object FROM p)
+SELECT * FROM x WHERE subject <> '' AND object <> ''"""
+_COST = TOKENS.replace("normalized_text", "text")
+_AT = lambda k: f"lag(text, {k}) OVER w AS t_{k}, lag(c, {k}) OVER w AS c_{k}, lead(text, {k}) OVER w AS t{k}, lead(c, {k}) OVER w AS c{k}"
+SQL["context_windows"] = f"""WITH {SENTENCES}, k AS (SELECT *, {_COST} AS c FROM sx), a AS (SELECT *, sum(c) OVER (PARTITION BY doc_id) AS total, {_AT(1)}, {_AT(2)} FROM k WINDOW w AS (PARTITION BY doc_id ORDER BY sentence_index)),
+s1 AS (SELECT *, c_1 IS NOT NULL AND c_1 + c <= 120 AS l1 FROM a), s2 AS (SELECT *, c1 IS NOT NULL AND (CASE WHEN l1 THEN c_1 ELSE 0 END) + c + c1 <= 120 AS r1 FROM s1),
+s3 AS (SELECT *, c_2 IS NOT NULL AND c_2 + c_1 + c + (CASE WHEN r1 THEN c1 ELSE 0 END) <= 120 AS l2 FROM s2),
+s4 AS (SELECT *, c2 IS NOT NULL AND (CASE WHEN l2 THEN c_2 + c_1 WHEN l1 THEN c_1 ELSE 0 END) + c + c1 + c2 <= 120 AS r2 FROM s3),
+f AS (SELECT doc_id, string_agg(text, chr(10) ORDER BY sentence_index) AS whole FROM sx GROUP BY doc_id)
+SELECT doc_id, sentence_index, CASE WHEN total <= 120 THEN whole ELSE array_to_string(list_filter([CASE WHEN l2 THEN t_2 END, CASE WHEN l1 OR l2 THEN t_1 END, text, CASE WHEN r1 OR r2 THEN t1 END, CASE WHEN r2 THEN t2 END], lambda x: x IS NOT NULL), chr(10)) END AS context,
+total <= 120 AS whole_document_fits FROM s4 JOIN f USING (doc_id)"""

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,14 +15,16 @@ from chronoloom.operators import docgraph as DG
 from chronoloom.operators import lexical as LX
 from chronoloom.operators import payloads as PA
 from chronoloom.operators import similarity as SI
+from chronoloom.operators import timeline as TL
 from chronoloom.operators import tuples as TU
 from chronoloom.plans import model_stages as MS
 from chronoloom.plans import providers as PR
 from chronoloom.plans.scope import names_match
-from chronoloom.plans.stages import incomplete
+from chronoloom.plans.stages import Plan, Stage, incomplete, remaining
 from chronoloom.queries_stages_sql import SQL
 from chronoloom.sources import files as FI
 from chronoloom.sources.tables import Scratch, table
+from chronoloom.streaming import pool as SP
 
 __all__ = ["QUERIES", "SQL"]
 QUERIES: dict = {}
@@ -452,3 +456,83 @@ def described_mapping(spark, folder):
     v = table(spark, folder, "element_versions").where("raw_str is not null").dropDuplicates(["record_id"])
     rows = v.select("type", F.col("raw_str").alias("source"), F.col("id").alias("merged"), F.col("origin").alias("group_id"), F.col("trust").cast("string").alias("cluster_id"), "description", F.col("record_id").alias("seq"))
     return CO.grouped_mapping(rows)
+
+
+# --- timeline --------------------------------------------------------------------------------------------------------
+
+
+def _title_records(spark, folder) -> DataFrame:
+    return TL.corrected(table(spark, folder, "raw_news").select("doc_id", "file_name", F.lit(None).cast("string").alias("text")))
+
+
+@query
+def title_timeline(spark, folder):
+    """What the titles alone say about the end time, and what speaks against it."""
+    m = TL.manifest(_title_records(spark, folder))
+    return m.select("doc_id", "node_id", "base_title", "corrected_title", "raw_title_time", "end_time", "end_time_precision", F.coalesce("confidence", F.lit(0.0)).alias("confidence"), "temporal_status", "needs_review", F.array_join("review_reasons", ",").alias("reasons"))
+
+
+@query
+def title_forms(spark, folder):
+    return _title_records(spark, folder).select("doc_id", "title_form", F.array_join("flags", ",").alias("flags"), "malformed", F.col("anchor").cast("string").alias("anchor"))
+
+
+@query
+def title_summary(spark, folder):
+    return TL.summary(_title_records(spark, folder))
+
+
+@query
+def explicit_times(spark, folder):
+    """Times with a year of their own in news texts, by the table function."""
+    TL.register(spark)
+    name = f"news_{uuid.uuid4().hex}"
+    table(spark, folder, "raw_news").select("doc_id", "normalized_text", X.title_parts(X.stem(F.col("file_name")))["raw_time"].alias("title_time")).createOrReplaceTempView(name)
+    found = spark.sql(f"SELECT n.doc_id, c.* FROM {name} n, LATERAL extract_time_candidates(n.normalized_text, n.title_time) c")
+    return found.where("source like 'body\\_explicit\\_%' or source like 'body\\_year\\_%'").select("doc_id", "line_number", "source", "normalized", "precision", "confidence").distinct()
+
+
+@query
+def final_times(spark, folder):
+    """The latest, then most precise, then surest time of every document among those that the old pipeline gives."""
+    c = table(spark, folder, "time_candidates", "doc_id", "normalized", "confidence").where("normalized rlike '^[0-9]{4}(-[0-9]{2}(-[0-9]{2})?)?$'")
+    part = lambda i: F.coalesce(F.get(F.split("normalized", "-"), F.lit(i)).cast("int"), F.lit(0))
+    key = F.struct(part(0), part(1), part(2), F.coalesce("confidence", F.lit(0.0)))
+    return c.groupBy("doc_id").agg(F.max_by("normalized", key).alias("normalized"), F.max(key)["col4"].alias("confidence"))
+
+
+# --- runs ------------------------------------------------------------------------------------------------------------
+
+
+@query
+def planned_run(spark, folder):
+    """A plan of two stages: what a first, a second and a forced run did."""
+    at = Scratch(spark, "plan").root
+    table(spark, folder, "raw_news", "doc_id", "normalized_text").write.parquet(f"{at}/raw_news.parquet")
+    stages = [Stage("sentences", ("raw_news",), "sentences", _sentences), Stage("counts", ("sentences",), "counts", lambda s, d: table(s, d, "sentences").groupBy("doc_id").agg(F.count("*").alias("n")))]
+    plan = Plan(stages)
+    runs = [plan.run(spark, at, plan.sequence(run_all=True), **how) for how in ({"dry": True}, {}, {}, {"force": True})]
+    total = table(spark, at, "counts").agg(F.sum("n")).first()[0]
+    return spark.createDataFrame([(s.name, *(r[s.name] for r in runs), total) for s in stages], "stage string, dry string, first string, second string, forced string, sentences long")
+
+
+@query
+def streamed_pool(spark, folder):
+    """The concept pool kept by a stream of tuples, read after all that is there has come."""
+    at = Scratch(spark, "stream").root
+    path = f"{folder}/raw_tuples.parquet"
+    source = spark.readStream.schema(spark.read.parquet(path).schema).parquet(f"{path}*")
+    SP.pool_stream(source, f"{at}/pool", f"{at}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    return SP.read_pool(spark, f"{at}/pool").select("type", "concept", "count", F.col("first_seen").cast("string").alias("first_seen"))
+
+
+@query
+def probe_run(spark, folder):
+    """What describing the reference list takes when half of it is stored."""
+    pool = table(spark, folder, "canonical").select("type", F.col("canonical_str").alias("concept"), F.coalesce("aliases", F.array().cast("array<string>")).alias("contexts"))
+    asked = MS.describe_requests(pool)
+    keyed = asked.withColumn("key", PR.content_key("describe", F.col("payload")))
+    stored = keyed.where(F.length("payload") % 2 == 0).select("key")
+    fresh = remaining(keyed.dropDuplicates(["key"]), stored, "key").select(F.col("key").alias("custom_id"), "payload")
+    figures = PR.probe_figures(asked, stored, PR.ask(fresh, PR.RuleDescriber, timed=True), "describe")
+    return figures.select("requests", "payloads", "from_store", "asked", "errors", (F.col("most_seconds") >= F.col("mean_seconds")).alias("timed"))

@@ -100,3 +100,70 @@ SQL["mapped_lists"] = MERGE + f""", al AS (SELECT e.type, e.raw_str AS source, m
 mm AS (SELECT * FROM m), {_CELLS},
 re AS (SELECT tuple_id, sum(r)::BIGINT AS replaced FROM (SELECT * FROM ce UNION ALL SELECT * FROM co UNION ALL SELECT * FROM cr UNION ALL SELECT * FROM cl) GROUP BY tuple_id)
 SELECT mm.tuple_id, {_ONE("ce", "subject")}, {_ONE("cr", "relation")}, {_ONE("co", "object")}, {_ONE("cl", "location")}, mm.time, coalesce(re.replaced, 0) AS replaced FROM mm LEFT JOIN re USING (tuple_id)"""
+
+_N, _Y = "([0-9]{1,2})", "((?:19|20)[0-9]{2})"
+_DASH = r"\s*[-—–~～至]\s*"
+#: Title notations in order: name, pattern, groups of the end (year, month, day), confidence.
+_FORMS = [
+    ("title_same_year_day_range", rf"{_Y}[.年]{_N}[.月]{_N}{_DASH}{_N}[.月]{_N}(?:[^0-9]|$)", (1, 4, 5), 0.65),
+    ("title_cross_year_range", rf"{_Y}(?:[.年]{_N}(?:[.月]{_N})?)?{_DASH}{_Y}(?:[.年]{_N}(?:[.月]{_N})?)?", (4, 5, 6), 0.58),
+    ("title_same_year_day_range", rf"{_Y}[.年]{_N}[.月]{_N}{_DASH}{_N}(?:[^.0-9]|$)", (1, 2, 4), 0.65),
+    ("title_same_year_month_range", rf"{_Y}[.年]{_N}{_DASH}{_N}(?:[.月]{_N})?(?:[^0-9]|$)", (1, 3, 4), 0.6),
+    ("title_single_date", rf"{_Y}[.年]{_N}(?:[.月]{_N})?", (1, 2, 3), 0.62),
+    ("title_year_only", rf"{_Y}(?:年|全年)?", (1, 0, 0), 0.5),
+]
+
+
+def _case(pick) -> str:
+    return "CASE " + " ".join(f"WHEN f = {i} THEN {pick(x)}" for i, x in enumerate(_FORMS)) + " END"
+
+
+def _group(i: int):
+    return _case(lambda x: f"try_cast(nullif(regexp_extract(raw, '{x[1]}', {x[2][i]}), '') AS INT)" if x[2][i] else "NULL")
+
+
+_TITLES = f"""tp AS ({CORE["title_parts"]}), nc AS ({CORE["news_codes"]}),
+t0 AS (SELECT n.doc_id, n.news_id, tp.base, tp.raw_time AS raw, tp.malformed, coalesce(nc.prefix || lpad(nc.number::VARCHAR, 3, '0'), n.doc_id) AS node_id FROM raw_news n JOIN tp USING (news_id) JOIN nc USING (news_id)),
+t1 AS (SELECT *, CASE WHEN raw IS NULL THEN NULL {" ".join(f"WHEN regexp_matches(raw, '{x[1]}') THEN {i}" for i, x in enumerate(_FORMS))} END AS f,
+ coalesce(contains(raw, '多次'), false) AS repeated, coalesce(contains(raw, '持续') OR contains(raw, '至今') OR contains(raw, '年起'), false) AS open_ended,
+ regexp_extract_all(regexp_replace(raw, '([0-9]+)', ' \\1 ', 'g'), ' ((?:19|20)[0-9]{{2}}) ', 1) AS years FROM t0),
+t2 AS (SELECT *, {_group(0)} AS y, {_group(1)} AS m, {_group(2)} AS d, {_case(lambda x: x[3])} AS sure, {_case(lambda x: f"'{x[0]}'")} AS form FROM t1),
+t3 AS (SELECT *, f IS NOT NULL AND NOT repeated AND NOT open_ended AS final, CASE WHEN m IS NULL THEN NULL ELSE d END AS dd FROM t2),
+t4 AS (SELECT *, CASE WHEN final THEN lpad(y::VARCHAR, 4, '0') || coalesce('.' || lpad(m::VARCHAR, 2, '0'), '') || coalesce('.' || lpad(dd::VARCHAR, 2, '0'), '') END AS label,
+ len(years) > 0 AND years[1] <> years[len(years)] AS many FROM t3)"""
+SQL["title_timeline"] = f"""WITH {_TITLES} SELECT doc_id, node_id, base AS base_title, CASE WHEN label IS NOT NULL THEN base || '（' || label || '）' ELSE base END AS corrected_title, raw AS raw_title_time, label AS end_time,
+CASE WHEN NOT final THEN NULL WHEN m IS NULL THEN 'year' WHEN dd IS NULL THEN 'month' ELSE 'day' END AS end_time_precision, CASE WHEN final THEN sure ELSE 0 END::DOUBLE AS confidence, CASE WHEN final THEN 'title_only' ELSE 'unknown' END AS temporal_status, true AS needs_review,
+array_to_string(list_filter([CASE WHEN NOT final THEN 'unknown_time' END, CASE WHEN malformed THEN 'malformed_title_time' END, CASE WHEN open_ended THEN 'open_ended_title' END, CASE WHEN repeated THEN 'repeated_title' END, CASE WHEN final THEN 'low_confidence' END,
+ CASE WHEN final THEN 'title_only_fallback' END, CASE WHEN many THEN 'multi_year_title_without_explicit_body_year' END], lambda x: x IS NOT NULL), ',') AS reasons FROM t4"""
+SQL["title_forms"] = f"""WITH {_TITLES} SELECT doc_id, coalesce(form, 'none') AS title_form, array_to_string(list_filter([CASE WHEN repeated THEN 'repeated' END, CASE WHEN open_ended THEN 'open_ended' END], lambda x: x IS NOT NULL), ',') AS flags, coalesce(malformed, false) AS malformed,
+CASE WHEN final THEN strftime(least(last_day(make_date(y, least(greatest(coalesce(m, 12), 1), 12), 1)), make_date(y, least(greatest(coalesce(m, 12), 1), 12), 1) + (CASE WHEN dd IS NULL THEN 31 ELSE greatest(dd, 1) END - 1)::INT), '%Y-%m-%d') END AS anchor FROM t4"""
+SQL["title_summary"] = f"WITH {_TITLES} SELECT count(*) AS documents, count(*) AS needs_review, 0 AS high_confidence, 0 AS conflicts, count(*) FILTER (NOT final) AS unknown, count(*) FILTER (final) AS title_only, 0 AS inferred, 0 AS exact FROM t4"
+
+# A sign before each year that no digit precedes stands for the condition on what is before it.
+_P = {
+    "body_explicit_range": rf"¦{_Y}年{_N}月{_N}[日号]?[^。]{{0,24}}?[至到](?:{_N}月)?{_N}[日号]",
+    "body_explicit_dot": rf"¦{_Y}\.{_N}(?:\.{_N})?(?:[^0-9]|$)",
+    "body_explicit_day": rf"¦{_Y}年{_N}月{_N}[日号]",
+    "body_year_end": rf"¦{_Y}年底",
+    "body_year_begin": rf"¦{_Y}年初",
+    "body_explicit_month": rf"¦{_Y}年{_N}月",
+    "body_explicit_year": rf"¦{_Y}年(?:[^月0-9¦]|$)",
+}
+_ANY = "|".join(p.replace("((?:19|20)", "(?:(?:19|20)").replace("([0-9]", "(?:[0-9]") for p in _P.values())
+_SOURCE = "CASE " + " ".join(f"WHEN regexp_full_match(h, '{p}') THEN '{n}'" for n, p in _P.items()) + " END"
+_NUM = lambda n, i: f"try_cast(nullif(regexp_extract(h, '{_P[n]}', {i}), '') AS INT)"
+SQL["explicit_times"] = f"""
+WITH l AS (SELECT doc_id, string_split(normalized_text, chr(10)) AS ls FROM raw_news WHERE normalized_text IS NOT NULL), n AS (SELECT doc_id, unnest(ls) AS line, generate_subscripts(ls, 1)::INT AS line_number FROM l),
+m AS (SELECT doc_id, line_number, unnest(regexp_extract_all(regexp_replace({strip('line')}, '(^|[^0-9])((?:19|20)[0-9]{{2}})', '\\1¦\\2', 'g'), '{_ANY}')) AS h FROM n),
+s AS (SELECT *, {_SOURCE} AS source FROM m),
+p AS (SELECT *, substr(h, 2, 4)::INT AS y, CASE source WHEN 'body_explicit_range' THEN coalesce({_NUM('body_explicit_range', 4)}, {_NUM('body_explicit_range', 2)}) WHEN 'body_explicit_dot' THEN {_NUM('body_explicit_dot', 2)} WHEN 'body_explicit_day' THEN {_NUM('body_explicit_day', 2)}
+ WHEN 'body_explicit_month' THEN {_NUM('body_explicit_month', 2)} WHEN 'body_year_end' THEN 12 WHEN 'body_year_begin' THEN 1 END AS mo,
+ CASE source WHEN 'body_explicit_range' THEN {_NUM('body_explicit_range', 5)} WHEN 'body_explicit_dot' THEN {_NUM('body_explicit_dot', 3)} WHEN 'body_explicit_day' THEN {_NUM('body_explicit_day', 3)} END AS d FROM s)
+SELECT DISTINCT doc_id, line_number, source, lpad(y::VARCHAR, 4, '0') || coalesce('.' || lpad(mo::VARCHAR, 2, '0'), '') || coalesce('.' || lpad(d::VARCHAR, 2, '0'), '') AS normalized, CASE WHEN mo IS NULL THEN 'year' WHEN d IS NULL THEN 'month' ELSE 'day' END AS precision,
+CASE source WHEN 'body_explicit_range' THEN 0.93 WHEN 'body_explicit_dot' THEN CASE WHEN d IS NULL THEN 0.84 ELSE 0.9 END WHEN 'body_explicit_day' THEN 0.95 WHEN 'body_year_end' THEN 0.82 WHEN 'body_year_begin' THEN 0.8 WHEN 'body_explicit_month' THEN 0.86 ELSE 0.75 END::DOUBLE AS confidence FROM p"""
+SQL["final_times"] = """WITH c AS (SELECT doc_id, normalized, split_part(normalized, '-', 1)::INT AS y, coalesce(try_cast(nullif(split_part(normalized, '-', 2), '') AS INT), 0) AS m, coalesce(try_cast(nullif(split_part(normalized, '-', 3), '') AS INT), 0) AS d, coalesce(confidence, 0) AS s
+ FROM time_candidates WHERE regexp_full_match(normalized, '[0-9]{4}(-[0-9]{2}(-[0-9]{2})?)?')) SELECT doc_id, normalized, s AS confidence FROM c QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY y DESC, m DESC, d DESC, s DESC) = 1"""
+SQL["planned_run"] = _SX + "SELECT unnest(['sentences', 'counts']) AS stage, 'planned' AS dry, 'run' AS first, 'skipped' AS second, 'run' AS forced, (SELECT count(*) FROM sx) AS sentences"
+_SLOTS = "o AS (SELECT source_sent_id AS source, ingested_at, unnest(['entity', 'entity', 'relation', 'location']) AS type, unnest([subject, object, relation, location]) AS concept FROM raw_tuples WHERE source_sent_id IS NOT NULL)"
+SQL["streamed_pool"] = f"WITH {_SLOTS} SELECT type, concept, count(DISTINCT source) AS count, strftime(min(ingested_at), '%Y-%m-%d %H:%M:%S') AS first_seen FROM o WHERE NOT {blank('concept')} GROUP BY type, concept"
+SQL["probe_run"] = f"WITH {_ENTRY}, p AS (SELECT payload, length(payload) % 2 = 0 AS there, count(*) AS n FROM e GROUP BY payload) SELECT sum(n)::BIGINT AS requests, count(*) AS payloads, count(*) FILTER (there) AS from_store, count(*) FILTER (NOT there) AS asked, 0 AS errors, true AS timed FROM p"
