@@ -13,8 +13,8 @@ BEFORE = ["所谓", "有关", "原", "the"]
 AFTER = ["方面", "人员", "一带", "一事", "简称", "等"]
 #: The weights of a slip.
 WEIGHTS = {"exact": 0.0, "swapped": 0.7, "missing": 0.8, "added": 0.8, "wrong": 1.0}
-#: The dictionary is broadcast only for a reference list of at most so many rows; a larger one is shuffled.
-BROADCAST_ROWS = 20_000
+#: The dictionary is broadcast only up to this size, reckoned from the lengths of the names; a larger one is shuffled.
+BROADCAST_BYTES = 64_000_000
 
 
 def surface(c: Column) -> Column:
@@ -57,11 +57,13 @@ def resolve(records: DataFrame, reference: DataFrame) -> DataFrame:
     without a slip, then the smaller cid. A join on strings and a partial aggregation are the only shuffles.
     """
     scratch = Scratch(records.sparkSession, "canonical")
-    bound, longest = reference.agg(F.count("*"), F.max(F.greatest(F.length("canonical_str"), F.coalesce(F.array_max(F.transform("aliases", F.length)), F.lit(0))))).first()
     name = F.explode(F.array_distinct(F.concat(F.array("canonical_str"), F.coalesce("aliases", F.array().cast("array<string>")))))
     names = reference.select("cid", "type", name.alias("n")).select("cid", "type", surface(F.col("n")).alias("name")).where("name <> ''").distinct()
+    # A name of n signs gives n + 1 keys of about n signs; each row holds some 64 bytes besides.
+    size = (F.length("name") + 1) * (3 * F.length("name") + 64)
+    bound, longest = names.agg(F.sum(size), F.max(F.length("name"))).first()
     book = _deletes(names, "name").select(F.col("type").alias("kind"), "key", "cid", F.length("name").alias("book_len"), F.col("at").alias("book_at"), F.col("sign").alias("book_sign"))
-    if bound <= BROADCAST_ROWS:
+    if (bound or 0) <= BROADCAST_BYTES:
         book = F.broadcast(book)
     records = records.where(~is_blank(F.col("raw_str"))).select("origin", "record_key", "type", "raw_str").distinct()
     records = scratch.cut(records, "records")

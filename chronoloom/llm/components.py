@@ -35,6 +35,7 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     arcs = both.where("u <> v")
     n_arcs = arcs.count()
     removed: list[DataFrame] = []
+    former = None
     for _ in range(MAX_ROUNDS):
         if not n_arcs:
             break
@@ -48,7 +49,11 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
             gone, touched = gone.unionByName(g2), touched.unionByName(t2)
         removed.append(scratch.cut(gone, "removed"))
         left = arcs.join(touched, ["u", "v"], "left_anti")
-        arcs = scratch.cut(left.unionByName(fresh).distinct() if n_low.get(2) else left, "arcs")
+        after = scratch.cut(left.unionByName(fresh).distinct() if n_low.get(2) else left, "arcs")
+        scratch.drop(low)
+        if former is not None:  # the first arcs hold the nodes
+            scratch.drop(former)
+        arcs = former = after
         n_arcs = arcs.count()
     labels = star_components(arcs, scratch) if n_arcs else None
     for gone in reversed(removed):
@@ -58,7 +63,10 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
         else:
             known = labels.select(F.col("node").alias("keeper"), "label")
             mine = gone.join(known, "keeper", "left").select("node", F.coalesce("label", "keeper").alias("label"))
-            labels = scratch.cut(labels.unionByName(mine), "labels")
+            after = scratch.cut(labels.unionByName(mine), "labels")
+            scratch.drop(gone)
+            scratch.drop(labels)
+            labels = after
     if labels is None:
         return nodes.select("node", F.col("node").alias("label"))
     return nodes.join(labels, "node", "left").select("node", F.coalesce("label", "node").alias("label"))

@@ -14,7 +14,7 @@ PLAIN_FIELDS = (
 NO_TAGS = "headline|city|spokesperson|name|date|author|editor|place|region|location|agency|company|email|phone|quote|(?:your|first|last|full|company|user) name|insert [a-z]+(?: [a-z]+)?|(?:your|enter) [a-z]+"
 COMPOUND = "[A-Za-z][A-Za-z0-9]*(?:[_.][A-Za-z0-9]+)+|[a-z]+(?:[A-Z][a-z0-9]+)+"
 #: What Chinese templates ask for.
-ASKED = "(?:请|请在此|此处|在此)?(?:填写|插入|输入|填入|待补充|待补|待填|待定)[^\\n\\[\\]{}【】<>#%$&]{0,14}|[\\u4e00-\\u9fff]{0,4}(?:姓名|日期|时间|地点|地名|来源|单位|标题|作者|数字|引语|海域|型号|职务|正文|导语)"
+ASKED = "(?:请|请在此|此处|在此)?(?:填写|插入|输入|填入|待补充|待补|待填|待定)[^\\n\\[\\]{}【】<>#%$&]*|[\\u4e00-\\u9fff]{0,4}(?:姓名|日期|时间|地点|地名|来源|单位|标题|作者|数字|引语|海域|型号|职务|正文|导语)"
 
 FIELD = f"(?:(?:{COMPOUND})|(?i:{PLAIN_FIELDS})|{ASKED})"
 NO_TAG_FIELD = f"(?:(?:{COMPOUND})|(?i:{NO_TAGS})|{ASKED})"
@@ -23,7 +23,7 @@ NO_TAG_FIELD = f"(?:(?:{COMPOUND})|(?i:{NO_TAGS})|{ASKED})"
 GRAMMARS = [
     r"\{\{[^{}\n]+\}\}|\{%[^{}\n]+%\}|\$\{[^{}\n]+\}",
     r"<%[^<>\n]+%>|<\?=[^<>\n]+\?>|@@[^@\s][^@\n]*@@|\[\[[^\[\]\n]+\]\]",
-    r"(?<![A-Za-z0-9_])__(?!(?:init|name|main|file|dict|class|all|call|doc)__)[^_\s][^\n]{0,30}?__(?![A-Za-z0-9_])",
+    r"(?<![A-Za-z0-9_])__(?!(?:init|name|main|file|dict|class|all|call|doc)__)[^_\s][^\n]*?__(?![A-Za-z0-9_])",
     rf"(?<![{{$])\{{{FIELD}\}}|\[{FIELD}\]|【{FIELD}】",
     rf"(?<!话题)#(?:[A-Z]{{3,}}|{FIELD})#|%(?:[A-Z]{{3,}}|{FIELD})%|\$(?:[A-Z]{{3,}}|{FIELD})\$",
     rf"<{NO_TAG_FIELD}>|&lt;{NO_TAG_FIELD}&gt;",
@@ -46,11 +46,11 @@ NOTICES = [
     r"访问的页面(?:不存在|已被删除)|检测到异常访问|完成安全验证后|系统维护中[，,]|请求的(?:页面|资源)不存在|秒后自动返回首页|(?:网页|页面|内容|数据)加载失败|加载失败[，,]\s*请",
 ]
 #: News about such things: quoted words, and sentences that speak of examples.
-QUOTED = r"“[^”\n]{0,80}”|「[^」\n]{0,80}」|『[^』\n]{0,80}』|\"[^\"\n]{0,60}\""
-CODE = r"(?s)```.*?```|`[^`\n]{1,200}`"
+QUOTED = r"“[^”\n]*”|「[^」\n]*」|『[^』\n]*』|\"[^\"\n]*\""
+CODE = r"(?s)```.*?```|`[^`\n]+`"
 SPOKEN_WORDS = r"代码片段|代码示例|文档示例|公文模板|教程|used the form|(?i:tutorial)|code snippet"
-# Anchored at the beginning of a sentence, so that each is gone through once.
-SPOKEN_OF = rf"(?:^|(?<=[。！？!?\n]))[^。！？!?\n]*?(?:{SPOKEN_WORDS})[^。！？!?\n]*"
+#: A sentence that speaks of examples isn't residue unless its fields make up at least this share of its signs.
+DENSE_SHARE = 0.5
 #: From this share of signs that stand for single bytes on, a text counts as wrongly decoded.
 GARBLED_SHARE = 0.2
 
@@ -84,10 +84,23 @@ def _any_in(c: Column, patterns: list[str], signs: list[list[str]]) -> Column:
     return F.exists(F.array(c), lambda t: F.exists(F.array(F.lower(t)), lambda low: _any(t, low, patterns, signs)))
 
 
+def _without_examples(text: Column) -> Column:
+    """A text without the sentences that speak of examples, by their words and by the density of fields in them."""
+
+    def told(sentence: Column) -> Column:
+        rest = sentence
+        for g in GRAMMARS:
+            rest = F.regexp_replace(rest, g, "")
+        dense = F.length(sentence) - F.length(rest) >= F.lit(DENSE_SHARE) * F.length(sentence)
+        return F.when(sentence.rlike(SPOKEN_WORDS) & ~dense, F.lit(" ")).otherwise(sentence)
+
+    return F.array_join(F.transform(F.split(text, "(?<=[。！？!?\n])"), told), "")
+
+
 def is_residue(text: Column) -> Column:
     """Whether a text is or contains residue; false for null, blank and wrongly decoded texts."""
     uncoded = F.when(F.contains(text, F.lit("`")), F.regexp_replace(text, CODE, " ")).otherwise(text)
-    plain = F.when(text.rlike(SPOKEN_WORDS), F.regexp_replace(uncoded, SPOKEN_OF, " ")).otherwise(uncoded)
+    plain = F.when(text.rlike(SPOKEN_WORDS), _without_examples(uncoded)).otherwise(uncoded)
     # The signs of the grammars have no capitals, so they are looked for in the text as it is; the lambda binds the changed text once.
     holds = _any(text, text, GRAMMARS, GRAMMAR_SIGNS) & F.exists(F.array(plain), lambda t: _any(t, t, GRAMMARS, GRAMMAR_SIGNS))
     patterns, signs = FILLER + NOTICES, FILLER_SIGNS + NOTICE_SIGNS
@@ -102,7 +115,7 @@ def residue(documents: DataFrame) -> DataFrame:
     """``doc_id`` of the documents that are or contain residue; every such id once.
 
     ``documents``: ``doc_id``, ``text``; other columns are ignored. Unfilled fields count with their delimiters'
-    own grammar; fields in code and in sentences about code and forms don't, nor do messages in quotation marks.
+    own grammar; fields in code and in sentences about code and forms don't unless they consist of fields, nor do messages in quotation marks.
     Null, blank and wrongly decoded texts are no cases; an empty table gives an empty result. All tests are regular
     expressions over the whole text inside generated code; only the found ids are shuffled.
     """

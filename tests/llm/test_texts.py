@@ -272,3 +272,17 @@ def test_items_in_parts(spark, monkeypatch):
     docs = spark.createDataFrame([(100 + i, p) for i, p in passages.items()], "doc_id long, text string")
     monkeypatch.setattr(LK, "MOST_TEST_LETTERS", 600)
     assert {(r["doc_id"], r["item_id"]) for r in LK.leaked(docs, items).collect()} == {(100 + i, i) for i in passages}
+
+
+def test_density_of_fields(spark):
+    """A sentence about templates isn't residue for the fields it names, but one that consists of fields is."""
+    texts = {
+        1: "教程：用 {{title}} 这样的写法可以把标题放进页面的开头，编辑部的同事常常这样做。其余照旧。",
+        2: "公文模板 {{title}} {{body}} {{author}} {{date}} {{place}}",
+        3: "正文到此。{{title}} 落下了。",
+        4: "“" + "长" * 200 + "404 Not Found" + "”，通告这样写道。",
+        5: "__" + "name of the person " * 5 + "x__ arrived",
+        6: "[请填写" + "一个说明" * 10 + "]",
+    }
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    assert {r["doc_id"] for r in residue(df).collect()} == {2, 3, 5, 6}
