@@ -83,6 +83,12 @@ def describe_requests(pool: DataFrame) -> DataFrame:
     return _request(pool, F.concat_ws("|", "type", "concept"), F.col("concept").alias("raw_str"), F.col("contexts"))
 
 
+def field_requests(pool: DataFrame) -> DataFrame:
+    """One per pool concept of a type with fields: its name, contexts, and the names of the fields to fill."""
+    names = F.create_map(*[x for t, fields in FIELD_WEIGHTS.items() for x in (F.lit(t), F.array(*[F.lit(f) for f in fields]))])
+    return _request(pool.where(F.col("type").isin(*FIELD_WEIGHTS)), F.concat_ws("|", "type", "concept"), F.col("type"), F.col("concept"), F.col("contexts"), names[F.col("type")].alias("fields"))
+
+
 def compliance_requests(pool: DataFrame, most: int = 8) -> DataFrame:
     """One per pool concept with at most so many sentences."""
     return _request(pool, F.concat_ws("|", "type", "concept"), F.col("type"), F.col("concept"), F.slice("contexts", 1, most).alias("sentences"))

@@ -485,9 +485,11 @@ def news_graph(spark, folder):
 
 
 def _match_edges(spark, folder):
-    m = table(spark, folder, "dedup_matches").where("left_key is not null and right_key is not null")
-    key = lambda c: X.alias_key(F.col(c))
-    return m.select(key("left_key").alias("source"), key("right_key").alias("target"), F.coalesce("score", F.lit(0.0)).alias("weight")).where("source <> '' and target <> ''").distinct()
+    """Matches as edges between keys; the same key of two types is two nodes."""
+    m = table(spark, folder, "dedup_matches").where("element_type is not null and left_key is not null and right_key is not null")
+    node = lambda c: F.concat("element_type", F.lit("|"), X.alias_key(F.col(c)))
+    told = m.where(~X.is_blank(F.col("left_key")) & ~X.is_blank(F.col("right_key")))
+    return told.select(node("left_key").alias("source"), node("right_key").alias("target"), F.coalesce("score", F.lit(0.0)).alias("weight")).distinct()
 
 
 @query

@@ -248,7 +248,7 @@ WITH q AS (SELECT vec_id AS id, unnest([1, 2, 3, 4]) AS k, unnest([embedding[1:1
 n AS (SELECT id, k, list_transform(e, lambda x: x / sqrt(list_inner_product(e, e))) AS u FROM q), d AS (SELECT vec_id AS id, (vec_id * 37) % 400 AS o FROM embeddings),
 s AS (SELECT a.id AS target, b.id AS source, a.k, avg(list_inner_product(a.u, b.u)) AS m FROM n a JOIN n b ON a.id % 100 = 0 AND a.id <> b.id GROUP BY ALL), w AS (SELECT source, target, max(m) AS w FROM s GROUP BY ALL)
 SELECT source, target, round(w, 6) AS weight FROM w JOIN d x ON x.id = source JOIN d y ON y.id = target WHERE x.o <= y.o AND w >= 0.2"""
-MATCHES = f"m AS (SELECT DISTINCT {alias_key('left_key')} AS source, {alias_key('right_key')} AS target, coalesce(score, 0.0) AS weight FROM dedup_matches WHERE left_key IS NOT NULL AND right_key IS NOT NULL), e AS (SELECT * FROM m WHERE source <> '' AND target <> '' AND weight >= 0.6), y AS (SELECT source AS u, target AS v FROM e UNION SELECT target, source FROM e)"
+MATCHES = f"m AS (SELECT DISTINCT element_type || '|' || {alias_key('left_key')} AS source, element_type || '|' || {alias_key('right_key')} AS target, coalesce(score, 0.0) AS weight FROM dedup_matches WHERE element_type IS NOT NULL AND NOT {blank('left_key')} AND NOT {blank('right_key')}), e AS (SELECT * FROM m WHERE weight >= 0.6), y AS (SELECT source AS u, target AS v FROM e UNION SELECT target, source FROM e)"
 HOPS = f"WITH {MATCHES}, h0 AS (SELECT min(source) AS node FROM e), h1 AS (SELECT DISTINCT v AS node FROM y JOIN h0 ON u = node WHERE v NOT IN (SELECT node FROM h0)), h2 AS (SELECT DISTINCT v AS node FROM y JOIN h1 ON u = node WHERE v NOT IN (SELECT node FROM h0 UNION SELECT node FROM h1)), h AS (SELECT node, 0 AS hop FROM h0 UNION ALL SELECT node, 1 FROM h1 UNION ALL SELECT node, 2 FROM h2)"
 SQL["match_neighbourhood"] = HOPS + " SELECT * FROM h"
 SQL["neighbourhood_edges"] = HOPS + " SELECT * FROM e WHERE source IN (SELECT node FROM h) AND target IN (SELECT node FROM h)"

@@ -267,6 +267,13 @@ def checked_fields(spark, folder):
     return got.select("custom_id", "type", F.array_join(F.array_sort(F.map_keys("fields")), ",").alias("fields"))
 
 
+@query
+def field_requests(spark, folder):
+    pool = table(spark, folder, "canonical").select("type", F.col("canonical_str").alias("concept"), F.coalesce("aliases", F.array().cast("array<string>")).alias("contexts"))
+    asked = MS.field_requests(pool)
+    return asked.select("custom_id", F.array_join(F.from_json(F.get_json_object("payload", "$.fields"), "array<string>"), ",").alias("fields"))
+
+
 @query
 def field_texts(spark, folder):
     e = table(spark, folder, "canonical").where("description is not null")

@@ -167,3 +167,4 @@ SQL["planned_run"] = _SX + "SELECT unnest(['sentences', 'counts']) AS stage, 'pl
 _SLOTS = "o AS (SELECT source_sent_id AS source, ingested_at, unnest(['entity', 'entity', 'relation', 'location']) AS type, unnest([subject, object, relation, location]) AS concept FROM raw_tuples WHERE source_sent_id IS NOT NULL)"
 SQL["streamed_pool"] = f"WITH {_SLOTS} SELECT type, concept, count(DISTINCT source) AS count, strftime(min(ingested_at), '%Y-%m-%d %H:%M:%S') AS first_seen FROM o WHERE NOT {blank('concept')} GROUP BY type, concept"
 SQL["probe_run"] = f"WITH {_ENTRY}, p AS (SELECT payload, length(payload) % 2 = 0 AS there, count(*) AS n FROM e GROUP BY payload) SELECT sum(n)::BIGINT AS requests, count(*) AS payloads, count(*) FILTER (there) AS from_store, count(*) FILTER (NOT there) AS asked, 0 AS errors, true AS timed FROM p"
+SQL["field_requests"] = "SELECT type || '|' || canonical_str AS custom_id, CASE type WHEN 'entity' THEN '主体类别,核心角色' WHEN 'relation' THEN '关系类别,核心议题,战略作用' ELSE '空间类型,区位范围,议题作用' END AS fields FROM canonical WHERE type IN ('entity', 'relation', 'location')"

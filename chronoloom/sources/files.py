@@ -94,6 +94,14 @@ def write_json_object(spark: SparkSession, path: str, value) -> None:
     files.replace(spark, path, json.dumps(value, ensure_ascii=False, indent=2).encode())
 
 
+def latest_file(spark: SparkSession, folder: str, ending: str = ".json") -> str | None:
+    """The path of the file that was changed last, of equal ones the last by name; None where there is none."""
+    where, root = fs.FileSystem.from_uri(folder)
+    found = [i for i in where.get_file_info(fs.FileSelector(root, allow_not_found=True)) if i.is_file and i.base_name.endswith(ending)]
+    best = max(found, key=lambda i: (i.mtime_ns, i.base_name), default=None)
+    return best and f"{folder.rstrip('/')}/{best.base_name}"
+
+
 def read_json_object(spark: SparkSession, path: str):
     """What such a file holds; of an array only the entries that are objects."""
     value = json.loads(files.read(spark, path).decode())
