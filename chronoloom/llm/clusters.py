@@ -9,8 +9,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from chronoloom.llm.vectors import BLOCK_ROWS, fit_centres, into_cells, unit, usable
-from chronoloom.operators.blocks import blocks, pair_blocks
+from chronoloom.llm.vectors import BLOCK_ROWS, bounded_cells, fit_centres, into_cells, unit, usable
+from chronoloom.operators.blocks import blocks, large_groups, pair_blocks
 from chronoloom.operators.graph import star_components
 from chronoloom.sources.tables import Scratch
 
@@ -142,9 +142,11 @@ def clusters(elements: DataFrame, least: float = 0.77, dimension: int = 96, sure
         count[first], sums[first] = tree.count, [list(s) for s in tree.sums.astype(np.float32)]
         return pd.DataFrame({"type": pdf["type"].iloc[0], "id": ids, "leaf": ids[first[leaf]], "count": count.astype(float), "vector": sums})
 
-    near = blocks(into_cells(vectors, centres, dimension, reach, sure, 1), ["type", "cell"], "id", BLOCK_ROWS)
+    near = into_cells(vectors, centres, dimension, reach, sure, 1)
+    near = blocks(near, ["type", "cell"], "id", BLOCK_ROWS, scratch.cut(large_groups(near, ["type", "cell"], BLOCK_ROWS), "large"))
     rows = scratch.cut(near.groupBy("type", "cell", "part").applyInPandas(take_in, "type string, id string, leaf string, count double, vector array<float>"), "leaves")
     leaves = into_cells(rows.where("vector is not null").select("type", "id", "vector", "count"), centres, dimension, reach, sure)
+    leaves, large = bounded_cells(leaves, dimension, reach, sure, scratch)
 
     def agglomerate(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.drop_duplicates("id").sort_values("id", kind="stable")
@@ -157,7 +159,7 @@ def clusters(elements: DataFrame, least: float = 0.77, dimension: int = 96, sure
         np.minimum.at(first, label, np.arange(len(ids)))
         return pd.DataFrame({"type": pdf["type"].iloc[0], "leaf": ids, "head": ids[first[label]]})
 
-    linked = pair_blocks(leaves, ["type", "cell"], "id", BLOCK_ROWS).groupBy("type", "cell", "i", "j").applyInPandas(agglomerate, "type string, leaf string, head string")
+    linked = pair_blocks(leaves, ["type", "cell"], "id", BLOCK_ROWS, large).groupBy("type", "cell", "i", "j").applyInPandas(agglomerate, "type string, leaf string, head string")
     # A leaf has one head in most of its cells; only heads that share a leaf and differ are linked.
     member = scratch.cut(linked.groupBy("type", "leaf").agg(F.array_sort(F.collect_set("head")).alias("heads")), "members")
     node = lambda c: F.concat("type", F.lit("\x1f"), c)

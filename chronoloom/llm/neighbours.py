@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from chronoloom.llm.vectors import BLOCK_ROWS, MOST_CELLS, chi_square_quantile, fit_centres, into_cells, unit, usable
+from chronoloom.llm.vectors import BLOCK_ROWS, MOST_CELLS, bounded_cells, chi_square_quantile, fit_centres, into_cells, unit, usable
 from chronoloom.operators.blocks import pair_blocks
 from chronoloom.sources.tables import Scratch
 
@@ -134,7 +134,8 @@ def neighbours(elements: DataFrame, k: int = 5, least: float = 0.76, dimension:
         vectors = vectors.join(copies.select("type", "id"), ["type", "id"], "left_anti")
     centres = fit_centres(vectors, dimension)
     reach = math.sqrt(2 - 2 * least)
-    tasks = pair_blocks(into_cells(vectors, centres, dimension, reach, sure, most_cells), ["type", "cell"], "id", BLOCK_ROWS)
+    cells, large = bounded_cells(into_cells(vectors, centres, dimension, reach, sure, most_cells), dimension, reach, sure, scratch, most_cells)
+    tasks = pair_blocks(cells, ["type", "cell"], "id", BLOCK_ROWS, large)
 
     def work(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.drop_duplicates(["id", "part"]).sort_values("id", kind="stable")

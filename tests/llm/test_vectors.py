@@ -180,3 +180,20 @@ def test_all_cells_that_the_test_asks_for(spark):
     some = {tuple(r) for r in NB.neighbours(df, least=0.7, dimension=24).select("id", "near").collect()}
     every = {tuple(r) for r in NB.neighbours(df, least=0.7, dimension=24, most_cells=None).select("id", "near").collect()}
     assert len(every) >= len(some) * 0.999
+
+
+@pytest.mark.parametrize("above", [10, 60])
+def test_large_cells_are_split_again(spark, monkeypatch, above):
+    """With cells split on several levels neighbours and clusters stay those of brute force."""
+    for name, value in (("SPLIT_ABOVE", above), ("SPLIT_SAMPLE", 100), ("SPLIT_ROWS", 40), ("ROWS_PER_CELL", 5), ("BLOCK_ROWS", 30)):
+        monkeypatch.setattr(VE, name, value)
+    x = cloud(400, groups=60, seed=8)
+    df = frame(spark, x)
+    s = cosines(x)
+    want = {(f"id{i:05d}", f"id{j:05d}") for i in range(len(x)) for j in np.lexsort((np.arange(len(x)), -s[i]))[:3] if s[i, j] >= 0.85}
+    got = {tuple(r) for r in NB.neighbours(df, 3, 0.85, 24, 0.99999, None).select("id", "near").collect()}
+    assert len(want ^ got) <= 0.01 * len(want)
+    apart = np.random.default_rng(1).standard_normal((80, 24))
+    y = np.repeat(apart, 5, 0) + 0.05 * np.random.default_rng(2).standard_normal((400, 24))
+    found = CL.clusters(frame(spark, y), 0.9, 24).toPandas()
+    assert found.groupby("cluster_id")["id"].size().tolist() == [5] * 80
