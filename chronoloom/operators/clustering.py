@@ -140,6 +140,26 @@ def balance_penalty(label: np.ndarray, s: Sizes) -> float:
     return float(cost)
 
 
+def partition_cost(clusters: DataFrame, s: Sizes) -> DataFrame:
+    """``balance_penalty`` of a whole table of clusters (``cluster_id``), to six decimals: one row with ``clusters``, ``largest`` and ``cost``.
+
+    Sizes are counted by a partial aggregation and then by how often they occur, so the median is that of a few rows.
+    """
+    n = F.col("n")
+    sizes = clusters.groupBy("cluster_id").agg(F.count("*").alias("n")).groupBy("n").agg(F.count("*").alias("times"))
+    over, one = n > s.most, n == 1
+    small = ~over & ~one & (n < s.least)
+    each = F.when(over, 8.0 * (n - s.most)).when(one, 2.5).when(small, 1.5 * (s.least - n)).otherwise(0.15 * F.abs(n - s.target))
+    many = F.when(n > 1, F.col("times"))
+    total = sizes.agg(
+        F.sum(each * F.col("times")).alias("sum"), F.sum("times").alias("clusters"), F.max("n").alias("largest"), F.coalesce(F.sum(many), F.lit(0)).alias("many"), F.sum(n * many).alias("rows"),
+        F.expr("percentile(n, 0.5D, CASE WHEN n > 1 THEN times ELSE 0 END)").alias("median"),
+    )
+    centre = F.when(F.col("many") > 0, 0.45 * F.abs(F.col("median") - s.target) + 0.15 * F.abs(F.col("rows") / F.col("many") - s.target)).otherwise(4.0 * s.target)
+    whole = F.when((F.col("clusters") == 1) & (F.col("largest") > s.most), 10.0 * F.col("largest")).otherwise(0.0)
+    return total.where("clusters > 0").select("clusters", "largest", F.round(F.col("sum") + centre + whole, 6).alias("cost"))
+
+
 def balanced_partition(u: np.ndarray, s: Sizes, graph: Adjacency | None = None) -> np.ndarray:
     """The best of a geometric sweep of resolutions; ties go to the smaller largest cluster. ``graph``: where it is known already."""
     graph = graph or Adjacency.of(mutual_graph(u, s.k, s.least_similarity))
@@ -246,7 +266,7 @@ def cluster_blocks(rows: DataFrame, scratch: Scratch, method: str = "balanced",
     return found.join(named, ["block", "head"]).select("block", "id", F.format_string("c%04d", F.col("n")).alias("cluster_id"), "size")
 
 
-def _named(found: DataFrame, scratch: Scratch) -> DataFrame:
+def named_clusters(found: DataFrame, scratch: Scratch) -> DataFrame:
     """``id``, ``cluster_id``, ``size`` of rows with the ``head`` of their cluster; ids c0001, c0002, ... by size, then by head."""
     sizes = found.groupBy("head").agg(F.count("*").alias("size"))
     named = distributed_rank(sizes, [], [F.desc("size"), F.col("head")], "n", scratch)
@@ -300,7 +320,7 @@ def balanced_clusters(rows: DataFrame, scratch: Scratch, sizes: Sizes | None = N
 
     links = scratch.cut(both.select("part", "source", "target", "weight"), "links")
     found = placed.groupBy("part").cogroup(links.groupBy("part")).applyInPandas(run, f"id {kind}, head {kind}")
-    return _named(scratch.cut(_follow(scratch.cut(found, "found"), copies), "clusters"), scratch)
+    return named_clusters(scratch.cut(_follow(scratch.cut(found, "found"), copies), "clusters"), scratch)
 
 
 def linkage_clusters(rows: DataFrame, scratch: Scratch, clusters: int, most_rows: int = MOST_ROWS) -> DataFrame:
@@ -342,7 +362,7 @@ def linkage_clusters(rows: DataFrame, scratch: Scratch, clusters: int, most_rows
     found = steps[0]
     for nxt in steps[1:]:
         found = found.withColumnRenamed("head", "h").join(nxt.select(F.col("id").alias("h"), "head"), "h").select("id", "head")
-    return _named(scratch.cut(_follow(scratch.cut(found, "found"), copies), "clusters"), scratch)
+    return named_clusters(scratch.cut(_follow(scratch.cut(found, "found"), copies), "clusters"), scratch)
 
 
 def projected_points(rows: DataFrame, dimension: int = 2) -> DataFrame:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from chronoloom.functions import timeline as T
@@ -81,6 +81,15 @@ def summary(records: DataFrame) -> DataFrame:
     )
 
 
+def carried_years(rows: DataFrame) -> DataFrame:
+    """Candidates with the ``year`` that holds for them: their own, else that of the last one before them in the document; null where there is none.
+
+    ``rows``: ``doc_id``, ``line_number``, ``cand_id``, ``own_year``. The window goes over one document at a time.
+    """
+    before = Window.partitionBy("doc_id").orderBy(F.col("line_number").asc_nulls_last(), "cand_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return rows.withColumn("year", F.last("own_year", ignorenulls=True).over(before))
+
+
 class _Extract:
     """One row per time candidate of a text; a null text has none."""
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from chronoloom.functions import text as X
 from chronoloom.functions.vectors import weighted_sum
 from chronoloom.operators import canonical as CA
+from chronoloom.operators import clustering as CL
 from chronoloom.operators import concepts as CO
 from chronoloom.operators import docgraph as DG
 from chronoloom.operators import lexical as LX
@@ -440,6 +441,20 @@ def mixed_scores(spark, folder):
     return LX.hybrid(side(1, 40), side(41, 24).where("score > 0"), 0.3, 10)
 
 
+@query
+def named_labels(spark, folder):
+    """Labels as clusters, named by size and then by their first member."""
+    v = table(spark, folder, "embeddings").select(F.col("vec_id").alias("id"), "label")
+    heads = v.groupBy("label").agg(F.min("id").alias("head"))
+    return CL.named_clusters(v.join(heads, "label").select("id", "head"), Scratch(spark, "names"))
+
+
+@query
+def label_balance(spark, folder):
+    """How far the sizes of the labels are from wanted ones."""
+    return CL.partition_cost(table(spark, folder, "embeddings").select(F.col("label").alias("cluster_id")), CL.Sizes(target=40, least=30, most=60))
+
+
 @query
 def time_order(spark, folder):
     """News by the day that the old pipeline gives, those without one last."""
@@ -508,6 +523,15 @@ def final_times(spark, folder):
     return c.groupBy("doc_id").agg(F.max_by("normalized", key).alias("normalized"), F.max(key)["col4"].alias("confidence"))
 
 
+@query
+def carried_years(spark, folder):
+    """The year that holds for every stated time: the one in its text, else the last one before it in the report."""
+    c = table(spark, folder, "time_candidates", "cand_id", "doc_id", "line_number", "matched_text").where("doc_id is not null").distinct()
+    year = F.regexp_extract("matched_text", "(?:19|20)[0-9]{2}", 0)
+    rows = c.select("cand_id", "doc_id", "line_number", F.when(F.length(year) > 0, year.cast("int")).alias("own_year"))
+    return TL.carried_years(rows).select("cand_id", F.col("year").cast("double").alias("year"))
+
+
 # --- runs ------------------------------------------------------------------------------------------------------------
 
 

@@ -168,3 +168,10 @@ _SLOTS = "o AS (SELECT source_sent_id AS source, ingested_at, unnest(['entity',
 SQL["streamed_pool"] = f"WITH {_SLOTS} SELECT type, concept, count(DISTINCT source) AS count, strftime(min(ingested_at), '%Y-%m-%d %H:%M:%S') AS first_seen FROM o WHERE NOT {blank('concept')} GROUP BY type, concept"
 SQL["probe_run"] = f"WITH {_ENTRY}, p AS (SELECT payload, length(payload) % 2 = 0 AS there, count(*) AS n FROM e GROUP BY payload) SELECT sum(n)::BIGINT AS requests, count(*) AS payloads, count(*) FILTER (there) AS from_store, count(*) FILTER (NOT there) AS asked, 0 AS errors, true AS timed FROM p"
 SQL["field_requests"] = "SELECT type || '|' || canonical_str AS custom_id, CASE type WHEN 'entity' THEN '主体类别,核心角色' WHEN 'relation' THEN '关系类别,核心议题,战略作用' ELSE '空间类型,区位范围,议题作用' END AS fields FROM canonical WHERE type IN ('entity', 'relation', 'location')"
+SQL["carried_years"] = """WITH c AS (SELECT DISTINCT cand_id, doc_id, line_number, matched_text FROM time_candidates WHERE doc_id IS NOT NULL), y AS (SELECT *, try_cast(nullif(regexp_extract(matched_text, '(?:19|20)[0-9]{2}'), '') AS INT) AS own FROM c)
+SELECT cand_id, last_value(own IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY line_number NULLS LAST, cand_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)::DOUBLE AS year FROM y"""
+SQL["named_labels"] = """WITH g AS (SELECT label, count(*) AS size, min(vec_id) AS head FROM embeddings GROUP BY label), r AS (SELECT *, row_number() OVER (ORDER BY size DESC, head) AS n FROM g)
+SELECT e.vec_id AS id, 'c' || lpad(r.n::VARCHAR, 4, '0') AS cluster_id, r.size FROM embeddings e JOIN r USING (label)"""
+SQL["label_balance"] = """WITH g AS (SELECT count(*) AS n FROM embeddings GROUP BY label), s AS (SELECT sum(CASE WHEN n > 60 THEN 8.0 * (n - 60) WHEN n = 1 THEN 2.5 WHEN n < 30 THEN 1.5 * (30 - n) ELSE 0.15 * abs(n - 40) END) AS each,
+ count(*) AS clusters, max(n) AS largest, median(n) FILTER (n > 1) AS med, avg(n) FILTER (n > 1) AS mean FROM g)
+SELECT clusters, largest, round(each::DOUBLE + CASE WHEN med IS NOT NULL THEN 0.45 * abs(med - 40) + 0.15 * abs(mean - 40) ELSE 160 END + CASE WHEN clusters = 1 AND largest > 60 THEN 10.0 * largest ELSE 0 END, 6) AS cost FROM s"""

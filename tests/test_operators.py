@@ -374,3 +374,22 @@ def test_search_keeps_ties_and_least(spark):
     got = [(r["query"], r["id"], r["rank"]) for r in SI.search(df.where("id = 3"), df, k=2).orderBy("rank").collect()]
     assert got == [(3, 0, 1), (3, 1, 2)]
     assert SI.search(df.where("id = 3"), df, k=9, least=0.99).count() == 3
+
+
+def test_partition_cost(spark):
+    rng = np.random.default_rng(6)
+    for label in (rng.integers(0, 9, 60), np.zeros(70, int), np.arange(12), np.repeat(np.arange(5), [1, 2, 25, 31, 24])):
+        df = spark.createDataFrame([(int(c),) for c in label], "cluster_id int")
+        got = CL.partition_cost(df, CL.Sizes()).first()
+        assert np.isclose(got["cost"], CL.balance_penalty(label, CL.Sizes()), atol=1e-6) and got["clusters"] == len(set(label.tolist()))
+    assert CL.partition_cost(df.where("false"), CL.Sizes()).count() == 0
+
+
+def test_table_function(spark):
+    """The table function gives what the fold over documents gives."""
+    news = spark.createDataFrame([("d1", "D001 会（2024年3月）.txt", "3月5日开会。次日闭会。\n2023年底回顾。"), ("d2", "x.txt", None), ("d3", "E001 （2020-2021）.txt", "今年初启动，5月结束。")], "doc_id string, file_name string, text string")
+    want = {tuple(map(str, r)) for r in TLO.candidates(TLO.corrected(news)).drop("n").collect()}
+    TLO.register(spark)
+    news.select("doc_id", "text", X.title_parts(X.stem(F.col("file_name")))["raw_time"].alias("t")).createOrReplaceTempView("some_news")
+    got = {tuple(map(str, r)) for r in spark.sql("SELECT n.doc_id, c.* FROM some_news n, LATERAL extract_time_candidates(n.text, n.t) c").collect()}
+    assert got == want and len(want) == 4
