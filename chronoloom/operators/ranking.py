@@ -15,6 +15,8 @@ def distributed_rank(df: DataFrame, groups: list[str], order: list[Column], name
     sorted apart; the counts of groups per partition give each partition its start. ``order`` must be total.
     Result: the columns of ``df`` and ``name``.
     """
+    # The range partitioning samples its input first; what leads to it isn't worked out twice.
+    df = df if hasattr(df, "_scratch_path") else scratch.cut(df, "ranked")
     keys = [*(F.col(g) for g in groups), *order]
     spread = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
     # The upper bits of this id are the partition, the lower 33 the row's place in it.

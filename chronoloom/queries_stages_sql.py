@@ -12,7 +12,7 @@ SQL["scoped_text_files"] = "SELECT file_name, 'sources' AS kind FROM raw_news WH
 SQL["json_lines"] = "SELECT DISTINCT tuple_id, doc_id, subject, object, time, confidence FROM raw_tuples"
 SQL["document_lines"] = "SELECT doc_id, normalized_text AS text, lang FROM raw_news"
 SQL["processed_documents"] = f"SELECT c.doc_id, coalesce(n.normalized_text, '') AS text, n.file_name FROM raw_news n JOIN ({DOC_ID}) c USING (news_id)"
-SQL["vector_table"] = "SELECT vec_id::VARCHAR AS id, len(embedding) AS dimension, round(embedding[1]::FLOAT, 4) AS first FROM embeddings"
+SQL["vector_table"] = "SELECT vec_id::VARCHAR AS id, len(embedding)::INT AS dimension, round(embedding[1]::FLOAT, 4) AS first FROM embeddings"
 SQL["vector_archives"] = SQL["vector_table"]
 SQL["split_by_document"] = f"""
 WITH s AS (SELECT doc_id, trim(regexp_replace(regexp_replace({STEM}, '[\\\\/:*?"<>|]', '_', 'g'), '\\.+$', '')) AS name FROM raw_news),
@@ -35,7 +35,7 @@ SQL["pool_of_json"] = f"""
 WITH e AS (SELECT DISTINCT type, id, raw_str, description, contexts FROM dedup_elements WHERE raw_str IS NOT NULL AND NOT {blank('raw_str')}),
 c AS (SELECT *, list_filter(list_transform(coalesce(contexts, []), lambda x: {strip('x')}), lambda x: length(x) > 0) AS t FROM e),
 d AS (SELECT *, list_filter(t, lambda x, i: list_position(t, x) = i) AS u FROM c)
-SELECT {strip('raw_str')} AS concept, coalesce(description, '') AS description, u[1:5] AS contexts, len(u) AS count FROM d"""
+SELECT {strip('raw_str')} AS concept, coalesce(description, '') AS description, u[1:5] AS contexts, len(u)::INT AS count FROM d"""
 _LITERAL = "replace(replace(text, '海峡', '水道'), '  ', ' ')"
 SQL["word_rules"] = f"SELECT news_id, array_to_string(list_transform(string_split({_LITERAL}, chr(10)), lambda l: CASE WHEN contains(l, '公司') OR contains(l, 'Council') THEN regexp_replace(regexp_replace(l, '公司(刊发)?', '企业', 'g'), 'Council', 'Board', 'g') ELSE l END), chr(10)) AS text FROM raw_news"
 
@@ -49,7 +49,7 @@ r AS (SELECT * FROM n QUALIFY row_number() OVER (PARTITION BY concept ORDER BY f
 q AS (SELECT DISTINCT t.source_sent_id || '|entity|' || t.subject AS custom_id, t.subject AS concept, l.c FROM raw_tuples t JOIN l ON l.concept = t.subject WHERE t.source_sent_id IS NOT NULL)"""
 SQL["normalise_requests"] = f"WITH {_NEAR} SELECT custom_id, array_to_string(c, '|') AS candidates FROM q"
 SQL["checked_normalisation"] = f"WITH {_NEAR}, m AS (SELECT *, length(custom_id) % 4 AS n FROM q) SELECT custom_id, concept, CASE WHEN n = 0 THEN c[1] ELSE concept END AS normalized, CASE n WHEN 2 THEN 'invalid_replacement' WHEN 3 THEN 'unreadable' END AS fault FROM m"
-SQL["compliance_requests"] = "SELECT DISTINCT type || '|' || raw_str || '#' || id AS custom_id, least(2, coalesce(len(contexts), 0)) AS sentences FROM dedup_elements WHERE raw_str IS NOT NULL"
+SQL["compliance_requests"] = "SELECT DISTINCT type || '|' || raw_str || '#' || id AS custom_id, least(2, coalesce(len(contexts), 0))::INT AS sentences FROM dedup_elements WHERE raw_str IS NOT NULL"
 SQL["checked_compliance"] = "SELECT record_id::VARCHAR AS custom_id, record_id % 5 < 2 AS compliant, CASE WHEN record_id % 5 < 4 THEN origin END AS reason, record_id % 5 < 3 AS valid FROM (SELECT DISTINCT record_id, origin FROM element_versions)"
 SQL["checked_fields"] = "SELECT record_id::VARCHAR AS custom_id, CASE WHEN id IS NULL THEN NULL ELSE CASE record_id % 4 WHEN 0 THEN 'entity' WHEN 1 THEN 'location' END END AS type, CASE WHEN id IS NULL THEN NULL ELSE CASE record_id % 4 WHEN 0 THEN '主体类别,核心角色' WHEN 1 THEN '区位范围,空间类型,议题作用' END END AS fields FROM (SELECT DISTINCT record_id, id FROM element_versions)"
 SQL["field_texts"] = "SELECT cid, '概念：' || canonical_str || chr(10) || '概念类型：' || type || chr(10) || '字段：核心角色' || chr(10) || '内容：' || description AS text FROM canonical WHERE description IS NOT NULL"
@@ -57,7 +57,7 @@ SQL["judge_requests"] = f"""WITH {V}, s AS (SELECT a.id::VARCHAR AS id, b.id::VA
 k AS (SELECT * FROM s WHERE score >= 0 QUALIFY row_number() OVER (PARTITION BY id ORDER BY score DESC, nid) <= 4),
 r AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY round(score, 6) DESC, near) AS rank FROM k), l AS (SELECT id, string_agg('v' || near, ',' ORDER BY rank) AS c FROM r WHERE rank <= 2 GROUP BY id)
 SELECT e.vec_id::VARCHAR AS custom_id, 'v' || e.vec_id AS target, coalesce(l.c, '') AS candidates FROM embeddings e LEFT JOIN l ON l.id = e.vec_id::VARCHAR"""
-SQL["checked_names"] = "SELECT cid AS custom_id, CASE WHEN len(aliases) = 0 THEN 0 ELSE len(list_distinct(list_filter(list_transform(aliases, lambda x: trim(x)), lambda x: x <> ''))) END AS names, len(aliases) > 0 AS valid FROM canonical WHERE aliases IS NOT NULL"
+SQL["checked_names"] = "SELECT cid AS custom_id, CASE WHEN len(aliases) = 0 THEN 0 ELSE len(list_distinct(list_filter(list_transform(aliases, lambda x: trim(x)), lambda x: x <> ''))) END::INT AS names, len(aliases) > 0 AS valid FROM canonical WHERE aliases IS NOT NULL"
 _MEMBERS = "m AS (SELECT DISTINCT type || substr(canonical_str, 1, 1) AS cluster_id, canonical_str AS concept FROM canonical)"
 SQL["cluster_requests"] = f"WITH {_MEMBERS} SELECT cluster_id AS custom_id, string_agg(concept, '|' ORDER BY concept) AS concepts FROM m GROUP BY cluster_id"
 SQL["merged_groups"] = f"""WITH {_MEMBERS}, r AS (SELECT *, row_number() OVER (PARTITION BY cluster_id ORDER BY concept) AS i, count(*) OVER (PARTITION BY cluster_id) AS n, min(concept) OVER (PARTITION BY cluster_id) AS first FROM m)
@@ -79,8 +79,8 @@ SQL["missing_results"] = _SX + "SELECT sent_id AS custom_id FROM sx WHERE sent_i
 _STORE = "v AS (SELECT DISTINCT record_id, type, raw_str AS concept, description FROM element_versions WHERE type IS NOT NULL AND raw_str IS NOT NULL AND description IS NOT NULL), p AS (SELECT type, concept, arg_max(description, record_id) AS description, arg_min(description, record_id) AS old FROM v GROUP BY type, concept)"
 SQL["vectors_to_make"] = f"WITH {_STORE} SELECT type, concept, description FROM p WHERE description <> old"
 SQL["vectors_that_hold"] = f"WITH {_STORE} SELECT type, concept, description FROM p WHERE description = old"
-SQL["assembled_elements"] = "SELECT DISTINCT id, count, len(vector) AS dimension FROM dedup_elements WHERE len(vector) = 96"
-SQL["embedded_titles"] = "SELECT news_id AS id, 64 AS dimension, 1.0 AS length, NULL::VARCHAR AS error FROM raw_news"
+SQL["assembled_elements"] = "SELECT DISTINCT id, count, len(vector)::INT AS dimension FROM dedup_elements WHERE len(vector) = 96"
+SQL["embedded_titles"] = "SELECT news_id AS id, 64 AS dimension, 1.0::DOUBLE AS length, NULL::VARCHAR AS error FROM raw_news"
 
 _HALF = lambda a, b: f"list_transform(embedding[{a}:{b}]::DOUBLE[], lambda x: x / sqrt(list_inner_product(embedding[{a}:{b}]::DOUBLE[], embedding[{a}:{b}]::DOUBLE[])))"
 SQL["weighted_sums"] = f"WITH h AS (SELECT vec_id AS id, list_transform(list_zip({_HALF(1, 32)}, {_HALF(33, 64)}), lambda p: 0.7 * p[1] + 0.3 * p[2]) AS s FROM embeddings) SELECT id, list_transform(s, lambda x: round(x / sqrt(list_inner_product(s, s)), 6)) AS vector FROM h"
@@ -137,7 +137,7 @@ array_to_string(list_filter([CASE WHEN NOT final THEN 'unknown_time' END, CASE W
  CASE WHEN final THEN 'title_only_fallback' END, CASE WHEN many THEN 'multi_year_title_without_explicit_body_year' END], lambda x: x IS NOT NULL), ',') AS reasons FROM t4"""
 SQL["title_forms"] = f"""WITH {_TITLES} SELECT doc_id, coalesce(form, 'none') AS title_form, array_to_string(list_filter([CASE WHEN repeated THEN 'repeated' END, CASE WHEN open_ended THEN 'open_ended' END], lambda x: x IS NOT NULL), ',') AS flags, coalesce(malformed, false) AS malformed,
 CASE WHEN final THEN strftime(least(last_day(make_date(y, least(greatest(coalesce(m, 12), 1), 12), 1)), make_date(y, least(greatest(coalesce(m, 12), 1), 12), 1) + (CASE WHEN dd IS NULL THEN 31 ELSE greatest(dd, 1) END - 1)::INT), '%Y-%m-%d') END AS anchor FROM t4"""
-SQL["title_summary"] = f"WITH {_TITLES} SELECT count(*) AS documents, count(*) AS needs_review, 0 AS high_confidence, 0 AS conflicts, count(*) FILTER (NOT final) AS unknown, count(*) FILTER (final) AS title_only, 0 AS inferred, 0 AS exact FROM t4"
+SQL["title_summary"] = f"WITH {_TITLES} SELECT count(*) AS documents, count(*) AS needs_review, 0::BIGINT AS high_confidence, 0::BIGINT AS conflicts, count(*) FILTER (NOT final) AS unknown, count(*) FILTER (final) AS title_only, 0::BIGINT AS inferred, 0::BIGINT AS exact FROM t4"
 
 # A sign before each year that no digit precedes stands for the condition on what is before it.
 _P = {
@@ -166,7 +166,7 @@ SQL["final_times"] = """WITH c AS (SELECT doc_id, normalized, split_part(normali
 SQL["planned_run"] = _SX + "SELECT unnest(['sentences', 'counts']) AS stage, 'planned' AS dry, 'run' AS first, 'skipped' AS second, 'run' AS forced, (SELECT count(*) FROM sx) AS sentences"
 _SLOTS = "o AS (SELECT source_sent_id AS source, ingested_at, unnest(['entity', 'entity', 'relation', 'location']) AS type, unnest([subject, object, relation, location]) AS concept FROM raw_tuples WHERE source_sent_id IS NOT NULL)"
 SQL["streamed_pool"] = f"WITH {_SLOTS} SELECT type, concept, count(DISTINCT source) AS count, strftime(min(ingested_at), '%Y-%m-%d %H:%M:%S') AS first_seen FROM o WHERE NOT {blank('concept')} GROUP BY type, concept"
-SQL["probe_run"] = f"WITH {_ENTRY}, p AS (SELECT payload, length(payload) % 2 = 0 AS there, count(*) AS n FROM e GROUP BY payload) SELECT sum(n)::BIGINT AS requests, count(*) AS payloads, count(*) FILTER (there) AS from_store, count(*) FILTER (NOT there) AS asked, 0 AS errors, true AS timed FROM p"
+SQL["probe_run"] = f"WITH {_ENTRY}, p AS (SELECT payload, length(payload) % 2 = 0 AS there, count(*) AS n FROM e GROUP BY payload) SELECT sum(n)::BIGINT AS requests, count(*) AS payloads, count(*) FILTER (there) AS from_store, count(*) FILTER (NOT there) AS asked, 0::BIGINT AS errors, true AS timed FROM p"
 SQL["field_requests"] = "SELECT type || '|' || canonical_str AS custom_id, CASE type WHEN 'entity' THEN '主体类别,核心角色' WHEN 'relation' THEN '关系类别,核心议题,战略作用' ELSE '空间类型,区位范围,议题作用' END AS fields FROM canonical WHERE type IN ('entity', 'relation', 'location')"
 SQL["carried_years"] = """WITH c AS (SELECT DISTINCT cand_id, doc_id, line_number, matched_text FROM time_candidates WHERE doc_id IS NOT NULL), y AS (SELECT *, try_cast(nullif(regexp_extract(matched_text, '(?:19|20)[0-9]{2}'), '') AS INT) AS own FROM c)
 SELECT cand_id, last_value(own IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY line_number NULLS LAST, cand_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)::DOUBLE AS year FROM y"""
