@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chronoloom.functions.text import is_blank
-from chronoloom.functions.times import id_number, normal_time, sentence_of, signature_time, time_anchor
+from chronoloom.functions.times import id_number, normalized_time, sentence_of, signature_time, time_anchor
 from chronoloom.operators.graph import star_components
 from chronoloom.operators.ranking import distributed_rank
 from chronoloom.sources.tables import Scratch
@@ -45,7 +45,7 @@ def delete_reasons(tuples: DataFrame) -> DataFrame:
         one = F.col(f"r.{c}").eqNullSafe(F.col(f"f.{c}"))
         same = one if same is None else same & one
     joined = rows.alias("r").join(first.alias("f"), same).select("r.*", "f.first")
-    lost_time = ~is_blank(F.col("time")) & normal_time(F.col("time")).isNull()
+    lost_time = ~is_blank(F.col("time")) & normalized_time(F.col("time")).isNull()
     reasons = F.array_compact(
         F.array(
             F.when(F.col("place") > F.col("first"), F.lit("duplicate_in_doc")),
@@ -63,12 +63,12 @@ def cleaned(tuples: DataFrame) -> DataFrame:
 
 def with_normal_times(tuples: DataFrame) -> DataFrame:
     """``time`` in normal form where it is understood, else as it is; ``time_known`` says which."""
-    return tuples.withColumn("_n", normal_time(F.col("time"))).withColumn("time_known", F.col("_n").isNotNull()).withColumn("time", F.coalesce("_n", "time")).drop("_n")
+    return tuples.withColumn("_n", normalized_time(F.col("time"))).withColumn("time_known", F.col("_n").isNotNull()).withColumn("time", F.coalesce("_n", "time")).drop("_n")
 
 
 def unresolved_times(tuples: DataFrame, samples: int = 5) -> DataFrame:
     """Times that aren't understood: ``time``, ``tuples`` and the first ``sample_ids``, at most so many."""
-    lost = tuples.select("tuple_id", "time").distinct().where(~is_blank(F.col("time")) & normal_time(F.col("time")).isNull())
+    lost = tuples.select("tuple_id", "time").distinct().where(~is_blank(F.col("time")) & normalized_time(F.col("time")).isNull())
     counted = lost.groupBy("time").agg(F.count("*").alias("tuples"))
     # The limit on the rank is applied before the shuffle too, so a frequent text isn't gathered.
     rank = F.row_number().over(Window.partitionBy("time").orderBy("tuple_id"))
