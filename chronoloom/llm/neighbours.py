@@ -17,8 +17,8 @@ from chronoloom.sources.tables import Scratch
 #: lie too near each other for the test to stop, with fewer the projected distance says too little.
 PROJECTED = 6
 #: Rows of a kd-tree leaf, and leaves that are verified between two tests.
-LEAF_ROWS = 32
-LEAVES_AT_ONCE = 8
+LEAF_ROWS = 64
+LEAVES_AT_ONCE = 4
 
 
 def kd_leaves(points: np.ndarray, leaf_rows: int) -> list[np.ndarray]:
