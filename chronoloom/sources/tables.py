@@ -20,13 +20,13 @@ def table(spark: SparkSession, folder: str, name: str, *columns: str) -> DataFra
 def shared_folder(spark: SparkSession) -> str:
     """The folder that all executors share: ``spark.checkpoint.dir`` of the session.
 
-    Only where the session names none and runs in one process (tests, a laptop) a temporary folder is made; on a
+    Only where the session names none and runs on one machine (tests, a laptop) a temporary folder is made; on a
     cluster that is an error.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+    if not re.fullmatch(r"local(-cluster)?(\[.*\])?", spark.sparkContext.master):
         raise ValueError("on a cluster spark.checkpoint.dir must name a folder that all executors share")
     app = spark.sparkContext.applicationId
     if app not in _own_folder:
