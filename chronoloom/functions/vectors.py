@@ -25,6 +25,11 @@ def cosine(a: Column, b: Column) -> Column:
     return F.when((F.size(a) == F.size(b)) & (F.size(a) > 0) & (n > 0), dot(a, b) / n).otherwise(0.0)
 
 
+def rounded(v: Column, digits: int) -> Column:
+    """Rounded as in DuckDB: a zero keeps the sign of its value, which Spark's round drops."""
+    return F.transform(v, lambda x: F.when(F.round(x, digits) == 0, x * F.lit(0.0)).otherwise(F.round(x, digits)))
+
+
 def _scaled(v: Column, by: float) -> Column:
     return F.transform(v, lambda x: x * F.lit(by))
 

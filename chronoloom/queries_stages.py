@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chronoloom.functions import text as X
-from chronoloom.functions.vectors import weighted_sum
+from chronoloom.functions.vectors import rounded, weighted_sum
 from chronoloom.operators import canonical as CA
 from chronoloom.operators import clustering as CL
 from chronoloom.operators import concepts as CO
@@ -430,7 +430,7 @@ def embedded_titles(spark, folder):
 def weighted_sums(spark, folder):
     """Two halves of a vector as fields, summed up with weights."""
     v = F.col("embedding")
-    return table(spark, folder, "embeddings").select(F.col("vec_id").alias("id"), F.transform(weighted_sum([(F.slice(v, 1, 32), 0.7), (F.slice(v, 33, 32), 0.3)]), lambda x: F.round(x, 6)).alias("vector"))
+    return table(spark, folder, "embeddings").select(F.col("vec_id").alias("id"), rounded(weighted_sum([(F.slice(v, 1, 32), 0.7), (F.slice(v, 33, 32), 0.3)]), 6).alias("vector"))
 
 
 @query

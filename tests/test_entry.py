@@ -47,6 +47,17 @@ def test_core_query(spark, name):
         assert bag(df.columns, rows) == bag([d[0] for d in r.description], r.fetchall())
 
 
+def test_weighted_sums_signs(spark, tmp_path):
+    """Zeros keep the signs that the SQL gives them; ``plain`` leaves them out."""
+    one = [0.6] + [0.0] * 30 + [0.8]
+    rows = [one + one, [0.6, -1e-7, 1e-7] + [0.0] * 28 + [0.8] + one, [-0.0] * 31 + [1.0] + [-0.0] * 31 + [1.0], [-x for x in one] + one]
+    spark.createDataFrame(list(enumerate(rows)), "vec_id long, embedding array<float>").write.parquet(f"{tmp_path}/embeddings.parquet")
+    con = duckdb.connect()
+    con.sql(f"create view embeddings as select * from read_parquet('{tmp_path}/embeddings.parquet/*.parquet')")
+    want = {i: str(v) for i, v in con.execute(core.SQL["weighted_sums"]).fetchall()}
+    assert "-0.0" in want[1] and {r["id"]: str(r["vector"]) for r in core.QUERIES["weighted_sums"](spark, str(tmp_path)).collect()} == want
+
+
 def test_contract(spark):
     assert set(entry_module.oracle_sql()) <= set(entry_module.queries())
     assert entry_module.entry(spark).count() > 0
